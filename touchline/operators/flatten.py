@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.hashtags import nested_hashtags
-from touchline.functions.variants import as_json_text, as_variant, field, is_object, truthy
+from touchline.functions.variants import as_json_text, as_variant, field, is_object, text_of, truthy
 from touchline.vocabulary import MSG_BODY_NOT_OBJECT, MSG_MISSING
 
 # Flat field -> (path in the nested post, JSON default when the key is absent).
@@ -20,11 +20,14 @@ _SOURCES = {
 }
 
 
-def flatten_tweets(df: DataFrame, body: str = "value", output: str = "flat") -> DataFrame:
+def flatten_tweets(
+    df: DataFrame, body: str = "value", output: str = "flat", author: str | None = None
+) -> DataFrame:
     """Add the flat JSON message and a ``flatten_error`` (null where it worked).
 
     Defaults fill absent keys only: a key holding null stays null, and values
-    keep their JSON type. The original body is embedded as ``raw_payload``.
+    keep their JSON type. The original body is embedded as ``raw_payload``. With
+    ``author`` the author id is added under that name, from the same parse.
     """
     staged = df.withColumns({"_post": as_variant(df, body), "_raw": as_json_text(df, body)})
     post = F.col("_post")
@@ -39,6 +42,8 @@ def flatten_tweets(df: DataFrame, body: str = "value", output: str = "flat") ->
     head = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     # Splice the payload in as text so that its bytes survive unchanged.
     flat = F.concat(F.rtrim(head, F.lit("}")), F.lit(',"raw_payload":'), F.col("_raw"), F.lit("}"))
+    if author is not None:
+        staged = staged.withColumn(author, text_of(post, "author_id"))
     return (
         staged.withColumn("flatten_error", error)
         .withColumn(output, F.when(F.col("flatten_error").isNull(), flat))

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.hashtags import partition_key
-from touchline.functions.variants import as_variant, text_of
 from touchline.operators.flatten import flatten_tweets
 from touchline.operators.posts import to_kafka_frame
 from touchline.schemas import HEADERS_TYPE, MESSAGE_SCHEMA
@@ -76,9 +75,9 @@ class SilverPublisher:
 
 def bronze_messages(valid: DataFrame, body: str = "value") -> DataFrame:
     """Valid nested posts as flat messages keyed by author."""
-    flat = flatten_tweets(valid.withColumn("_post", as_variant(valid, body)), body)
+    flat = flatten_tweets(valid, body, author="_author")
     return flat.where(F.col("flatten_error").isNull()).select(
-        partition_key(text_of("_post", "author_id")).alias("key"), F.col("flat").alias("value")
+        partition_key("_author").alias("key"), F.col("flat").alias("value")
     )
 
 
