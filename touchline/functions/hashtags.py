@@ -8,15 +8,18 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from touchline.functions.variants import field, is_list, is_object, text_of, truthy
+from touchline.functions.variants import field, is_list, text_of, truthy
 from touchline.vocabulary import CLUB_FALLBACK, CLUB_HASHTAGS, KEY_FALLBACK
 
 
 def nested_hashtags(post: Column | str) -> Column:
-    """``entities.hashtags[].tag`` of a VARIANT post, empty tags and non-objects skipped."""
+    """``entities.hashtags[].tag`` of a VARIANT post, empty tags and non-objects skipped.
+
+    Only an object can have a ``tag``, so testing for one covers both.
+    """
     entries = F.try_variant_get(post, "$.entities.hashtags", "array<variant>")
     tags = F.transform(
-        F.filter(entries, lambda h: is_object(h) & truthy(field(h, "tag"))),
+        F.filter(entries, lambda h: truthy(field(h, "tag"))),
         lambda h: text_of(h, "tag"),
     )
     return F.coalesce(tags, F.expr("CAST(array() AS ARRAY<STRING>)"))

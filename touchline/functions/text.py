@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from touchline.functions.once import once
 from touchline.vocabulary import THEME_KEYWORDS
 
 # A word character: any letter or number of any script, or the underscore.
@@ -219,8 +220,9 @@ def with_themes(
 
     Normalised text, normalised hashtags and the any-keyword probe are separate
     projections, so an off-topic post costs one regex scan instead of one per
-    theme.
+    theme. Filters on the result do not repeat the work.
     """
+    kept = [c for c in df.columns if c != output]
     staged = df.withColumns(
         {
             "_text_norm": F.coalesce(normalize_text(F.col(text)), F.lit("")),
@@ -228,7 +230,7 @@ def with_themes(
         }
     ).withColumn("_any_in_text", _any_keyword(F.col("_text_norm"), themes))
     tagged = _theme_array(F.col("_text_norm"), F.col("_tags_norm"), F.col("_any_in_text"), themes)
-    return staged.withColumn(output, tagged).drop("_text_norm", "_tags_norm", "_any_in_text")
+    return once(staged, **{output: tagged}).select(*kept, output)
 
 
 def tag_themes_udf(themes: Mapping[str, Sequence[str]] = THEME_KEYWORDS):

@@ -10,21 +10,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
+from touchline.functions.once import once
+
 
 def as_variant(df: DataFrame, column: str) -> Column:
     """The column as VARIANT: as is, or parsed from a string or binary body."""
-    if isinstance(df.schema[column].dataType, VariantType):
+    if not body_is_text(df, column):
         return F.col(column)
     return F.try_parse_json(F.col(column).cast("string"))
 
 
+def body_is_text(df: DataFrame, column: str) -> bool:
+    return not isinstance(df.schema[column].dataType, VariantType)
+
+
 def as_json_text(df: DataFrame, column: str) -> Column:
     """The column as JSON text; string bodies keep their exact bytes."""
-    if isinstance(df.schema[column].dataType, VariantType):
+    if not body_is_text(df, column):
         return F.to_json(F.col(column))
     return F.col(column).cast("string")
 
 
+def with_post(df: DataFrame, body: str = "value", output: str = "post") -> DataFrame:
+    """Parse the body once into a VARIANT column; null where it is not JSON."""
+    return once(df, **{output: as_variant(df, body)})
+
+
 def field(value: Column | str, path: str) -> Column:
     """The value at ``path`` as VARIANT; SQL NULL when absent."""
     return F.try_variant_get(value, f"$.{path}", "variant")
@@ -43,8 +54,14 @@ def is_string(value: Column) -> Column:
     return kind(value) == "STRING"
 
 
-def is_object(value: Column) -> Column:
-    return kind(value).startswith("OBJECT")
+def is_object(value: Column, usual_key: str | None = None) -> Column:
+    """Whether the value is an object.
+
+    A value that has ``usual_key`` is one; this spares rendering the schema of
+    every well-formed post.
+    """
+    by_kind = kind(value).startswith("OBJECT")
+    return field(value, usual_key).isNotNull() | by_kind if usual_key else by_kind
 
 
 def is_list(value: Column) -> Column:
@@ -59,11 +76,13 @@ def is_boolean(value: Column) -> Column:
     return kind(value) == "BOOLEAN"
 
 
+# JSON texts that count as false: empty string, list or object, false, null, zero.
+_FALSY = r'^(?:""|\[\]|\{\}|false|null|-?0(?:\.0*)?(?:[eE][+-]?\d+)?)$'
+
+
 def truthy(value: Column) -> Column:
     """False for absent, null, false, zero, and empty string, list or object."""
-    empty = F.to_json(value).isin('""', "false", "null", "[]", "{}")
-    zero = is_number(value) & (F.try_variant_get(value, "$", "double") == 0)
-    return value.isNotNull() & ~empty & ~zero
+    return value.isNotNull() & ~F.to_json(value).rlike(_FALSY)
 
 
 def first_truthy(first: Column, second: Column) -> Column:

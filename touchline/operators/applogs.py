@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.functions.once import once
 from touchline.operators.validation import audit_header
 from touchline.vocabulary import AUDIT_APP_LOG, EVENT_APP_LOG, LEVEL_UNPARSED, LOGGER_UNKNOWN
 
@@ -34,7 +35,7 @@ def parse_app_logs(lines: DataFrame, line: str = "value") -> DataFrame:
     staged = lines.withColumn("_line", F.rtrim(F.col(line), F.lit("\n")))
     single = ~F.col("_line").contains("\n")
     prefix = F.when(single, F.regexp_extract("_line", _PREFIX, 0)).otherwise(F.lit(""))
-    staged = staged.withColumn("_prefix", prefix)
+    staged = once(staged, _prefix=prefix)
 
     parsed = F.col("_prefix") != ""
     text = F.col("_line")

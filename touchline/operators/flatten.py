@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.hashtags import nested_hashtags
-from touchline.functions.variants import as_json_text, as_variant, field, is_object, text_of, truthy
+from touchline.functions.variants import (
+    as_json_text,
+    body_is_text,
+    field,
+    is_object,
+    text_of,
+    truthy,
+    with_post,
+)
 from touchline.vocabulary import MSG_BODY_NOT_OBJECT, MSG_MISSING
 
 # Flat field -> (path in the nested post, JSON default when the key is absent).
@@ -21,18 +29,27 @@ _SOURCES = {
 
 
 def flatten_tweets(
-    df: DataFrame, body: str = "value", output: str = "flat", author: str | None = None
+    df: DataFrame,
+    body: str = "value",
+    output: str = "flat",
+    author: str | None = None,
+    raw: str | None = None,
 ) -> DataFrame:
     """Add the flat JSON message and a ``flatten_error`` (null where it worked).
 
     Defaults fill absent keys only: a key holding null stays null, and values
-    keep their JSON type. The original body is embedded as ``raw_payload``. With
-    ``author`` the author id is added under that name, from the same parse.
+    keep their JSON type. The original body is embedded as ``raw_payload``.
+
+    ``body`` is JSON text or an already parsed VARIANT; for the latter ``raw`` names
+    the column with the original text. With ``author`` the author id is added under
+    that name, from the same parse.
     """
-    staged = df.withColumns({"_post": as_variant(df, body), "_raw": as_json_text(df, body)})
+    raw = as_json_text(df, raw or body)
+    staged = with_post(df, body, "_post") if body_is_text(df, body) else df.withColumn("_post", F.col(body))
+    staged = staged.withColumn("_raw", raw)
     post = F.col("_post")
     error = (
-        F.when(post.isNull() | ~is_object(post), F.lit(MSG_BODY_NOT_OBJECT))
+        F.when(post.isNull() | ~is_object(post, "id"), F.lit(MSG_BODY_NOT_OBJECT))
         .when(~truthy(field(post, "id")), F.lit(MSG_MISSING.format(field="id")))
     )
     fields = [field(post, "id").alias("tweet_id")]

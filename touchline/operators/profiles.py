@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.functions.once import once
 from touchline.functions.variants import as_variant, field, first_truthy, text_of, truthy
 from touchline.schemas import PROFILE_LOOKUP_COLUMNS, PROFILE_SCHEMA
 
@@ -15,7 +16,7 @@ def normalize_profiles(df: DataFrame, body: str = "value", keep: tuple[str, ...]
     Alternative spellings fill in for missing or empty values, counters default
     to 0 and flags follow JSON truthiness. Profiles without an id are dropped.
     """
-    staged = df.select(*keep, as_variant(df, body).alias("_p"))
+    staged = once(df, _p=as_variant(df, body)).select(*keep, "_p")
     p = F.col("_p")
 
     def text(name: str, other: str | None = None) -> Column:

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field as dataclass_field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.functions.once import once
 from touchline.functions.text import fold, normalize_text, whole_word_pattern
 from touchline.functions.variants import as_variant, field, text_of, truthy
 from touchline.vocabulary import (
@@ -128,7 +129,7 @@ def page_prefix(pages: DataFrame, cap: int = MAX_RESULTS_PER_COLLECT) -> DataFra
     body = as_variant(pages, "body")
     items = F.try_variant_get("_v", "$.data", "array<variant>")
     parsed = (
-        pages.withColumn("_v", body)
+        once(pages, _v=body)
         .withColumns({"items": items, "_token": truthy(field("_v", "meta.next_token"))})
         .withColumn("n_items", F.greatest(F.coalesce(F.size("items"), F.lit(0)), F.lit(0)))
         .select(

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline import vocabulary as V
+from touchline.functions.once import once
 from touchline.functions.variants import (
     as_json_text,
     as_variant,
+    body_is_text,
     display_text,
     field,
     is_boolean,
@@ -18,6 +20,7 @@ from touchline.functions.variants import (
     is_number,
     is_object,
     is_string,
+    with_post,
 )
 
 
@@ -102,6 +105,9 @@ def _flat_rules(post: Column, allowed: Sequence[str]) -> list[Column]:
     ]
 
 
+# A key nearly every post has, nested or flat.
+_USUAL_KEY = "text"
+
 _PROFILES = {"nested": _nested_rules, "flat": _flat_rules}
 
 
@@ -113,17 +119,19 @@ def validate_tweets(
 ) -> DataFrame:
     """Add ``errors``, the list of reasons against each post (empty when valid).
 
-    Bodies that are not JSON objects belong in the dead letter
-    (:func:`split_unreadable`); here they get a single reason.
+    ``body`` is JSON text or a VARIANT already parsed by ``with_post``. Bodies that
+    are not JSON objects belong in the dead letter (:func:`split_unreadable`); here
+    they get a single reason.
     """
-    staged = df.withColumn("_post", as_variant(df, body))
-    post = F.col("_post")
+    text = body_is_text(df, body)
+    staged = with_post(df, body, "_post") if text else df
+    post = F.col("_post" if text else body)
     errors = F.array_compact(F.array(*_PROFILES[profile](post, allowed_langs)))
-    unreadable = post.isNull() | ~is_object(post)
-    return staged.withColumn(
-        "errors",
-        F.when(unreadable, F.array(F.lit(V.MSG_BODY_NOT_OBJECT))).otherwise(errors),
-    ).drop("_post")
+    unreadable = post.isNull() | ~is_object(post, _USUAL_KEY)
+    checked = once(
+        staged, errors=F.when(unreadable, F.array(F.lit(V.MSG_BODY_NOT_OBJECT))).otherwise(errors)
+    )
+    return checked.drop("_post")
 
 
 def is_valid(errors: Column | str = "errors") -> Column:
@@ -143,10 +151,14 @@ def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def split_unreadable(df: DataFrame, body: str = "value") -> tuple[DataFrame, DataFrame]:
     """Readable JSON objects, and everything else."""
-    readable = F.coalesce(is_object(as_variant(df, body)), F.lit(False))
+    readable = readable_post(as_variant(df, body))
     return df.where(readable), df.where(~readable)
 
 
+def readable_post(post: Column) -> Column:
+    return F.coalesce(is_object(post, _USUAL_KEY), F.lit(False))
+
+
 def audit_header(kind: str) -> Column:
     return F.array(
         F.struct(F.lit(V.AUDIT_HEADER).alias("key"), F.lit(kind).cast("binary").alias("value"))

@@ -24,9 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores where the scan has too few splits.
+
+    Text work is heavy per row, and a small file is one task however many cores
+    there are. A large table has more splits than cores and is read as it is.
+    """
+    df = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, "doc_id") if df.rdd.getNumPartitions() < cores else df
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat post per document, over its whole text."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return documents(spark, sf_dir).selectExpr(
         "doc_id",
         "CAST(doc_id AS STRING) AS tweet_id",
         """concat(text, CASE doc_id % 11 WHEN 0 THEN ' Décision VAR' WHEN 1 THEN ' les stats xG'
@@ -178,7 +189,7 @@ def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Runs are the sources. Some pages end a run: no data, bad JSON, no next token.
     """
-    return table(spark, sf_dir, "documents").selectExpr(
+    return documents(spark, sf_dir).selectExpr(
         "source AS run_id",
         "doc_id AS page",
         r"""CASE WHEN doc_id % 71 = 70 THEN '{bad' ELSE to_json(named_struct(

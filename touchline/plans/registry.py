@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from touchline.functions import hashtags as H
 from touchline.functions import text as X
-from touchline.functions.variants import as_variant, text_of
+from touchline.functions.variants import text_of, with_post
 from touchline.operators import alerts, applogs, costs, dedup, flatten, profiles, reports, search
 from touchline.operators import posts as P
 from touchline.operators import validation as val
@@ -68,9 +68,9 @@ def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readable nested posts with their errors."""
-    readable, _ = val.split_unreadable(inputs.nested_messages(spark, sf_dir))
-    return val.validate_tweets(readable)
+    """Readable nested posts, parsed once into ``post``, with their errors."""
+    readable, _ = val.split_unreadable(with_post(inputs.nested_messages(spark, sf_dir)), "post")
+    return val.validate_tweets(readable, "post")
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +232,9 @@ def archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct("event_id", "user_id")).alias("value"), F.col("ts").cast("timestamp").alias("timestamp")
     )
     path = scratch_path(spark, "archive-stream")
-    tab.archive_stream(stream, path, scratch_path(spark, "checkpoint"), trigger=_NOW).awaitTermination()
+    tab.archive_stream(
+        stream, path, scratch_path(spark, "checkpoint"), records_per_file=100_000, trigger=_NOW
+    ).awaitTermination()
     schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType())])
     return read_raw_archive(spark, path, schema)
 
@@ -251,7 +253,7 @@ def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
     valid, _ = val.split_valid(_validated(spark, sf_dir))
-    msg.publish_bronze(valid, target)
+    msg.publish_bronze(valid, target, body="post", raw="value")
     return target.read(spark, TOPIC_BRONZE).select(
         F.col("key").cast("string").alias("key"),
         *_decoded("value", "tweet_id", "lang", "like_count", "retweet_count", "created_at"),
@@ -275,7 +277,7 @@ def publish_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     validated = _validated(spark, sf_dir)
-    keyed = validated.withColumn("author_id", text_of(as_variant(validated, "value"), "author_id"))
+    keyed = validated.select("run_id", "doc_id", "errors", text_of("post", "author_id").alias("author_id"))
     merged = profiles.merge_profiles(keyed, _profiles(spark, sf_dir), spread_by="doc_id")
     return reports.run_summary(merged)
 
@@ -404,8 +406,7 @@ def partition_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def extract_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = inputs.nested_messages(spark, sf_dir)
-    staged = nested.select("doc_id", as_variant(nested, "value").alias("post"))
-    return staged.select("doc_id", F.array_join(H.extract_hashtags("post"), ",").alias("hashtags"))
+    return with_post(nested).select("doc_id", F.array_join(H.extract_hashtags("post"), ",").alias("hashtags"))
 
 
 @_register
@@ -453,8 +454,8 @@ def to_audit_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit messages of all three producers."""
-    readable, unreadable = val.split_unreadable(inputs.nested_messages(spark, sf_dir))
-    _, rejected = val.split_valid(val.validate_tweets(readable))
+    readable, unreadable = val.split_unreadable(with_post(inputs.nested_messages(spark, sf_dir)), "post")
+    _, rejected = val.split_valid(val.validate_tweets(readable, "post"))
     lines = applogs.drop_blank_lines(inputs.log_lines(spark, sf_dir))
     return val.audit_union(
         val.to_audit_event(rejected),
@@ -634,7 +635,7 @@ def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def sent_by_club(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = val.split_valid(_validated(spark, sf_dir))
-    return reports.sent_by_club(valid, H.extract_hashtags(as_variant(valid, "value")))
+    return reports.sent_by_club(valid, H.extract_hashtags("post"))
 
 
 @_register

@@ -73,23 +73,27 @@ class SilverPublisher:
         logger.info("batch %s published to %s", batch_id, self._topic)
 
 
-def bronze_messages(valid: DataFrame, body: str = "value") -> DataFrame:
+def bronze_messages(valid: DataFrame, body: str = "value", raw: str | None = None) -> DataFrame:
     """Valid nested posts as flat messages keyed by author."""
-    flat = flatten_tweets(valid, body, author="_author")
+    flat = flatten_tweets(valid, body, author="_author", raw=raw)
     return flat.where(F.col("flatten_error").isNull()).select(
         partition_key("_author").alias("key"), F.col("flat").alias("value")
     )
 
 
 def publish_bronze(
-    valid: DataFrame, target: MessageTarget, batch_id: int = 0, body: str = "value"
+    valid: DataFrame,
+    target: MessageTarget,
+    batch_id: int = 0,
+    body: str = "value",
+    raw: str | None = None,
 ) -> None:
     """Valid posts to the bronze topic.
 
     In a folder, an author's posts are brought together by ``rebalance``, which
     splits an author too large for one partition.
     """
-    messages = bronze_messages(valid, body)
+    messages = bronze_messages(valid, body, raw)
     if not target.brokers:
         messages = messages.hint("rebalance", "key")
     target.write(messages, TOPIC_BRONZE, batch_id)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.functions.hashtags import detect_club, extract_hashtags
-from touchline.functions.variants import as_variant, is_object
+from touchline.functions.variants import with_post
 from touchline.operators.applogs import drop_blank_lines, parse_app_logs, to_log_event
 from touchline.operators.posts import enrich_stream
 from touchline.operators.validation import (
@@ -65,15 +65,15 @@ class RoutingSink:
         self._topic = topic
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        post = as_variant(batch_df, self._body)
-        flagged = batch_df.withColumn("_readable", F.coalesce(is_object(post), F.lit(False)))
-        validated = validate_tweets(flagged, self._body).persist()
+        parsed = with_post(batch_df, self._body)
+        validated = validate_tweets(parsed, "post").persist()
         try:
-            valid, rejected = split_valid(validated.where("_readable"))
-            publish_bronze(valid, self._target, batch_id, self._body)
+            readable, unreadable = split_unreadable(validated, "post")
+            valid, rejected = split_valid(readable)
+            publish_bronze(valid, self._target, batch_id, "post", raw=self._body)
             audit = audit_union(
                 to_audit_event(rejected, self._body),
-                to_dead_letter(validated.where("NOT _readable"), self._topic, self._body),
+                to_dead_letter(unreadable, self._topic, self._body),
             )
             publish_audit(audit, self._target, batch_id)
         finally:
@@ -92,9 +92,9 @@ class CounterSink:
         self._body = body
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        readable, _ = split_unreadable(batch_df, self._body)
-        validated = validate_tweets(readable, self._body)
-        club = detect_club(extract_hashtags(as_variant(validated, self._body)))
+        readable, _ = split_unreadable(with_post(batch_df, self._body), "post")
+        validated = validate_tweets(readable, "post")
+        club = detect_club(extract_hashtags("post"))
         sent = F.struct(F.lit("sent").alias("counter"), club.alias("label"))
         rejected = F.transform(
             "errors", lambda e: F.struct(F.lit("rejected").alias("counter"), e.alias("label"))
