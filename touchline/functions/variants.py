@@ -65,7 +65,9 @@ def is_object(value: Column, usual_key: str | None = None) -> Column:
 
 
 def is_list(value: Column) -> Column:
-    return kind(value).startswith("ARRAY")
+    """Whether the value is a list; one with a first element needs no further look."""
+    first = F.try_variant_get(value, "$[0]", "variant")
+    return first.isNotNull() | kind(value).startswith("ARRAY")
 
 
 def is_number(value: Column) -> Column:

@@ -34,9 +34,13 @@ def _required(post: Column, names: Sequence[str]) -> list[Column]:
 
 def _required_metrics(post: Column) -> list[Column]:
     holder = field(post, "public_metrics")
-    # Null, number and boolean cannot be searched for a key at all.
-    unsearchable = holder.isNotNull() & (
-        F.is_variant_null(holder) | is_number(holder) | is_boolean(holder)
+    # Null, number and boolean cannot be searched for a key at all. A holder with a
+    # first metric is none of these.
+    present = field(post, f"public_metrics.{V.NESTED_METRICS[0]}").isNotNull()
+    unsearchable = (
+        ~present
+        & holder.isNotNull()
+        & (F.is_variant_null(holder) | is_number(holder) | is_boolean(holder))
     )
     rules = [F.when(unsearchable, F.lit(V.MSG_NOT_AN_OBJECT.format(field="public_metrics")))]
     for name in V.NESTED_METRICS:
@@ -87,7 +91,7 @@ def _nested_rules(post: Column, allowed: Sequence[str]) -> list[Column]:
         *_language(post, allowed),
         *_counts(post, {m: f"public_metrics.{m}" for m in V.NESTED_METRICS}),
         F.when(
-            entities.isNotNull() & ~is_object(entities),
+            entities.isNotNull() & ~is_object(entities, "hashtags"),
             F.lit(V.MSG_NOT_AN_OBJECT.format(field="entities")),
         ),
         _must_be_list(post, "entities.hashtags", "hashtags"),
