@@ -58,7 +58,8 @@ class MessageTarget:
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         """The messages of a topic kept in a folder."""
-        return spark.read.schema(MESSAGE_SCHEMA).parquet(self.topic_path(topic))
+        messages = spark.read.schema(MESSAGE_SCHEMA).parquet(self.topic_path(topic))
+        return messages.select(*MESSAGE_SCHEMA.fieldNames())
 
 
 class SilverPublisher:

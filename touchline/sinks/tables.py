@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from touchline.schemas import STAGING_SCHEMA
+from touchline.schemas import STAGING_COLUMNS, STAGING_SCHEMA
 from touchline.vocabulary import ARCHIVE_RECORDS_PER_FILE, ARCHIVE_ROTATION, ARCHIVE_TIME_ZONE
 
 logger = logging.getLogger(__name__)
@@ -35,7 +35,8 @@ class StagingTableSink:
 
 
 def read_staging(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STAGING_SCHEMA).parquet(path)
+    """The staging columns, without the batch partition."""
+    return spark.read.schema(STAGING_SCHEMA).parquet(path).select(*STAGING_COLUMNS)
 
 
 class FanOutSink:
