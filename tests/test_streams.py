@@ -112,7 +112,7 @@ class FakeBatch:
 
 def test_fan_out_order():
     calls = []
-    tab.FanOutSink(lambda d, n: calls.append(("first", n)), lambda d, n: calls.append(("second", n)))(FakeBatch(calls), 7)
+    tab.DualSink(lambda d, n: calls.append(("first", n)), lambda d, n: calls.append(("second", n)))(FakeBatch(calls), 7)
     assert calls == ["persist", ("first", 7), ("second", 7), "unpersist"]
 
 
@@ -129,7 +129,7 @@ def test_fan_out_failure_propagates_and_releases(failing, seen):
         return run
 
     with pytest.raises(RuntimeError):
-        tab.FanOutSink(sink(0, "first"), sink(1, "second"))(FakeBatch(calls), 0)
+        tab.DualSink(sink(0, "first"), sink(1, "second"))(FakeBatch(calls), 0)
     assert done == seen and calls == ["persist", "unpersist"]
 
 

@@ -28,15 +28,18 @@ def running_total(
     per_chunk = chunked.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_chunk_sum"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_chunk.select(
-        *keys, "_chunk", F.coalesce(F.sum("_chunk_sum").over(before), F.lit(0)).alias("_carry")
+        *[F.col(c).alias(f"_c_{c}") for c in (*keys, "_chunk")],
+        F.coalesce(F.sum("_chunk_sum").over(before), F.lit(0)).alias("_carry"),
     )
+    # Null-safe, so that rows without a key or time keep their place.
+    same_chunk = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in (*keys, "_chunk")]
     inside = (
         Window.partitionBy(*keys, "_chunk")
         .orderBy(ts, *order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        chunked.join(carried, [*keys, "_chunk"])
+        chunked.join(carried, same_chunk)
         .withColumn(output, F.col("_carry") + F.sum(value).over(inside))
-        .drop("_chunk", "_carry")
+        .drop("_carry", "_chunk", *[f"_c_{c}" for c in (*keys, "_chunk")])
     )

@@ -168,8 +168,8 @@ merged AS (
 ),
 summary AS (
   SELECT run_id, true AS success, count(*) AS tweets_fetched, count(DISTINCT user_id) AS users_enriched,
-    count(*) AS tweets_enriched, count_if(ok) AS tweets_valid, count_if(NOT ok) AS tweets_invalid,
-    count_if(ok) AS tweets_sent_to_kafka, count(DISTINCT author) AS author_ids_found,
+    count(*) AS tweets_enriched, count(*) FILTER (WHERE ok) AS tweets_valid, count(*) FILTER (WHERE NOT ok) AS tweets_invalid,
+    count(*) FILTER (WHERE ok) AS tweets_sent_to_kafka, count(DISTINCT author) AS author_ids_found,
     CAST(round(CAST(count(*) AS DECIMAL(18,3)) * 0.005, 2) AS DOUBLE) AS api_cost_estimate,
     CAST(round(greatest(0, 25 - CAST(count(*) AS DECIMAL(18,3)) * 0.005), 2) AS DOUBLE) AS remaining_budget
   FROM merged GROUP BY run_id
@@ -289,7 +289,7 @@ app AS (SELECT count(*) AS n FROM logged)"""
 
 def _histogram() -> str:
     rows = [
-        f"SELECT '{b:g}' AS le, count_if(value / 100 <= {b}) AS n FROM events" for b in LATENCY_BUCKETS
+        f"SELECT '{b:g}' AS le, count(*) FILTER (WHERE value / 100 <= {b}) AS n FROM events" for b in LATENCY_BUCKETS
     ]
     rows.append("SELECT '+Inf' AS le, count(value) AS n FROM events")
     return (
@@ -313,7 +313,7 @@ def oracle_sql() -> dict[str, str]:
         "read_tweets": f"""WITH {_POSTS} SELECT CASE WHEN ok THEN tweet_id END AS tweet_id,
             CASE WHEN ok THEN author_id END AS author_id, CASE WHEN ok THEN CAST(retweet_count AS VARCHAR) END AS retweet_count
             FROM (SELECT *, doc_id % 41 <> 0 AS ok FROM posts)""",
-        "max_per_trigger": "SELECT 4 AS batches, count(*) AS n FROM documents",
+        "max_per_trigger": "SELECT CAST(4 AS BIGINT) AS batches, count(*) AS n FROM documents",
         "read_response_pages": f"""WITH {_PAGES},
             found AS (SELECT run_id, page, n_before, unnest(texts) AS text,
                 unnest(range(0, len(texts))) AS i FROM pages_kept)
@@ -327,7 +327,7 @@ def oracle_sql() -> dict[str, str]:
         # sinks
         "staging_table_sink": _STAGING_VIEW,
         "silver_publisher": silver,
-        "fan_out_sink": f"""{_STAGED} SELECT 'silver' AS sink, tweet_id FROM staging
+        "dual_sink": f"""{_STAGED} SELECT 'silver' AS sink, tweet_id FROM staging
             UNION ALL SELECT 'staging', tweet_id FROM staging""",
         "write_raw_archive": f"{archived} SELECT tweet_id, retweet_count, {date_parts} FROM dated",
         "archive_counts": f"{archived} SELECT {date_parts}, count(*) AS n FROM dated GROUP BY ALL",
@@ -419,8 +419,8 @@ def oracle_sql() -> dict[str, str]:
         "distinct_usernames": f"""WITH {_POSTS} SELECT coalesce(nullif(CASE WHEN doc_id % 4 = 0 THEN '' ELSE author_id END, ''),
             source) AS username, min(doc_id) AS first_seen FROM posts GROUP BY ALL""",
         "profile_stats": f"""WITH {_POSTS}, {_PROFILES}, authors AS (SELECT DISTINCT author_id FROM posts WHERE author_id <> '')
-            SELECT count_if(author_id IN (SELECT user_id FROM last_profile)) AS success,
-                   count_if(author_id NOT IN (SELECT user_id FROM last_profile)) AS failed FROM authors""",
+            SELECT count(*) FILTER (WHERE author_id IN (SELECT user_id FROM last_profile)) AS success,
+                   count(*) FILTER (WHERE author_id NOT IN (SELECT user_id FROM last_profile)) AS failed FROM authors""",
         "search_filter": f"""WITH {_POSTS} SELECT tweet_id, lang, retweet_count, {_stamp('created')} AS created_at FROM posts
             WHERE lang = 'fr' AND retweet_count >= 3 AND created >= TIMESTAMP '2024-01-03' AND created < TIMESTAMP '2024-01-25'
               AND NOT starts_with(text, 'RT @') AND {_whole_words(_NORM, ['les', 'decision var', 'analyse video'])}""",
@@ -448,8 +448,8 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_ids": f"""WITH {_POSTS}, {_COPIES} SELECT tweet_id, count(*) AS n FROM copies GROUP BY tweet_id
             HAVING count(*) > 1 ORDER BY n DESC, tweet_id LIMIT 50""",
         "ordered_counts": "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey",
-        "valid_invalid_counts": f"""{_VALIDATED} SELECT count_if(len(errors) = 0) AS valid,
-            count_if(len(errors) > 0) AS invalid FROM checked""",
+        "valid_invalid_counts": f"""{_VALIDATED} SELECT count(*) FILTER (WHERE len(errors) = 0) AS valid,
+            count(*) FILTER (WHERE len(errors) > 0) AS invalid FROM checked""",
         "rejects_by_reason": f"{_VALIDATED} SELECT reason, count(*) AS n FROM ({reasons}) GROUP BY reason",
         "sent_by_club": f"""{_VALIDATED} SELECT {_club(_NESTED_TAGS)} AS club, count(*) AS n FROM checked
             WHERE len(errors) = 0 GROUP BY ALL""",

@@ -204,11 +204,11 @@ def silver_publisher(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_register
-def fan_out_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dual_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One streamed batch into the silver topic and the staging table."""
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
     path = scratch_path(spark, "staging")
-    _replay(spark, sf_dir, tab.FanOutSink(msg.SilverPublisher(target), tab.StagingTableSink(path)))
+    _replay(spark, sf_dir, tab.DualSink(msg.SilverPublisher(target), tab.StagingTableSink(path)))
     silver = target.read(spark, TOPIC_SILVER).select(F.lit("silver").alias("sink"), F.col("key").cast("string").alias("tweet_id"))
     staging = tab.read_staging(spark, path).select(F.lit("staging").alias("sink"), "tweet_id")
     return silver.unionByName(staging)

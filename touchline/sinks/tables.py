@@ -39,7 +39,7 @@ def read_staging(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STAGING_SCHEMA).parquet(path).select(*STAGING_COLUMNS)
 
 
-class FanOutSink:
+class DualSink:
     """Two sinks under one checkpoint, the replayable one first.
 
     The batch is computed once. If the first sink fails the second is not called;
