@@ -83,14 +83,26 @@ def _ranges(codes: Sequence[int]) -> str:
     return "".join(parts)
 
 
+def _char_class(codes: Sequence[int]) -> str:
+    """A Java regex for one of many code points, cheap to fail on common letters.
+
+    Everything from U+0100 on sits behind a guard range, and there each block behind
+    its own, so that a character tests a few ranges instead of all of them.
+    """
+    latin = sorted(c for c in codes if c < 0x100)
+    blocks: dict[int, list[int]] = {}
+    for code in sorted(c for c in codes if c >= 0x100):
+        blocks.setdefault(code >> 10, []).append(code)
+    guarded = "".join(
+        rf"[\x{{{members[0]:X}}}-\x{{{members[-1]:X}}}&&[{_ranges(members)}]]" for members in blocks.values()
+    )
+    return rf"[{_ranges(latin)}]|[\x{{100}}-\x{{10FFFF}}&&[{guarded}]]"
+
+
 @lru_cache(maxsize=1)
 def _expansion_pattern() -> str:
-    codes = sorted(ord(c) for c in fold_tables().expansions)
-    latin = [c for c in codes if c < 0x100]
-    rest = _ranges([c for c in codes if c >= 0x100])
-    hangul = rf"\x{{{_HANGUL_FIRST:X}}}-\x{{{_HANGUL_LAST:X}}}"
-    # The guard range lets the common accented letters fail after two checks.
-    return rf"[{_ranges(latin)}]|[\x{{100}}-\x{{10FFFF}}&&[{rest}{hangul}]]"
+    hangul = range(_HANGUL_FIRST, _HANGUL_LAST + 1)
+    return _char_class([*(ord(c) for c in fold_tables().expansions), *hangul])
 
 
 def _code_point(code: Column) -> Column:
