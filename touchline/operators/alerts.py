@@ -57,6 +57,7 @@ RULES: tuple[AlertRule, ...] = (
     ),
     AlertRule("kafkaLowIncomingMessages", "kafka_broker_messages_in_per_sec", "<", 1, 600, "warning"),
 )
+# Notification routing.
 REPEAT_SECONDS = 3600
 RECEIVER_DEFAULT = "slack-alerts"
 RECEIVER_CRITICAL = "slack-critical"

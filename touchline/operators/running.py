@@ -15,13 +15,15 @@ def running_total(
     order: Sequence[str],
     value: str,
     output: str,
-    chunk: str = "hour",
+    chunk: str = "day",
 ) -> DataFrame:
     """Sum of ``value`` up to and including each row, per key, in time order.
 
     A plain window would put a whole key into one task. Here each key is cut into
     time chunks: rows are summed inside their chunk, and the total of all earlier
-    chunks comes from a window over one row per key and chunk.
+    chunks comes from a window over one row per key and chunk. ``chunk`` is a
+    ``date_trunc`` unit: short enough that a busy key's chunk fits a task, long
+    enough that quiet keys do not get a chunk per row.
     """
     keys = list(keys)
     chunked = df.withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
