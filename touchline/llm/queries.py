@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, ngram_join
+from touchline.llm import decontamination, langid, ngram_join, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_key")
+
+
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predicted(docs, langid.learn(docs)).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under a similarity of 0.85 of its 4-word shingles."""
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100).drop("text_key")
@@ -38,6 +51,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_quality,
+            op2_langid,
             op4_ngram_join,
             op10_decontamination,
         )
