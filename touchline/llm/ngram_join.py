@@ -10,8 +10,9 @@ meet. Order and index follow the token's class:
   the set. Of each class *pairs* are indexed, and the prefix is extended by one token
   for each class it touches, so that a similar pair still shares a signature.
 
-A token is frequent if two different sets have it in their plain prefix (or its bit in a
-bounded bit map is set by one that is); this is counted over all sets. Which tokens are
+A token is frequent if two different sets have it among their first tokens by hash, a
+quarter more than a prefix (or if its bit in a bounded bit map is set by one that is);
+this is counted over all sets. Which tokens are
 called frequent decides the work and never the result. Sets whose signatures meet form
 candidate groups. All pairs of a group are verified against whole sets, in blocks of
 bounded size and of neighbouring set sizes. A block hands on a spanning forest of its
@@ -85,6 +86,10 @@ class Threshold:
     def prefix(self, n: int) -> int:
         return n - -(-self.num * n // self.den) + 1
 
+    def counted(self, n: int) -> int:
+        """Tokens of which the frequency is looked at: those of the prefix and what may replace frequent ones."""
+        return self.prefix(n) * 5 // 4 + 2
+
     def band(self, n: int) -> int:
         """Linked sets are in the same or in neighbouring bands."""
         return int(np.searchsorted(self.lows, n, side="right")) - 1
@@ -267,7 +272,7 @@ def near_duplicates(
 
     rows = stored(
         texts.mapInArrow(
-            _per_text(k, lambda x: x[: rule.prefix(len(x))]), f"doc_id {id_type}, text_key bigint, {lists}"
+            _per_text(k, lambda x: x[: rule.counted(len(x))]), f"doc_id {id_type}, text_key bigint, {lists}"
         ),
         "prefixes",
     )
