@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, langid, ngram_join, quality
+from touchline.llm import decontamination, langid, ngram_join, pieces, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _model_file() -> str:
+    """The vocabulary that the installed package of public tokenizers offers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_key")
@@ -32,6 +39,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100).drop("text_key")
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
+    """Pieces of every document, as digests of their ids and of the text decoded from them."""
+    return pieces.digests(_table(spark, sf_dir, "documents"), model_file or _model_file())
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     found = decontamination.contamination(
@@ -54,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_quality,
             op2_langid,
             op4_ngram_join,
+            op8_pieces,
             op10_decontamination,
         )
     }
