@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, langid, ngram_join, pieces, quality
+from touchline.llm import decontamination, langid, licenses, ngram_join, pieces, quality, urls
+from touchline.llm.sql import oracle_sql as oracle_sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +35,25 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named or quoted in every document."""
+    return licenses.scanned(_table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id",
+        "n_words",
+        "CAST(size(filter(places, p -> p.base)) AS BIGINT) AS n_base",
+        "array_min(transform(filter(places, p -> p.base), p -> p.start)) AS first_word",
+        "array_max(transform(filter(places, p -> p.base), p -> p.start)) AS last_word",
+        "array_join(array_sort(array_distinct(transform(filter(places, p -> p.base), p -> p.label))), ',') AS base_labels",
+        "array_join(array_sort(array_distinct(transform(places, p -> p.label))), ',') AS labels",
+        "coalesce(array_max(transform(places, p -> p.share)), 0D) AS score",
+    )
+
+
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page by its URL."""
+    return urls.judged(_table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under a similarity of 0.85 of its 4-word shingles."""
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100).drop("text_key")
@@ -65,12 +85,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_quality,
             op2_langid,
+            op3_licenses,
             op4_ngram_join,
+            op5_urls,
             op8_pieces,
             op10_decontamination,
         )
     }
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}
