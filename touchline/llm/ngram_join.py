@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 from touchline.llm import arrays
 from touchline.llm.shared import bit_map, components, in_map, stored, text_key
 
-#: Bits of the maps of frequent tokens, shared signatures and candidate texts: 2 MB each.
-MAP_BITS = 24
+#: Bits of the maps of frequent tokens, shared signatures and candidate texts: 8 MB each. More
+#: bits call fewer rare tokens frequent in a large corpus; they decide the work only.
+MAP_BITS = 26
 #: Shingles and sets in one block of a candidate group.
 BLOCK_SHINGLES = 1 << 20
 BLOCK_SETS = 1024

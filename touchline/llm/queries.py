@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, langid, licenses, ngram_join, pieces, quality, urls
+from touchline.llm import decontamination, langid, licenses, ngram_join, pieces, quality, secret_scan, urls
 from touchline.llm.sql import oracle_sql as oracle_sql
 
 
@@ -64,6 +64,24 @@ def op8_pieces(spark: SparkSession, sf_dir: str, model_file: str | None = None)
     return pieces.digests(_table(spark, sf_dir, "documents"), model_file or _model_file())
 
 
+def _joined(spans: str) -> str:
+    return f"array_join(transform({spans}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')"
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    base = len(secret_scan.BASE)
+    return secret_scan.scanned(_table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id",
+        *(
+            f"CAST(size(filter(spans, x -> x.kind = '{r.kind}')) AS BIGINT) AS n_{r.kind}"
+            for r in secret_scan.BASE
+        ),
+        f"sha2({_joined(f'filter(spans, x -> x.rank < {base})')}, 256) AS base_sha256",
+        f"{_joined('spans')} AS spans",
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     found = decontamination.contamination(
@@ -89,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op4_ngram_join,
             op5_urls,
             op8_pieces,
+            op9_secrets,
             op10_decontamination,
         )
     }

@@ -35,10 +35,11 @@ def bit_map(hashed: DataFrame, bits: int) -> np.ndarray:
         hashed.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("set"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    out[rows["word"].to_numpy(np.int64)] = rows["set"].to_numpy(np.int64).view(np.uint64)
+    if rows.num_rows:
+        out[rows["word"].to_numpy()] = rows["set"].to_numpy().view(np.uint64)
     return out
 
 
