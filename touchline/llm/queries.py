@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, langid, licenses, ngram_join, pieces, quality, secret_scan, urls
+from touchline.llm import decontamination, langid, licenses, ngram_join, pieces, pii, quality, secret_scan, urls
 from touchline.llm.sql import oracle_sql as oracle_sql
 
 
@@ -15,13 +15,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _model_file() -> str:
+def model_file() -> str:
     """The vocabulary that the installed package of public tokenizers offers."""
     import public_tokenizers
 
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _joined(spans: str) -> str:
+    return f"array_join(transform({spans}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')"
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_key")
@@ -59,13 +63,20 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100).drop("text_key")
 
 
-def op8_pieces(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
-    """Pieces of every document, as digests of their ids and of the text decoded from them."""
-    return pieces.digests(_table(spark, sf_dir, "documents"), model_file or _model_file())
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    base = len(pii.BASE_KINDS)
+    return pii.detected(_table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id",
+        *(f"CAST(size(filter(spans, x -> x.kind = '{k}')) AS BIGINT) AS n_{k}" for k in pii.BASE_KINDS),
+        f"sha2({_joined(f'filter(spans, x -> x.rank < {base})')}, 256) AS base_sha256",
+        f"{_joined('spans')} AS spans",
+    )
 
 
-def _joined(spans: str) -> str:
-    return f"array_join(transform({spans}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')"
+def op8_pieces(spark: SparkSession, sf_dir: str, file: str | None = None) -> DataFrame:
+    """Pieces of every document, as digests of their ids and of the text decoded from them."""
+    return pieces.digests(_table(spark, sf_dir, "documents"), file or model_file())
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_licenses,
             op4_ngram_join,
             op5_urls,
+            op7_pii,
             op8_pieces,
             op9_secrets,
             op10_decontamination,
