@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, langid, licenses, ngram_join, pieces, pii, quality, secret_scan, urls
+from touchline.llm import decontamination, embedding_join, langid, licenses, ngram_join, pieces, pii, quality, secret_scan, urls
 from touchline.llm.sql import oracle_sql as oracle_sql
 
 
@@ -63,6 +63,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100).drop("text_key")
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector under a cosine of 0.93 within its label."""
+    return embedding_join.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     base = len(pii.BASE_KINDS)
@@ -117,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_licenses,
             op4_ngram_join,
             op5_urls,
+            op6_embeddings,
             op7_pii,
             op8_pieces,
             op9_secrets,
