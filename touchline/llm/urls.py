@@ -121,6 +121,10 @@ def judged(
         F.col("site.rule").alias("rule"),
         F.coalesce("site.action", F.when(F.col("patterns") > 0, F.lit("block"))).alias("verdict"),
     )
-    return pages.join(best, F.col("url") == F.col("b_url"), "left").select(
-        "page_id", host.alias("host"), path.alias("path"), "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
+    return (
+        pages.select("page_id", "url")
+        .join(best, F.col("url") == F.col("b_url"), "left")
+        .select(
+            "page_id", host.alias("host"), path.alias("path"), "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
+        )
     )
