@@ -240,14 +240,15 @@ def _verified(num: int, den: int) -> Callable:
 def _blocks(members: DataFrame, rule: Threshold) -> DataFrame:
     """(unit, h): the pairs of blocks that can hold links, with their members.
 
-    A block holds sets of one group and one band of sizes; sets of bands that are not
-    neighbours differ too much in size to link.
+    A group that fits is one block, paired with itself. Of a larger one a block holds sets
+    of one band of sizes; sets of bands that are not neighbours differ too much to link.
     """
+    blocks = F.expr(f"CAST(ceil(greatest(sum(n) / {BLOCK_SHINGLES}, count(*) / {BLOCK_SETS})) AS INT)")
     cuts = F.array(*(F.lit(x) for x in rule.lows))
-    banded = members.withColumn("band", F.size(F.filter(cuts, lambda x: x <= F.col("n"))))
-    sizes = banded.groupBy("root", "band").agg(
-        F.expr(f"CAST(ceil(greatest(sum(n) / {BLOCK_SHINGLES}, count(*) / {BLOCK_SETS})) AS INT)").alias("blocks")
-    )
+    band = F.when(F.col("whole") == 1, 0).otherwise(F.size(F.filter(cuts, lambda x: x <= F.col("n"))))
+    whole = members.groupBy("root").agg(blocks.alias("whole"))
+    banded = members.join(whole, "root").withColumn("band", band).drop("whole")
+    sizes = banded.groupBy("root", "band").agg(blocks.alias("blocks"))
     near = sizes.select("root", F.explode(F.array("band", F.col("band") - 1, F.col("band") + 1)).alias("band"),
                         F.col("band").alias("other"), F.col("blocks").alias("others"))
     own = banded.join(sizes, ["root", "band"]).withColumn("block", F.expr("CAST(pmod(xxhash64(h), blocks) AS INT)"))
