@@ -205,6 +205,6 @@ def test_many_cells_and_blocks_give_the_same_pairs(spark):
     vectors = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").withColumnRenamed("label", "old").selectExpr(
         "*", "old % 2 AS label"
     )
-    one = embedding_join.near_duplicates(vectors, least=0.6, block=4096)
-    many = embedding_join.near_duplicates(vectors, least=0.6, block=16)
+    one = embedding_join.near_duplicates(vectors, least=0.25, block=4096)
+    many = embedding_join.near_duplicates(vectors, least=0.25, block=16)
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0 and one.where("n_links > 0").count()
