@@ -35,6 +35,14 @@ HEADLINE = [
     "alert_for",
     "group_alerts",
     "apply_retention",
+    "staging_table_sink",
+    "write_raw_archive",
+    "archive_stream",
+    "read_response_pages_all",
+    "search_query",
+    "stream_dedup",
+    "collection_run",
+    "sql_themes",
     "run_stream",
     "stream_validate_route",
 ]
@@ -48,6 +56,8 @@ def main() -> int:
         spark__master=f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="8g",
+        spark__sql__files__maxPartitionBytes="4m",
+        spark__sql__files__openCostInBytes="1m",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

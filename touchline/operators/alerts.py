@@ -155,21 +155,42 @@ def alert_states(
     )
 
 
-def group_alerts(states: DataFrame, repeat_seconds: int = REPEAT_SECONDS) -> DataFrame:
-    """Notifications: one per alert name, severity and repeat interval.
-
-    Critical alerts go to their own receiver. The broadcast side has one row per
-    rule, however many samples there are.
+def group_alerts(states: DataFrame, repeat_seconds: int = REPEAT_SECONDS, chunk_seconds: int = 86_400) -> DataFrame:
+    """Notifications: one per firing episode of an alert and repeat interval in it.
+
+    Alerts are grouped by name and severity. An episode begins when one of the group's
+    series fires after none did, and ends when none does; repeats count from its beginning.
+    Samples are first summed per time stamp. These rows are cut into time chunks; what a chunk needs
+    of those before it, the last state and the last beginning, comes from a window over one row per chunk.
+    Critical alerts go to their own receiver.
     """
-    firing = states.where(F.col("state") == "firing").select("alertname", "severity", "ts")
-    first = firing.groupBy("alertname", "severity").agg(F.min("ts").alias("_first"))
-    bucket = F.floor((F.unix_micros("ts") - F.unix_micros("_first")) / F.lit(repeat_seconds * 1_000_000))
-    receiver = F.when(F.col("severity") == "critical", F.lit(RECEIVER_CRITICAL)).otherwise(
-        F.lit(RECEIVER_DEFAULT)
+    group = ["alertname", "severity"]
+    fires = F.col("state") == "firing"
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000.0)
+    per_ts = (
+        states.groupBy(*group, "ts")
+        .agg(F.bool_or(fires).alias("fires"), F.count_if(fires).alias("samples"))
+        .withColumn("_chunk", F.floor(seconds / chunk_seconds))
     )
+    inside = Window.partitionBy(*group, "_chunk").orderBy("ts")
+    chunks = Window.partitionBy(*group).orderBy("_chunk")
+    ended = per_ts.groupBy(*group, "_chunk").agg(F.max_by("fires", "ts").alias("_last"))
+    ended = ended.select(*group, "_chunk", F.lag("_last").over(chunks).alias("_carried"))
+    before = F.coalesce(F.lag("fires").over(inside), F.col("_carried"), F.lit(False))
+    begun = per_ts.join(ended, [*group, "_chunk"]).withColumn("_start", F.when(F.col("fires") & ~before, F.col("ts")))
+    starts = begun.groupBy(*group, "_chunk").agg(F.max("_start").alias("_latest"))
+    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select(*group, "_chunk", F.max("_latest").over(earlier).alias("_before"))
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    since = F.coalesce(F.max("_start").over(so_far), F.col("_before"))
+    repeat = F.floor((F.unix_micros("ts") - F.unix_micros("_since")) / F.lit(repeat_seconds * 1_000_000))
+    receiver = F.when(F.col("severity") == "critical", F.lit(RECEIVER_CRITICAL)).otherwise(F.lit(RECEIVER_DEFAULT))
     return (
-        firing.join(F.broadcast(first), ["alertname", "severity"])
-        .groupBy("alertname", "severity", bucket.alias("repeat"))
-        .agg(F.min("ts").alias("notified_at"), F.count("*").alias("samples"))
+        begun.join(starts, [*group, "_chunk"])
+        .withColumn("_since", since)
+        .where("fires")
+        .groupBy(*group, "_since", repeat.alias("repeat"))
+        .agg(F.min("ts").alias("notified_at"), F.sum("samples").alias("samples"))
         .withColumn("receiver", receiver)
+        .drop("_since")
     )

@@ -17,11 +17,13 @@ def latest_by_key(
     """The newest row of each key; later columns of ``order`` break ties.
 
     Spark applies the rank-1 limit before the shuffle as well as after it, so a
-    key with very many copies sends one row per task.
+    key with very many copies sends one row per task. Rows without a key are copies of
+    nothing, and all stay.
     """
     newest_first = [F.col(c).desc() if isinstance(c, str) else c.desc() for c in order]
     window = Window.partitionBy(key).orderBy(*newest_first)
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    keyed = df.where(F.col(key).isNotNull()).withColumn("_rank", F.row_number().over(window))
+    return keyed.where("_rank = 1").drop("_rank").unionByName(df.where(F.col(key).isNull()))
 
 
 def apply_retention(

@@ -26,13 +26,13 @@ def theme_counts(staging: DataFrame) -> DataFrame:
 
 
 def duplicate_ids(staging: DataFrame, limit: int = 50) -> DataFrame:
-    """Post ids that occur more than once, most frequent first."""
+    """The ``limit`` post ids that occur most often, and more than once; 50 as published."""
     counted = staging.groupBy("tweet_id").agg(F.count("*").alias("n"))
     return counted.where("n > 1").orderBy(F.desc("n"), F.asc("tweet_id")).limit(limit)
 
 
 def top_engaged(staging: DataFrame, limit: int = 50) -> DataFrame:
-    """Posts with a theme by engagement, ties by id."""
+    """The ``limit`` posts with a theme that have most engagement, ties by id; 50 as published."""
     return (
         staging.where(F.size("themes") > 0)
         .select("tweet_id", "engagement", "themes", "hashtags", "created_at")
@@ -95,19 +95,25 @@ def run_summary(
     author: str = "author_id",
     observed_at: str | None = None,
     budget: str = BUDGET_LIMIT,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """One row per collection run.
 
+    ``runs`` (run, ``errors``) names all runs: one without posts gets a row of zeros, and one
+    with errors counts as failed. Without it only runs with posts are known, and none failed.
+
     Input: merged and validated posts with ``errors`` and ``enriched``. Counting
     per run and author first keeps the distinct counts exact without expanding
-    the rows, and combines a busy run or author before the shuffle. Every valid
-    post is written, so ``tweets_sent_to_kafka`` is the number of valid rows.
+    the rows, and combines a busy run or author before the shuffle. A valid post is sent
+    unless ``flatten_error``, where that column is there, tells that it cannot be flattened.
     """
     named = F.nullif(F.col(author), F.lit(""))
+    flattens = F.col("flatten_error").isNull() if "flatten_error" in merged.columns else F.lit(True)
     when = F.col(observed_at) if observed_at else F.lit(None).cast("timestamp")
     per_author = merged.groupBy(F.col(run), named.alias("_author")).agg(
         F.count("*").alias("_rows"),
         F.count_if(F.size("errors") == 0).alias("_valid"),
+        F.count_if((F.size("errors") == 0) & flattens).alias("_sent"),
         F.max(F.coalesce("enriched", F.lit(False))).alias("_known"),
         F.min(when).alias("_first"),
         F.max(when).alias("_last"),
@@ -116,24 +122,31 @@ def run_summary(
         F.sum("_rows").alias("tweets_fetched"),
         F.count_if(F.col("_known") & F.col("_author").isNotNull()).alias("users_enriched"),
         F.sum("_valid").alias("tweets_valid"),
+        F.sum("_sent").alias("tweets_sent_to_kafka"),
         F.count("_author").alias("author_ids_found"),
         F.min("_first").alias("_first"),
         F.max("_last").alias("_last"),
     )
+    if runs is None:
+        summed = summed.withColumn("_errors", F.expr("CAST(array() AS ARRAY<STRING>)"))
+    else:
+        named_runs = runs.select(run, F.col("errors").alias("_errors"))
+        counts = [c for c in summed.columns if c not in (run, "_first", "_last")]
+        summed = named_runs.join(summed, run, "left").fillna(0, counts)
     costed = with_api_cost(summed, "tweets_fetched", budget)
     return costed.select(
         run,
-        F.lit(True).alias("success"),
+        (F.size("_errors") == 0).alias("success"),
         "tweets_fetched",
         "users_enriched",
         F.col("tweets_fetched").alias("tweets_enriched"),
         "tweets_valid",
         (F.col("tweets_fetched") - F.col("tweets_valid")).alias("tweets_invalid"),
-        F.col("tweets_valid").alias("tweets_sent_to_kafka"),
+        "tweets_sent_to_kafka",
         F.round("api_cost", 2).alias("api_cost_estimate"),
         F.round("remaining_budget", 2).alias("remaining_budget"),
         "author_ids_found",
-        F.expr("CAST(array() AS ARRAY<STRING>)").alias("errors"),
+        F.col("_errors").alias("errors"),
         F.create_map(
             F.lit("started_at"), F.date_format("_first", "yyyy-MM-dd'T'HH:mm:ssXXX"),
             F.lit("finished_at"), F.date_format("_last", "yyyy-MM-dd'T'HH:mm:ssXXX"),

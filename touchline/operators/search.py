@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import logging
+import operator
+import re
 from dataclasses import dataclass, field as dataclass_field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from touchline.functions.once import once
 from touchline.functions.text import fold, normalize_text, whole_word_pattern
 from touchline.functions.variants import as_variant, field, text_of, truthy
+from touchline.operators.running import running_total
 from touchline.vocabulary import (
     MAX_RESULTS_PER_COLLECT,
     MAX_RESULTS_PER_PAGE,
@@ -22,7 +26,10 @@ logger = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class SearchConfig:
-    """What to collect. An explicit ``query`` replaces keywords and their filters."""
+    """What to collect. An explicit ``query`` replaces keywords and their filters.
+
+    With a ``ceiling``, as a collection has one, ``max_results`` above it becomes the ceiling.
+    """
 
     keywords: str = "Ligue1"
     max_results: int = MAX_RESULTS_PER_COLLECT
@@ -37,6 +44,7 @@ class SearchConfig:
     user_fields: tuple[str, ...] = ("username", "name", "verified", "public_metrics")
     min_retweets: int | None = None
     query: str | None = None
+    ceiling: int | None = None
     explicit_query: bool = dataclass_field(init=False, default=False)
 
     def __post_init__(self) -> None:
@@ -44,9 +52,9 @@ class SearchConfig:
             raise ValueError(
                 f"max_results doit être >= {MIN_RESULTS_PER_COLLECT}, reçu {self.max_results}"
             )
-        if self.max_results > MAX_RESULTS_PER_COLLECT:
-            logger.warning("max_results=%d capped at %d", self.max_results, MAX_RESULTS_PER_COLLECT)
-            object.__setattr__(self, "max_results", MAX_RESULTS_PER_COLLECT)
+        if self.ceiling is not None and self.max_results > self.ceiling:
+            logger.warning("max_results=%d capped at %d", self.max_results, self.ceiling)
+            object.__setattr__(self, "max_results", self.ceiling)
         object.__setattr__(self, "explicit_query", self.query is not None)
         if self.query is None:
             minimum = [f"min_retweets:{self.min_retweets}"] if self.min_retweets is not None else []
@@ -55,9 +63,8 @@ class SearchConfig:
 
     @property
     def terms(self) -> list[str]:
-        """The words or phrases joined by ``OR``."""
-        source = self.query if self.explicit_query else self.keywords
-        return [t.strip() for t in source.split(" OR ") if t.strip()]
+        """The keywords or phrases joined by ``OR``."""
+        return [t.strip().strip('"') for t in self.keywords.split(" OR ") if t.strip()]
 
     def page_size(self, collected: int) -> int:
         """How many posts the next page should ask for."""
@@ -91,18 +98,105 @@ class SearchConfig:
             tests.append(F.col("created_at") >= F.lit(self.start_time).cast("timestamp"))
         if self.end_time:
             tests.append(F.col("created_at") < F.lit(self.end_time).cast("timestamp"))
-        if not self.explicit_query:
+        if self.explicit_query:
+            tests.append(query_predicate(self.query))
+        else:
             if self.min_retweets is not None:
                 tests.append(F.col("retweet_count") >= self.min_retweets)
-            tests.append(~F.col("text").startswith("RT @"))
-        pattern = whole_word_pattern([fold(t) for t in self.terms])
-        tests.append(normalize_text("text").rlike(pattern))
+            tests.append(~_is_retweet())
+            tests.append(_mentions(self.terms))
         combined = tests[0]
         for test in tests[1:]:
             combined = combined & test
         return combined
 
 
+def _is_retweet() -> Column:
+    return F.col("text").startswith("RT @")
+
+
+def _mentions(terms: list[str]) -> Column:
+    return normalize_text("text").rlike(whole_word_pattern([fold(t) for t in terms]))
+
+
+_TOKEN = re.compile(r'-?\(|\)|-?"[^"]*"|[^\s()"]+')
+
+
+def query_predicate(query: str) -> Column:
+    """A search query as a filter: words and quoted phrases, ``OR``, parentheses, ``-`` for not,
+    ``lang:``, ``min_retweets:`` and ``is:retweet``.
+
+    Neighbours are joined by AND, which binds closer than ``OR``. Anything else raises.
+    """
+    tokens = _TOKEN.findall(query)
+    if "".join(tokens) != re.sub(r'\s+(?=(?:[^"]*"[^"]*")*[^"]*$)', "", query):
+        raise ValueError(f"cannot read the query: {query}")
+    at = 0
+
+    def either() -> Column:
+        nonlocal at
+        parts, words = [], []
+        while True:
+            part = both()
+            (words if isinstance(part, str) else parts).append(part)
+            if at >= len(tokens) or tokens[at] != "OR":
+                break
+            at += 1
+        found = ([_mentions(words)] if words else []) + parts  # plain words share one pattern
+        return reduce(operator.or_, found)
+
+    def both() -> Column | str:
+        """A single plain word comes back as it is, so that a row of them can be joined."""
+        parts = [one()]
+        while at < len(tokens) and tokens[at] not in ("OR", ")"):
+            parts.append(one())
+        if len(parts) == 1:
+            return parts[0]
+        return reduce(operator.and_, [_mentions([p]) if isinstance(p, str) else p for p in parts])
+
+    def one() -> Column | str:
+        nonlocal at
+        if at >= len(tokens) or tokens[at] in ("OR", ")"):
+            raise ValueError(f"a term is missing in the query: {query}")
+        token = tokens[at]
+        at += 1
+        if token in ("(", "-("):
+            inner = either()
+            if at >= len(tokens) or tokens[at] != ")":
+                raise ValueError(f"a parenthesis is open in the query: {query}")
+            at += 1
+            return ~inner if token == "-(" else inner
+        negated = token.startswith("-") and len(token) > 1
+        test = _term(token[1:] if negated else token)
+        if not negated:
+            return test
+        return ~(_mentions([test]) if isinstance(test, str) else test)
+
+    found = either()
+    if at < len(tokens):
+        raise ValueError(f"a parenthesis is never opened in the query: {query}")
+    return found
+
+
+def _term(token: str) -> Column | str:
+    if token.startswith('"'):
+        if not token.strip('" '):
+            raise ValueError("an empty phrase in the query")
+        return token.strip('"')
+    name, colon, value = token.partition(":")
+    if not colon:
+        if not re.fullmatch(r"[^\W_](?:[\w'-]*\w)?", token):
+            raise ValueError(f"unknown term in the query: {token}")
+        return token
+    if name == "lang" and re.fullmatch("[a-z]{2,3}", value):
+        return F.col("lang") == value
+    if name == "min_retweets" and value.isdigit():
+        return F.col("retweet_count") >= int(value)
+    if token == "is:retweet":
+        return _is_retweet()
+    raise ValueError(f"unknown operator in the query: {token}")
+
+
 def search_filter(tweets: DataFrame, config: SearchConfig) -> DataFrame:
     return tweets.where(config.predicate())
 
@@ -111,58 +205,74 @@ def cap_results(df: DataFrame, run: str, order: list[str], cap: int) -> DataFram
     """The first ``cap`` rows of each run.
 
     Spark turns the rank filter into a limit before the shuffle, so a run sends
-    at most ``cap`` rows per task.
+    at most ``cap`` rows per task. It does so up to a threshold, which is raised to ``cap`` for the session.
     """
+    conf, threshold = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(threshold)) < cap:
+        conf.set(threshold, str(cap))
     window = Window.partitionBy(run).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= cap).drop("_rank")
 
 
-def page_prefix(pages: DataFrame, cap: int = MAX_RESULTS_PER_COLLECT) -> DataFrame:
+def page_prefix(pages: DataFrame, cap: int | None = None) -> DataFrame:
     """The pages of each run that a collection would have read.
 
-    Adds ``items`` (at most ``cap`` per page), ``n_items`` and ``n_before``. A run
-    stops at the first page without data or without a following token, or once
-    ``cap`` posts are in. Every page read holds at least one post, so the first
-    ``cap`` pages of a run decide the outcome; that rank filter limits each run
-    before the shuffle and the other windows reuse its partitioning and order.
+    Adds ``items``, ``n_items`` and ``n_before``. A run stops at the first page without
+    data or without a following token, or once ``cap`` posts are in. Pages of a run have
+    different numbers.
+
+    With a ``cap``, every page read holds at least one post, so the first ``cap`` pages of a
+    run decide the outcome: the unparsed pages are limited to these, below the shuffle, and
+    the windows look at no more. Without one, the stop of a run is the smallest page that
+    ends it, a minimum, and the posts before a page are a running total cut to size.
     """
-    body = as_variant(pages, "body")
+    limited = pages if cap is None else cap_results(pages, "run_id", ["page"], cap)
     items = F.try_variant_get("_v", "$.data", "array<variant>")
     parsed = (
-        once(pages, _v=body)
+        once(limited, _v=as_variant(limited, "body"))
         .withColumns({"items": items, "_token": truthy(field("_v", "meta.next_token"))})
         .withColumn("n_items", F.greatest(F.coalesce(F.size("items"), F.lit(0)), F.lit(0)))
         .select(
             *[c for c in pages.columns if c != "body"],
-            F.slice("items", 1, cap).alias("items"),
+            "items" if cap is None else F.slice("items", 1, cap).alias("items"),
             "n_items",
             ((F.col("n_items") > 0) & F.coalesce("_token", F.lit(False))).alias("_continues"),
         )
     )
+    if cap is None:
+        totals = running_total(parsed, ["run_id"], "page", [], "n_items", "_upto")
+        stops = totals.where(~F.col("_continues")).groupBy("run_id").agg(F.min("page").alias("_stop"))
+        kept = totals.join(stops.withColumnRenamed("run_id", "_run"), F.col("run_id").eqNullSafe(F.col("_run")), "left")
+        return (
+            kept.where((F.col("n_items") > 0) & (F.col("page") <= F.coalesce("_stop", "page")))
+            .withColumn("n_before", F.col("_upto") - F.col("n_items"))
+            .drop("_run", "_stop", "_upto", "_continues")
+        )
     by_page = Window.partitionBy("run_id").orderBy("page")
     earlier = by_page.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        parsed.withColumn("_rank", F.row_number().over(by_page))
-        .where(F.col("_rank") <= cap)
-        .withColumns(
+        parsed.withColumns(
             {
                 "_reached": F.coalesce(F.min("_continues").over(earlier), F.lit(True)),
                 "n_before": F.coalesce(F.sum("n_items").over(earlier), F.lit(0)),
             }
         )
         .where(F.col("_reached") & (F.col("n_items") > 0) & (F.col("n_before") < cap))
-        .drop("_rank", "_reached", "_continues")
+        .drop("_reached", "_continues")
     )
 
 
-def read_response_pages(pages: DataFrame, cap: int = MAX_RESULTS_PER_COLLECT) -> DataFrame:
-    """Posts of stored API responses in arrival order: ``run_id, rank, post``."""
-    return (
+def read_response_pages(pages: DataFrame, cap: int | None = None) -> DataFrame:
+    """Posts of stored API responses in arrival order: ``run_id, rank, post``.
+
+    A collection job passes the published ``cap`` of a collection; stored responses can be read without.
+    """
+    found = (
         page_prefix(pages, cap)
         .select("run_id", "n_before", F.posexplode("items").alias("_pos", "post"))
         .select("run_id", (F.col("n_before") + F.col("_pos") + 1).cast("long").alias("rank"), "post")
-        .where(F.col("rank") <= cap)
     )
+    return found if cap is None else found.where(F.col("rank") <= cap)
 
 
 def post_fields(posts: DataFrame) -> DataFrame:

@@ -25,14 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, spread over the cores where the scan has too few splits.
-
-    Text work is heavy per row, and a small file is one task however many cores
-    there are. A large table has more splits than cores and is read as it is.
-    """
-    df = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, "doc_id") if df.rdd.getNumPartitions() < cores else df
+    return table(spark, sf_dir, "documents")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +79,7 @@ def nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source AS run_id",
         f"""CASE WHEN doc_id % 59 = 0 THEN '{{not a json}}' ELSE concat('{{', concat_ws(',',
             CASE WHEN doc_id % 19 = 0 THEN concat('"id":', tweet_id)
+                 WHEN doc_id % 61 = 0 THEN '"id":""'
                  ELSE concat('"id":"', tweet_id, '"') END,
             CASE WHEN doc_id % 37 = 0 THEN '"text":null' ELSE {_member('text', 'text')} END,
             CASE WHEN doc_id % 43 <> 0 THEN concat('"created_at":"', created_at, '"') END,
@@ -202,6 +196,21 @@ def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored search response per document, holding its nested post; runs are the sources.
+
+    One more run has a page without posts.
+    """
+    pages = nested_messages(spark, sf_dir).selectExpr(
+        "run_id",
+        "doc_id AS page",
+        """concat('{"data":[', CASE WHEN doc_id % 59 = 0 THEN '{"lang":"fr"}' ELSE value END, '],"meta":{',
+           CASE WHEN doc_id % 97 = 96 THEN '' ELSE '"next_token":"t"' END, '}}') AS body""",
+    )
+    empty = pages.agg(F.count("*").alias("page")).selectExpr("'empty' AS run_id", "page", "'{\"meta\":{}}' AS body")
+    return pages.unionByName(empty)
+
+
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broker metrics on a 15-second grid, one value per series and scrape."""
     metric = """CASE event_type WHEN 'error' THEN 'up'
@@ -234,10 +243,10 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def collection_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One collection run per order; a third of them on one account."""
+    """One collection run per order; a third of them on one account and day."""
     return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS run_id",
         "CASE WHEN o_custkey % 3 = 0 THEN 'a0' ELSE concat('a', o_custkey % 101) END AS account",
-        "CAST(o_orderdate AS TIMESTAMP) AS run_started",
+        "CASE WHEN o_custkey % 3 = 0 THEN TIMESTAMP '1995-01-01 00:00:00' ELSE CAST(o_orderdate AS TIMESTAMP) END AS run_started",
         "CAST(floor(o_totalprice) AS BIGINT) % 251 AS tweets_fetched",
     )

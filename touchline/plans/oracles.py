@@ -92,6 +92,11 @@ _LIKE_NEGATIVE = "(doc_id % 47 <> 0 AND doc_id % 53 <> 0 AND doc_id % 17 = 0)"
 _METRICS_ABSENT = "(doc_id % 47 <> 0 AND doc_id % 53 = 0)"
 
 
+# Such an id passes validation, and the post cannot be flattened.
+_EMPTY_ID = "(doc_id % 61 = 0 AND doc_id % 19 <> 0)"
+_RAW_ID = f"CASE WHEN {_EMPTY_ID} THEN '' ELSE tweet_id END"
+
+
 def _errors(rules: list[tuple[str, str]]) -> str:
     cases = [f"CASE WHEN {test} THEN {text} END" for test, text in rules]
     return f"list_filter([{', '.join(cases)}], lambda x: x IS NOT NULL)"
@@ -162,14 +167,14 @@ _SUMMARY = f"""
 WITH {_POSTS}, {_CHECKED}, {_PROFILES},
 merged AS (
   SELECT c.source AS run_id, CASE WHEN doc_id % 13 = 0 OR c.author_id = '' THEN NULL ELSE c.author_id END AS author,
-    len(c.errors) = 0 AS ok, p.user_id
+    len(c.errors) = 0 AS ok, len(c.errors) = 0 AND NOT {_EMPTY_ID} AS sent, p.user_id
   FROM checked c LEFT JOIN last_profile p
     ON p.user_id = CASE WHEN doc_id % 13 = 0 OR c.author_id = '' THEN NULL ELSE c.author_id END
 ),
 summary AS (
   SELECT run_id, true AS success, count(*) AS tweets_fetched, count(DISTINCT user_id) AS users_enriched,
     count(*) AS tweets_enriched, count(*) FILTER (WHERE ok) AS tweets_valid, count(*) FILTER (WHERE NOT ok) AS tweets_invalid,
-    count(*) FILTER (WHERE ok) AS tweets_sent_to_kafka, count(DISTINCT author) AS author_ids_found,
+    count(*) FILTER (WHERE sent) AS tweets_sent_to_kafka, count(DISTINCT author) AS author_ids_found,
     CAST(round(CAST(count(*) AS DECIMAL(18,3)) * 0.005, 2) AS DOUBLE) AS api_cost_estimate,
     CAST(round(greatest(0, 25 - CAST(count(*) AS DECIMAL(18,3)) * 0.005), 2) AS DOUBLE) AS remaining_budget
   FROM merged GROUP BY run_id
@@ -205,12 +210,13 @@ pages_run AS (
   FROM pages_in
   WINDOW earlier AS (PARTITION BY run_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
-pages_kept AS (SELECT * FROM pages_run WHERE reached AND has_data AND n_before < 250)"""
+pages_all AS (SELECT * FROM pages_run WHERE reached AND has_data),
+pages_kept AS (SELECT * FROM pages_all WHERE n_before < 250)"""
 
 _RUNS = """
 runs AS (
   SELECT o_orderkey AS run_id, CASE WHEN o_custkey % 3 = 0 THEN 'a0' ELSE concat('a', o_custkey % 101) END AS account,
-    o_orderdate AS run_started, CAST(floor(o_totalprice) AS BIGINT) % 251 AS tweets_fetched
+    CASE WHEN o_custkey % 3 = 0 THEN DATE '1995-01-01' ELSE o_orderdate END AS run_started, CAST(floor(o_totalprice) AS BIGINT) % 251 AS tweets_fetched
   FROM orders
 )"""
 _COSTED = """
@@ -287,6 +293,40 @@ dead AS (SELECT count(*) AS n FROM posts WHERE doc_id % 59 = 0),
 app AS (SELECT count(*) AS n FROM logged)"""
 
 
+def _found(pages: str) -> str:
+    return f"""WITH {_PAGES},
+            found AS (SELECT run_id, page, n_before, unnest(texts) AS text,
+                unnest(range(0, len(texts))) AS i FROM {pages})
+            SELECT run_id, n_before + i + 1 AS rank, concat(page, '-', i) AS tweet_id, md5(text) AS text,
+                concat('u', (page + i) % 97) AS author_id FROM found"""
+
+
+_TWICE = f"""{_STAGED}, twice AS (
+  SELECT * FROM staging UNION ALL SELECT * FROM staging WHERE CAST(tweet_id AS BIGINT) % 3 = 0
+)"""
+
+# Posts that a collection reads: up to the first page without a token, at most 250 of a run.
+_COLLECTED = f"""WITH {_POSTS}, {_PROFILES},
+read AS (
+  SELECT *, {_NESTED_ERRORS} AS errors, row_number() OVER w AS place,
+    coalesce(bool_and(doc_id % 97 <> 96) OVER (PARTITION BY source ORDER BY doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS reached
+  FROM posts WINDOW w AS (PARTITION BY source ORDER BY doc_id)
+),
+shaped AS (
+  SELECT source, doc_id % 59 = 0 AS hollow,
+    CASE WHEN doc_id % 59 = 0 OR doc_id % 13 = 0 OR author_id = '' THEN NULL ELSE author_id END AS author,
+    CASE WHEN doc_id % 59 <> 0 THEN {_RAW_ID} END AS id, doc_id % 59 <> 0 AND len(errors) = 0 AS ok,
+    doc_id % 59 <> 0 AND len(errors) = 0 AND NOT {_EMPTY_ID} AS sent
+  FROM read WHERE reached AND place <= 250
+),
+kept AS (
+  SELECT s.*, p.user_id, p.username AS user_username, CAST(p.followers_count AS VARCHAR) AS user_followers_count,
+    CASE WHEN p.user_id IS NOT NULL THEN 'true' END AS enriched
+  FROM shaped s LEFT JOIN last_profile p ON p.user_id = s.author
+)"""
+
+
 def _histogram() -> str:
     rows = [
         f"SELECT '{b:g}' AS le, count(*) FILTER (WHERE value / 100 <= {b}) AS n FROM events" for b in LATENCY_BUCKETS
@@ -304,21 +344,24 @@ def oracle_sql() -> dict[str, str]:
     date_parts = "strftime(d, '%Y') AS year, strftime(d, '%m') AS month, strftime(d, '%d') AS day"
     bronze = f"""{_VALIDATED} SELECT CASE WHEN author_id = '' THEN 'unknown' ELSE author_id END AS key, tweet_id, lang,
         CAST(like_count AS VARCHAR) AS like_count, CAST(retweet_count AS VARCHAR) AS retweet_count,
-        created_text AS created_at, tweet_id AS raw_id FROM checked WHERE len(errors) = 0"""
+        created_text AS created_at, tweet_id AS raw_id FROM checked WHERE len(errors) = 0 AND NOT {_EMPTY_ID}"""
     silver = f"""{_STAGED} SELECT tweet_id AS key, tweet_id, CAST(engagement AS VARCHAR) AS engagement, author_id,
         {_SILVER_TIME} AS created_at, CAST(retweet_count AS VARCHAR) AS retweet_count FROM staging"""
+    routed = f"""{_VALIDATED} SELECT CASE WHEN len(errors) = 0 AND NOT {_EMPTY_ID} THEN 'bronze' ELSE 'validation_error' END
+            AS category, count(*) AS n FROM checked GROUP BY ALL
+            UNION ALL SELECT 'dead_letter', count(*) FROM posts WHERE doc_id % 59 = 0"""
     reasons = "SELECT unnest(errors) AS reason FROM checked"
     return {
         # sources
         "read_tweets": f"""WITH {_POSTS} SELECT CASE WHEN ok THEN tweet_id END AS tweet_id,
             CASE WHEN ok THEN author_id END AS author_id, CASE WHEN ok THEN CAST(retweet_count AS VARCHAR) END AS retweet_count
             FROM (SELECT *, doc_id % 41 <> 0 AS ok FROM posts)""",
-        "max_per_trigger": "SELECT CAST(4 AS BIGINT) AS batches, count(*) AS n FROM documents",
-        "read_response_pages": f"""WITH {_PAGES},
-            found AS (SELECT run_id, page, n_before, unnest(texts) AS text,
-                unnest(range(0, len(texts))) AS i FROM pages_kept)
-            SELECT run_id, n_before + i + 1 AS rank, concat(page, '-', i) AS tweet_id, md5(text) AS text,
-                concat('u', (page + i) % 97) AS author_id FROM found WHERE n_before + i + 1 <= 250""",
+        "max_per_trigger": "SELECT CAST(1 AS BIGINT) AS files, true AS several, count(*) AS n FROM documents",
+        "starting_offsets": "SELECT count(*) AS n, true AS several, 'earliest' AS start FROM documents",
+        "stream_config": f"{_STAGED} SELECT tweet_id, engagement FROM staging",
+        "utc_session": f"WITH {_POSTS} SELECT tweet_id, {_stamp('created')} AS created_at FROM posts",
+        "read_response_pages": f"{_found('pages_kept')} WHERE n_before + i + 1 <= 250",
+        "read_response_pages_all": _found("pages_all"),
         "page_prefix": f"WITH {_PAGES} SELECT run_id, page, CAST(n_items AS INTEGER) AS n_items, n_before FROM pages_kept",
         "read_app_logs": f"""WITH {_LINES} SELECT line FROM logged
             UNION ALL SELECT '   ' FROM events WHERE event_id % 50 = 0""",
@@ -326,6 +369,15 @@ def oracle_sql() -> dict[str, str]:
         "read_profiles": f"WITH {_PROFILE_ROWS} SELECT user_id, username, followers_count, verified FROM profile_rows",
         # sinks
         "staging_table_sink": _STAGING_VIEW,
+        "staging_two_checkpoints": _STAGING_VIEW,
+        "compact_staging": _STAGING_VIEW,
+        "sql_top_engaged": f"""{_TWICE} SELECT tweet_id, engagement, array_to_string(themes, ',') AS themes,
+            array_to_string(hashtags, ',') AS hashtags, {_stamp('created')} AS created_at FROM twice
+            WHERE len(themes) > 0 ORDER BY engagement DESC, tweet_id LIMIT 50""",
+        "sql_total": f"{_TWICE} SELECT count(*) AS total FROM twice",
+        "sql_themes": f"{_TWICE} SELECT theme, count(*) AS n FROM (SELECT unnest(themes) AS theme FROM twice) GROUP BY theme",
+        "sql_duplicates": f"""{_TWICE} SELECT tweet_id, count(*) AS n FROM twice GROUP BY tweet_id
+            HAVING count(*) > 1 ORDER BY n DESC, tweet_id LIMIT 50""",
         "silver_publisher": silver,
         "dual_sink": f"""{_STAGED} SELECT 'silver' AS sink, tweet_id FROM staging
             UNION ALL SELECT 'staging', tweet_id FROM staging""",
@@ -336,7 +388,7 @@ def oracle_sql() -> dict[str, str]:
         "dead_letter": f"SELECT '{{not a json}}' AS value, {_DEAD_HEADERS} AS headers FROM documents WHERE doc_id % 59 = 0",
         "publish_bronze": bronze,
         "publish_audit": f"""{_VALIDATED} SELECT 'validation_error' AS key, 'validation_error' AS audit_type,
-            'VALIDATION_ERROR' AS type, 'tweets_raw_producer' AS source, tweet_id AS raw_id,
+            'VALIDATION_ERROR' AS type, 'tweets_raw_producer' AS source, {_RAW_ID} AS raw_id,
             array_to_string(errors, '|') AS errors FROM checked WHERE len(errors) > 0""",
         "run_summary": f"{_SUMMARY} SELECT * FROM summary",
         "write_run_summary": f"""{_SUMMARY} SELECT run_id, tweets_fetched, tweets_valid, api_cost_estimate,
@@ -366,8 +418,9 @@ def oracle_sql() -> dict[str, str]:
         "with_processed_at": "SELECT count(*) AS n FROM documents",
         "to_staging": _STAGING_VIEW,
         "to_kafka_frame": silver,
-        "flatten_tweets": f"""WITH {_POSTS}, shaped AS (SELECT *, doc_id % 59 <> 0 AND doc_id <> 0 AS ok FROM posts)
-            SELECT doc_id, CASE WHEN doc_id % 59 = 0 THEN 'Le tweet à sérialiser doit être un dict' END AS flatten_error,
+        "flatten_tweets": f"""WITH {_POSTS}, shaped AS (SELECT *, doc_id % 59 <> 0 AND NOT {_EMPTY_ID} AS ok FROM posts)
+            SELECT doc_id, CASE WHEN doc_id % 59 = 0 THEN 'Le tweet à sérialiser doit être un dict'
+                WHEN {_EMPTY_ID} THEN 'Champ manquant : id' END AS flatten_error,
             CASE WHEN ok THEN tweet_id END AS tweet_id,
             CASE WHEN ok THEN CASE WHEN doc_id % 43 = 0 THEN '' ELSE created_text END END AS created_at,
             CASE WHEN ok THEN CASE WHEN doc_id % 13 = 0 THEN '' ELSE author_id END END AS author_id,
@@ -396,7 +449,7 @@ def oracle_sql() -> dict[str, str]:
         "split_valid": f"""{_VALIDATED} SELECT doc_id, CASE WHEN len(errors) = 0 THEN 'bronze' ELSE 'audit' END AS route
             FROM checked""",
         "to_audit_event": f"""{_VALIDATED} SELECT 'validation_error' AS key, 'VALIDATION_ERROR' AS type,
-            'tweets_raw_producer' AS source, tweet_id AS raw_id, lang AS raw_lang FROM checked WHERE len(errors) > 0""",
+            'tweets_raw_producer' AS source, {_RAW_ID} AS raw_id, lang AS raw_lang FROM checked WHERE len(errors) > 0""",
         "audit_union": f"""{_COUNTED_AUDIT} SELECT 'validation_error' AS key, 'VALIDATION_ERROR' AS type, n FROM rejected
             UNION ALL SELECT NULL, NULL, n FROM dead UNION ALL SELECT NULL, 'APP_LOG', n FROM app""",
         "route_audit": f"""{_COUNTED_AUDIT} SELECT 'validation_error' AS category, n FROM rejected
@@ -427,6 +480,12 @@ def oracle_sql() -> dict[str, str]:
         "search_config": f"""WITH {_POSTS} SELECT source, tweet_id FROM posts
             WHERE lang = 'en' AND {_whole_words(_NORM, ['the', 'is'])}
             QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 250""",
+        "search_query": f"""WITH {_POSTS}, plain AS (SELECT tweet_id FROM posts WHERE retweet_count >= 3
+                AND NOT starts_with(text, 'RT @') AND {_whole_words(_NORM, ['les', 'decision var', 'the'])})
+            SELECT 'keywords' AS query, tweet_id FROM plain UNION ALL SELECT 'explicit', tweet_id FROM plain
+            UNION ALL SELECT 'all', tweet_id FROM posts WHERE lang <> 'de' AND retweet_count >= 2
+                AND NOT {_whole_words(_NORM, ['analyse video'])} AND ({_whole_words(_NORM, ['les'])}
+                OR {_whole_words(_NORM, ['the'])} AND NOT {_whole_words(_NORM, ['is'])})""",
         "cap_results": """SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey FROM lineitem
             QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) <= 250""",
         "with_api_cost": f"""WITH {_RUNS}, {_COSTED} SELECT run_id, tweets_fetched, mills / 1000.0 AS api_cost,
@@ -462,23 +521,39 @@ def oracle_sql() -> dict[str, str]:
         "controllers_active": f"""WITH {_SAMPLES} SELECT {_stamp('ts')} AS ts, sum(value) AS active, sum(value) <> 1 AS breached
             FROM samples WHERE metric = 'kafka_controller_active_count' GROUP BY ALL""",
         "group_alerts": f"""WITH {_SAMPLES}, {_STATES},
-            firing AS (SELECT alertname, severity, ts, min(ts) OVER (PARTITION BY alertname, severity) AS first_ts
-                FROM states WHERE state = 'firing')
-            SELECT alertname, severity, date_diff('second', first_ts, ts) // 3600 AS repeat, {_stamp('min(ts)')} AS notified_at,
-                count(*) AS samples, CASE severity WHEN 'critical' THEN 'slack-critical' ELSE 'slack-alerts' END AS receiver
-            FROM firing GROUP BY ALL""",
+            per_ts AS (SELECT alertname, severity, ts, bool_or(state = 'firing') AS fires,
+                count(*) FILTER (WHERE state = 'firing') AS n FROM states GROUP BY ALL),
+            begun AS (SELECT *, CASE WHEN fires AND NOT coalesce(lag(fires) OVER w, false) THEN ts END AS start_ts
+                FROM per_ts WINDOW w AS (PARTITION BY alertname, severity ORDER BY ts)),
+            episodes AS (SELECT *, max(start_ts) OVER (PARTITION BY alertname, severity ORDER BY ts
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS first_ts FROM begun),
+            firing AS (SELECT *, date_diff('second', first_ts, ts) // 3600 AS repeat FROM episodes WHERE fires)
+            SELECT alertname, severity, repeat, {_stamp('min(ts)')} AS notified_at, CAST(sum(n) AS BIGINT) AS samples,
+                CASE severity WHEN 'critical' THEN 'slack-critical' ELSE 'slack-alerts' END AS receiver
+            FROM firing GROUP BY alertname, severity, first_ts, repeat""",
         "apply_retention": """SELECT event_id, 'tweets_raw' AS topic FROM events
                 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY
             UNION ALL SELECT event_id, 'audit_logs' FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 14 DAY""",
         # streams
         "run_stream": _STAGING_VIEW,
         "durable_checkpoint": f"{_STAGED} SELECT count(*) AS total FROM staging",
-        "stream_validate_route": f"""{_VALIDATED} SELECT 'bronze' AS category, count(*) AS n FROM checked WHERE len(errors) = 0
-            UNION ALL SELECT 'validation_error', count(*) FROM checked WHERE len(errors) > 0
-            UNION ALL SELECT 'dead_letter', count(*) FROM posts WHERE doc_id % 59 = 0""",
+        "stream_validate_route": routed,
+        "audit_three_producers": f"{routed} UNION ALL SELECT 'app_log', count(*) FROM events WHERE event_id % 50 <> 0",
+        "collection_run": f"""{_COLLECTED} SELECT 'archive' AS place, id, user_username, user_followers_count, enriched FROM kept
+            UNION ALL SELECT CASE WHEN sent THEN 'bronze' ELSE 'audit' END, id, user_username, user_followers_count, enriched
+            FROM kept""",
+        "collection_summary": f"""{_COLLECTED}, counted AS (SELECT source AS run_id, true AS success, count(*) AS tweets_fetched,
+                count(DISTINCT user_id) AS users_enriched, count(*) AS tweets_enriched,
+                count(*) FILTER (WHERE ok) AS tweets_valid, count(*) FILTER (WHERE NOT ok) AS tweets_invalid,
+                count(*) FILTER (WHERE sent) AS tweets_sent_to_kafka, count(DISTINCT author) AS author_ids_found, '' AS errors
+            FROM kept GROUP BY source)
+            SELECT * FROM counted UNION ALL SELECT 'empty', true, 0, 0, 0, 0, 0, 0, 0, ''
+            UNION ALL SELECT 'failed', false, 0, 0, 0, 0, 0, 0, 0, 'API: 500'""",
         "stream_app_logs": f"WITH {_LINES} SELECT 'app_log' AS category, level, logger, message FROM logged",
         "stream_dedup": _STAGING_VIEW,
         "stream_metrics": f"""{_VALIDATED} SELECT 'rejected' AS counter, reason AS label, count(*) AS n
-            FROM ({reasons}) GROUP BY reason
-            UNION ALL SELECT 'sent', {_club(_NESTED_TAGS)} AS label, count(*) FROM checked WHERE len(errors) = 0 GROUP BY ALL""",
+            FROM ({reasons} UNION ALL SELECT 'Champ manquant : id' FROM checked WHERE len(errors) = 0 AND {_EMPTY_ID})
+            GROUP BY reason
+            UNION ALL SELECT 'sent', {_club(_NESTED_TAGS)} AS label, count(*) FROM checked
+            WHERE len(errors) = 0 AND NOT {_EMPTY_ID} GROUP BY ALL""",
     }

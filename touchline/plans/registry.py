@@ -8,6 +8,7 @@ reads back what they wrote.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -18,17 +19,18 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from touchline.functions import hashtags as H
 from touchline.functions import text as X
 from touchline.functions.variants import text_of, with_post
-from touchline.operators import alerts, applogs, costs, dedup, flatten, profiles, reports, search
+from touchline.operators import alerts, applogs, costs, dedup, flatten, profiles, reports, search, statements
 from touchline.operators import posts as P
 from touchline.operators import validation as val
+from touchline.operators.statements import register_staging
 from touchline.plans import inputs
 from touchline.session import scratch_path
 from touchline.sinks import messages as msg
 from touchline.sinks import tables as tab
 from touchline.sources.files import read_app_logs, read_profiles, read_raw_archive
-from touchline.sources.stream import StreamConfig, read_tweets
-from touchline.streaming import job
-from touchline.vocabulary import TOPIC_AUDIT, TOPIC_BRONZE, TOPIC_SILVER
+from touchline.sources.stream import StreamConfig, config_from_env, read_tweets, source_options
+from touchline.streaming import collection, job
+from touchline.vocabulary import MAX_RESULTS_PER_COLLECT, TOPIC_AUDIT, TOPIC_BRONZE, TOPIC_SILVER
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -127,24 +129,75 @@ def query_read_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(*_decoded("value", "tweet_id", "author_id", "retweet_count"))
 
 
+def _in_waves(spark: SparkSession, df: DataFrame, waves: list[str]) -> str:
+    """Write ``value`` of the rows of each condition, one folder after the other; returns a pattern over all files."""
+    path = scratch_path(spark, "waves")
+    for n, condition in enumerate(waves):
+        df.where(condition).select("value").write.text(f"{path}/{n}")
+    return f"{path}/*"
+
+
+_WAVES = ["doc_id % 4 = 0", "doc_id % 4 <= 1", "doc_id % 4 IN (1, 2)", "doc_id % 4 >= 2", "doc_id % 4 IN (0, 3)"]
+
+
 @_register
 def max_per_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four input files at one file per micro-batch: batches and rows read."""
-    path = _as_files(spark, inputs.flat_messages(spark, sf_dir).select("value"), "bronze", files=4)
-    stream = read_tweets(spark, StreamConfig(source_path=path), max_files=1)
-    read = _drain(spark, stream, "max-per-trigger")
-    return read.agg(F.count_distinct("batch_id").alias("batches"), F.count("*").alias("n"))
+    """At one file per micro-batch: the most files that any batch saw, whether there were several, and rows read."""
+    path = _in_waves(spark, inputs.flat_messages(spark, sf_dir), [f"doc_id % 3 = {i}" for i in range(3)])
+    stream = read_tweets(spark, StreamConfig(source_path=path, max_offsets_per_trigger=1))
+    read = _drain(spark, stream.withColumn("file", F.input_file_name()), "max-per-trigger")
+    per_batch = read.groupBy("batch_id").agg(F.count_distinct("file").alias("files"), F.count("*").alias("n"))
+    return per_batch.agg(
+        F.max("files").alias("files"), (F.count("*") >= 3).alias("several"), F.sum("n").alias("n")
+    )
+
+
+@_register
+def starting_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job configured from the environment reads its source from the start, one file per batch."""
+    path = _in_waves(spark, inputs.flat_messages(spark, sf_dir), [f"doc_id % 3 = {i}" for i in range(3)])
+    config = config_from_env({"SOURCE_PATH": path, "STARTING_OFFSETS": "earliest", "MAX_OFFSETS_PER_TRIGGER": "1"})
+    read = _drain(spark, read_tweets(spark, config), "configured")
+    options = F.lit(source_options(replace(config, source_path=None))["startingOffsets"])
+    return read.agg(F.count("*").alias("n"), (F.max("batch_id") >= 2).alias("several")).withColumn("start", options)
+
+
+@_register
+def stream_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enrichment job with source, trigger and checkpoint from the environment."""
+    source = _as_files(spark, inputs.flat_messages(spark, sf_dir).select("value"), "bronze")
+    config = config_from_env(
+        {"SOURCE_PATH": source, "TRIGGER_INTERVAL": "availableNow", "CHECKPOINT_LOCATION": scratch_path(spark, "checkpoint")}
+    )
+    path = scratch_path(spark, "staging")
+    job.run_stream(spark, config, tab.StagingTableSink(path)).awaitTermination()
+    return tab.read_staging(spark, path).select("tweet_id", "engagement")
+
+
+@_register
+def utc_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of posts as text, though the caller's session was in another zone."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    return P.parse_created_at(inputs.posts(spark, sf_dir)).select("tweet_id", _time("created_at"))
 
 
 @_register
 def read_response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a collection reads them, up to its published limit."""
+    found = search.read_response_pages(inputs.response_pages(spark, sf_dir), cap=MAX_RESULTS_PER_COLLECT)
+    return search.post_fields(found).withColumn("text", F.md5("text"))
+
+
+@_register
+def read_response_pages_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored responses without a limit."""
     found = search.read_response_pages(inputs.response_pages(spark, sf_dir))
     return search.post_fields(found).withColumn("text", F.md5("text"))
 
 
 @_register
 def page_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = search.page_prefix(inputs.response_pages(spark, sf_dir))
+    kept = search.page_prefix(inputs.response_pages(spark, sf_dir), cap=MAX_RESULTS_PER_COLLECT)
     return kept.select("run_id", "page", "n_items", "n_before")
 
 
@@ -158,7 +211,9 @@ def _archived(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "archive")
     rows = inputs.posts(spark, sf_dir).drop("doc_id", "source")
     moment = F.coalesce(F.try_to_timestamp("created_at"), F.lit("2024-02-01").cast("timestamp"))
-    tab.write_raw_archive(rows, path, moment)
+    written, given = tab.write_raw_archive(rows, path, moment), rows.count()
+    if written != given:
+        raise ValueError(f"{written} of {given} rows archived")
     return path
 
 
@@ -185,20 +240,81 @@ def query_read_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staging_table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batch delivered twice, as after a failed commit: rows appear once."""
     path = scratch_path(spark, "staging")
-    sink = tab.StagingTableSink(path)
+    sink = tab.StagingTableSink(path, "query")
     batch = _staging(spark, sf_dir)
     sink(batch, 0)
     sink(batch, 0)
     return _staging_view(tab.read_staging(spark, path))
 
 
+@_register
+def staging_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two halves of the posts through two checkpoints in several batches; the last batch once more."""
+    path, posts = scratch_path(spark, "staging"), inputs.flat_messages(spark, sf_dir)
+    for half in (0, 1):
+        source = _in_waves(spark, posts.where(f"doc_id % 2 = {half}"), [f"doc_id % 3 = {i}" for i in range(3)])
+        config = StreamConfig(
+            source_path=source, trigger_interval="availableNow", max_offsets_per_trigger=1,
+            checkpoint_location=scratch_path(spark, "checkpoint"),
+        )
+        sink = tab.StagingTableSink(path)
+
+        def twice(batch: DataFrame, n: int, sink: tab.StagingTableSink = sink) -> None:
+            sink(batch, n)
+            sink(batch, n)
+
+        job.run_stream(spark, config, twice).awaitTermination()
+    return _staging_view(tab.read_staging(spark, path))
+
+
+@_register
+def compact_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging copied into few files per date, twice over."""
+    path, into = scratch_path(spark, "staging"), scratch_path(spark, "compact")
+    sink, batch = tab.StagingTableSink(path, "query"), _staging(spark, sf_dir)
+    for n in range(2):
+        sink(batch.where(f"pmod(hash(tweet_id), 2) = {n}"), n)
+    for _ in range(2):
+        tab.compact_staging(spark, path, into, before="9999-01-01")
+    return _staging_view(tab.read_staging(spark, into))
+
+
+def _sql_view(spark: SparkSession, sf_dir: str) -> str:
+    """Staging as two runs wrote it, the second one a third of the posts again, known to SQL."""
+    path, posts = scratch_path(spark, "staging"), inputs.flat_messages(spark, sf_dir)
+    tab.StagingTableSink(path, "first")(P.to_staging(posts), 0)
+    tab.StagingTableSink(path, "second")(P.to_staging(posts.where("doc_id % 3 = 0")), 0)
+    return register_staging(spark, path, f"staging_{uuid.uuid4().hex}")
+
+
+@_register
+def sql_top_engaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = spark.sql(statements.TOP_ENGAGED.format(table=_sql_view(spark, sf_dir)))
+    return top.select("tweet_id", "engagement", _joined("themes"), _joined("hashtags"), _time("created_at"))
+
+
+@_register
+def sql_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(statements.TOTAL.format(table=_sql_view(spark, sf_dir)))
+
+
+@_register
+def sql_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(statements.THEMES.format(table=_sql_view(spark, sf_dir)))
+
+
+@_register
+def sql_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(statements.DUPLICATES.format(table=_sql_view(spark, sf_dir)))
+
+
 _SILVER_FIELDS = ("tweet_id", "engagement", "author_id", "created_at", "retweet_count")
 
 
 @_register
 def silver_publisher(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
-    msg.SilverPublisher(target)(_staging(spark, sf_dir), 0)
+    msg.SilverPublisher(target, run="query")(_staging(spark, sf_dir), 0)
     published = target.read(spark, TOPIC_SILVER)
     return published.select(F.col("key").cast("string").alias("key"), *_decoded("value", *_SILVER_FIELDS))
 
@@ -233,7 +349,7 @@ def archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "archive-stream")
     tab.archive_stream(
-        stream, path, scratch_path(spark, "checkpoint"), records_per_file=100_000, trigger=_NOW
+        stream, path, scratch_path(spark, "checkpoint"), trigger=_NOW
     ).awaitTermination()
     schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType())])
     return read_raw_archive(spark, path, schema)
@@ -253,7 +369,8 @@ def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
     valid, _ = val.split_valid(_validated(spark, sf_dir))
-    msg.publish_bronze(valid, target, body="post", raw="value")
+    messages, _ = msg.flattened(valid, "post", raw="value")
+    msg.publish_bronze(messages, target, 0, run="query")
     return target.read(spark, TOPIC_BRONZE).select(
         F.col("key").cast("string").alias("key"),
         *_decoded("value", "tweet_id", "lang", "like_count", "retweet_count", "created_at"),
@@ -265,7 +382,7 @@ def publish_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
     _, rejected = val.split_valid(_validated(spark, sf_dir))
-    msg.publish_audit(val.to_audit_event(rejected), target)
+    msg.publish_audit(val.to_audit_event(rejected), target, 0, "collector", run="query")
     return target.read(spark, TOPIC_AUDIT).select(
         F.col("key").cast("string").alias("key"),
         F.get("headers", F.lit(0))["value"].cast("string").alias("audit_type"),
@@ -276,8 +393,10 @@ def publish_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    validated = _validated(spark, sf_dir)
-    keyed = validated.select("run_id", "doc_id", "errors", text_of("post", "author_id").alias("author_id"))
+    validated = flatten.flatten_tweets(_validated(spark, sf_dir), "post", raw="value")
+    keyed = validated.select(
+        "run_id", "doc_id", "errors", "flatten_error", text_of("post", "author_id").alias("author_id")
+    )
     merged = profiles.merge_profiles(keyed, _profiles(spark, sf_dir), spread_by="doc_id")
     return reports.run_summary(merged)
 
@@ -560,11 +679,29 @@ def search_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def search_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An explicit query replaces keywords and their filters; language still applies."""
-    config = search.SearchConfig(query="the OR is", lang="en", min_retweets=30, max_results=999)
+    config = search.SearchConfig(
+        query="the OR is", lang="en", min_retweets=30, max_results=999, ceiling=MAX_RESULTS_PER_COLLECT
+    )
     found = search.search_filter(P.parse_created_at(inputs.posts(spark, sf_dir)), config)
     return search.cap_results(found, "source", ["doc_id"], config.max_results).select("source", "tweet_id")
 
 
+@_register
+def search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword search, the query it stands for, and a query with all operators."""
+    tweets = P.parse_created_at(inputs.posts(spark, sf_dir))
+    keywords = search.SearchConfig(keywords='les OR "décision var" OR the', min_retweets=3)
+    queries = {
+        "keywords": keywords,
+        "explicit": search.SearchConfig(query=keywords.query),
+        "all": search.SearchConfig(query='(les OR (the -is)) -lang:de min_retweets:2 -"analyse vidéo"'),
+    }
+    parts = [
+        search.search_filter(tweets, q).select(F.lit(name).alias("query"), "tweet_id") for name, q in queries.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @_register
 def cap_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
@@ -604,7 +741,8 @@ def top_engaged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def staging_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.staging_total(_staging(spark, sf_dir))
+    """Staging keeps one row per readable message, so those are counted, without enriching them."""
+    return reports.staging_total(P.drop_unparseable(P.parse_tweets(inputs.flat_messages(spark, sf_dir))))
 
 
 @_register
@@ -711,14 +849,72 @@ def durable_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.staging_total(tab.read_staging(spark, path))
 
 
+def _in_batches(spark: SparkSession, rows: DataFrame) -> StreamConfig:
+    """A job over the rows in at least three micro-batches."""
+    return StreamConfig(
+        source_path=_in_waves(spark, rows, [f"doc_id % 3 = {i}" for i in range(3)]),
+        max_offsets_per_trigger=1,
+        trigger_interval="availableNow",
+        checkpoint_location=scratch_path(spark, "checkpoint"),
+    )
+
+
+@_register
+def audit_three_producers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects and dead letters of two routing jobs, and log lines, in one audit folder."""
+    target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
+    nested = inputs.nested_messages(spark, sf_dir)
+    for half in (0, 1):
+        job.run_routing(spark, _in_batches(spark, nested.where(f"doc_id % 2 = {half}")), target).awaitTermination()
+    lines = inputs.log_lines(spark, sf_dir).withColumnRenamed("event_id", "doc_id")
+    job.run_app_logs(spark, _in_batches(spark, lines), target).awaitTermination()
+    return _by_category(spark, target)
+
+
+def _collected(spark: SparkSession, sf_dir: str) -> tuple[msg.MessageTarget, str, DataFrame]:
+    target, archive = msg.MessageTarget(folder=scratch_path(spark, "topics")), scratch_path(spark, "archive")
+    pages = inputs.api_pages(spark, sf_dir)
+    failures = pages.where("run_id = 'empty'").selectExpr("'failed' AS run_id", "'API: 500' AS error")
+    summary = collection.run_collection(
+        pages, _profiles(spark, sf_dir), target, archive, "query",
+        failures=failures, ingested_at=F.lit("2024-02-01").cast("timestamp"),
+    )
+    return target, archive, summary
+
+
+@_register
+def collection_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The author's profile inside archived and published posts, and what went to audit."""
+    target, archive, _ = _collected(spark, sf_dir)
+    user = ("user_username", "user_followers_count", "enriched")
+    kept = spark.read.text(archive).select(F.lit("archive").alias("place"), *_decoded("value", "id", *user))
+    sent = target.read(spark, TOPIC_BRONZE).select(
+        F.lit("bronze").alias("place"),
+        F.get_json_object("value", "$.tweet_id").alias("id"),
+        *(F.get_json_object("value", f"$.raw_payload.{c}").alias(c) for c in user),
+    )
+    audit = target.read(spark, TOPIC_AUDIT).select(
+        F.lit("audit").alias("place"),
+        F.get_json_object("value", "$.raw_tweet.id").alias("id"),
+        *(F.get_json_object("value", f"$.raw_tweet.{c}").alias(c) for c in user),
+    )
+    return kept.unionByName(sent).unionByName(audit)
+
+
+@_register
+def collection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, summary = _collected(spark, sf_dir)
+    return summary.select(*_SUMMARY_COLUMNS, _joined("errors"))
+
+
 @_register
 def stream_validate_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _as_files(spark, inputs.nested_messages(spark, sf_dir).select("value"), "api")
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
-    job.start(
-        read_tweets(spark, StreamConfig(source_path=source)), job.RoutingSink(target),
-        scratch_path(spark, "checkpoint"), _NOW,
-    ).awaitTermination()
+    job.run_routing(spark, _in_batches(spark, inputs.nested_messages(spark, sf_dir)), target).awaitTermination()
+    return _by_category(spark, target)
+
+
+def _by_category(spark: SparkSession, target: msg.MessageTarget) -> DataFrame:
     bronze = target.read(spark, TOPIC_BRONZE).groupBy(F.lit("bronze").alias("category")).agg(F.count("*").alias("n"))
     audit = val.route_audit(target.read(spark, TOPIC_AUDIT)).groupBy("category").agg(F.count("*").alias("n"))
     return bronze.unionByName(audit)
@@ -726,20 +922,19 @@ def stream_validate_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def stream_app_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _as_files(spark, inputs.log_lines(spark, sf_dir).select("value"), "logs")
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
-    job.start(read_app_logs(spark, source), job.LogSink(target), scratch_path(spark, "checkpoint"), _NOW).awaitTermination()
+    lines = inputs.log_lines(spark, sf_dir).withColumnRenamed("event_id", "doc_id")
+    job.run_app_logs(spark, _in_batches(spark, lines), target).awaitTermination()
     shipped = val.route_audit(target.read(spark, TOPIC_AUDIT))
     return shipped.select("category", *_decoded("value", "level", "logger", "message"))
 
 
 @_register
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages delivered twice within a batch come out once."""
-    values = inputs.flat_messages(spark, sf_dir).select("value")
-    source = _as_files(spark, values.unionByName(values), "bronze")
+    """Messages that come again in a later batch, old, new and undated ones, come out once."""
+    source = _in_waves(spark, inputs.flat_messages(spark, sf_dir), _WAVES)
     path = scratch_path(spark, "dedup")
-    enriched = P.enrich_stream(read_tweets(spark, StreamConfig(source_path=source)))
+    enriched = P.enrich_stream(read_tweets(spark, StreamConfig(source_path=source, max_offsets_per_trigger=1)))
     job.start(
         job.stream_dedup(enriched), tab.StagingTableSink(path), scratch_path(spark, "checkpoint"), _NOW
     ).awaitTermination()
@@ -748,10 +943,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _as_files(spark, inputs.nested_messages(spark, sf_dir).select("value"), "api")
+    config = _in_batches(spark, inputs.nested_messages(spark, sf_dir))
     path = scratch_path(spark, "counters")
     job.start(
-        read_tweets(spark, StreamConfig(source_path=source)), job.CounterSink(path),
-        scratch_path(spark, "checkpoint"), _NOW,
+        read_tweets(spark, config), job.CounterSink(path), config.checkpoint_location, _NOW
     ).awaitTermination()
     return job.stream_metrics(spark.read.schema("counter string, label string, n long").parquet(path))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. The number of shuffle partitions is left to the
 # cluster; AQE coalesces small ones and splits skewed join partitions.
@@ -61,3 +61,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table into the shared folder and read it back, so that later steps start there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

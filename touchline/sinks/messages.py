@@ -12,6 +12,7 @@ from touchline.functions.hashtags import partition_key
 from touchline.operators.flatten import flatten_tweets
 from touchline.operators.posts import to_kafka_frame
 from touchline.schemas import HEADERS_TYPE, MESSAGE_SCHEMA
+from touchline.sinks.slots import slot
 from touchline.vocabulary import TOPIC_AUDIT, TOPIC_BRONZE, TOPIC_SILVER
 
 logger = logging.getLogger(__name__)
@@ -37,11 +38,14 @@ class MessageTarget:
     def topic_path(self, topic: str) -> str:
         return f"{self.folder}/{topic}"
 
-    def write(self, messages: DataFrame, topic: str, batch_id: int = 0) -> None:
+    def write(
+        self, messages: DataFrame, topic: str, batch_id: int, producer: str, run: str | None = None
+    ) -> None:
         """Write ``key, value[, headers]``.
 
-        In a folder each batch replaces its own partition, so a retried batch does
-        not add its messages twice. A topic is at-least-once; readers deduplicate.
+        In a folder each producer, run and batch has a place of its own, which a retried
+        batch replaces; so producers share a topic, and a new checkpoint adds to it. A
+        topic of brokers is at-least-once; readers deduplicate.
         """
         if self.brokers:
             writer = messages.write.format("kafka").options(**self.options)
@@ -54,7 +58,8 @@ class MessageTarget:
         shaped = messages.select(
             F.col("key").cast("binary"), F.col("value").cast("string"), F.col("headers")
         )
-        shaped.write.mode("overwrite").parquet(f"{self.topic_path(topic)}/batch_id={batch_id}")
+        place = slot(messages, batch_id, run, producer)
+        shaped.write.mode("overwrite").parquet(f"{self.topic_path(topic)}/{place}")
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         """The messages of a topic kept in a folder."""
@@ -65,41 +70,43 @@ class MessageTarget:
 class SilverPublisher:
     """``foreachBatch`` sink: enriched rows to the silver topic, keyed by post id."""
 
-    def __init__(self, target: MessageTarget, topic: str = TOPIC_SILVER) -> None:
+    def __init__(self, target: MessageTarget, topic: str = TOPIC_SILVER, run: str | None = None) -> None:
         self._target = target
         self._topic = topic
+        self._run = run
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        self._target.write(to_kafka_frame(batch_df), self._topic, batch_id)
+        self._target.write(to_kafka_frame(batch_df), self._topic, batch_id, "enrichment", self._run)
         logger.info("batch %s published to %s", batch_id, self._topic)
 
 
-def bronze_messages(valid: DataFrame, body: str = "value", raw: str | None = None) -> DataFrame:
-    """Valid nested posts as flat messages keyed by author."""
+def flattened(valid: DataFrame, body: str = "value", raw: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Valid nested posts as flat messages keyed by author, and those that cannot be flattened.
+
+    The latter (an empty id, for one) carry the reason in ``errors``, ready for the audit.
+    """
     flat = flatten_tweets(valid, body, author="_author", raw=raw)
-    return flat.where(F.col("flatten_error").isNull()).select(
-        partition_key("_author").alias("key"), F.col("flat").alias("value")
-    )
+    failed = F.col("flatten_error").isNotNull()
+    messages = flat.where(~failed).select(partition_key("_author").alias("key"), F.col("flat").alias("value"))
+    rejected = flat.where(failed).withColumn("errors", F.array("flatten_error"))
+    return messages, rejected.drop("flat", "flatten_error", "_author")
 
 
 def publish_bronze(
-    valid: DataFrame,
-    target: MessageTarget,
-    batch_id: int = 0,
-    body: str = "value",
-    raw: str | None = None,
+    messages: DataFrame, target: MessageTarget, batch_id: int, run: str | None = None, producer: str = "collector"
 ) -> None:
-    """Valid posts to the bronze topic.
+    """Flat messages to the bronze topic.
 
     In a folder, an author's posts are brought together by ``rebalance``, which
     splits an author too large for one partition.
     """
-    messages = bronze_messages(valid, body, raw)
     if not target.brokers:
         messages = messages.hint("rebalance", "key")
-    target.write(messages, TOPIC_BRONZE, batch_id)
+    target.write(messages, TOPIC_BRONZE, batch_id, producer, run)
 
 
-def publish_audit(events: DataFrame, target: MessageTarget, batch_id: int = 0) -> None:
-    """Audit messages with their type header to the audit topic."""
-    target.write(events, TOPIC_AUDIT, batch_id)
+def publish_audit(
+    events: DataFrame, target: MessageTarget, batch_id: int, producer: str, run: str | None = None
+) -> None:
+    """Audit messages with their type header to the audit topic, which several producers share."""
+    target.write(events, TOPIC_AUDIT, batch_id, producer, run)

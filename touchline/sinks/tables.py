@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.schemas import STAGING_COLUMNS, STAGING_SCHEMA
-from touchline.vocabulary import ARCHIVE_RECORDS_PER_FILE, ARCHIVE_ROTATION, ARCHIVE_TIME_ZONE
+from touchline.sinks.slots import slot
+from touchline.vocabulary import ARCHIVE_ROTATION, ARCHIVE_TIME_ZONE
 
 logger = logging.getLogger(__name__)
 
@@ -18,25 +19,47 @@ BatchSink = Callable[[DataFrame, int], None]
 
 
 class StagingTableSink:
-    """``foreachBatch`` sink writing from the executors, one partition per batch.
+    """``foreachBatch`` sink writing from the executors, one folder per run and batch.
 
-    A batch replaces its own partition, so a retry after a failure leaves each row
-    once. Write errors propagate and fail the batch.
+    A batch replaces its own folder, so a retry after a failure leaves each row
+    once; another checkpoint is another run and adds to the table. Inside, rows lie by
+    the date of their processing. Write errors propagate and fail the batch.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, run: str | None = None) -> None:
         self._path = path
+        self._run = run
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        batch_df.write.mode("overwrite").parquet(f"{self._path}/batch_id={batch_id}")
-        logger.info("batch %s written to %s", batch_id, self._path)
+        dated = batch_df.withColumn("date", F.to_date("processed_at"))
+        folder = f"{self._path}/{slot(batch_df, batch_id, self._run)}"
+        dated.write.mode("overwrite").partitionBy("date").parquet(folder)
+        logger.info("batch %s written to %s", batch_id, folder)
 
 
-def read_staging(spark: SparkSession, path: str) -> DataFrame:
-    """The staging columns, without the batch partition."""
-    return spark.read.schema(STAGING_SCHEMA).parquet(path).select(*STAGING_COLUMNS)
+def read_staging(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """The staging columns; with ``since`` only dates from then on are looked at."""
+    rows = spark.read.schema(STAGING_SCHEMA).parquet(path)
+    if since is not None:
+        rows = rows.where(F.col("date") >= F.lit(since).cast("date"))
+    return rows.select(*STAGING_COLUMNS)
+
+
+def compact_staging(spark: SparkSession, path: str, into: str, before: str) -> None:
+    """Copy all rows processed before a date into few files per date below ``into``.
+
+    A repeated call replaces the same dates. ``into`` reads like the table itself; the
+    folders of the copied batches can then be dropped by the caller.
+    """
+    rows = spark.read.schema(STAGING_SCHEMA).parquet(path)
+    old = rows.where(F.col("date") < F.lit(before).cast("date")).select(*STAGING_COLUMNS, "date")
+    (
+        old.hint("rebalance", "date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date")
+        .parquet(into)
+    )
 
 
 class DualSink:
@@ -68,44 +91,79 @@ def date_partitions(moment: Column, zone: str = "UTC") -> dict[str, Column]:
     }
 
 
-def write_raw_archive(posts: DataFrame, path: str, ingested_at: Column | None = None) -> int:
+def log_failure(error: Exception) -> None:
+    """For ``write_raw_archive``: a failed archive must not stop a collection."""
+    logger.error("raw archive write failed", exc_info=error)
+
+
+def write_raw_archive(
+    posts: DataFrame,
+    path: str,
+    ingested_at: Column | None = None,
+    on_error: Callable[[Exception], None] | None = None,
+    body: str | None = None,
+) -> int:
     """Append posts, before validation, as NDJSON below ``year=/month=/day=``.
 
-    Returns the number of rows written, counted by the write itself. Storage
-    errors are logged and give 0: they must not stop a collection.
+    ``body`` names a column that holds a post's JSON already; else a post is its columns.
+
+    Returns the number of rows written, counted by the write itself. Errors propagate.
+    With ``on_error`` the input is computed and kept first, so that errors of the query
+    itself still propagate; what fails after that is the storage, goes to ``on_error``, and gives 0.
     """
     moment = ingested_at if ingested_at is not None else F.current_timestamp()
     written = Observation()
-    dated = posts.withColumns(date_partitions(moment)).observe(written, F.count(F.lit(1)).alias("rows"))
+    kept = posts.persist() if on_error is not None else posts
     try:
-        dated.write.mode("append").partitionBy("year", "month", "day").json(path)
-        return written.get["rows"]
-    except Exception:
-        logger.exception("raw archive write to %s failed", path)
-        return 0
+        if on_error is not None:
+            kept.count()
+        dated = kept.withColumns(date_partitions(moment)).observe(written, F.count(F.lit(1)).alias("rows"))
+        brought = dated.hint("rebalance", "year", "month", "day")
+        try:
+            if body is not None:
+                brought = brought.select(body, "year", "month", "day")
+            writer = brought.write.mode("append").partitionBy("year", "month", "day")
+            writer.json(path) if body is None else writer.text(path)
+            return written.get["rows"]
+        except Exception as error:
+            if on_error is None:
+                raise
+            on_error(error)
+            return 0
+    finally:
+        if on_error is not None:
+            kept.unpersist()
 
 
 def archive_stream(
     messages: DataFrame,
     path: str,
     checkpoint: str,
-    records_per_file: int = ARCHIVE_RECORDS_PER_FILE,
+    records_per_file: int = 1_000_000,
     trigger: dict[str, str | bool] | None = None,
 ) -> StreamingQuery:
     """Archive JSON messages by record day in the archive's time zone.
 
-    ``messages`` has ``value`` and ``timestamp``. The file sink's own log makes the
-    archive exactly-once. Raise ``records_per_file`` where files would be tiny.
+    ``messages`` has ``value`` and ``timestamp``. Each micro-batch replaces its own folder
+    below the run's, so a retry adds nothing, and no list of files grows on the
+    driver. The published file size of 100 records is available as ``ARCHIVE_RECORDS_PER_FILE``.
     """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.hint("rebalance", "year", "month", "day")
+            .write.mode("overwrite")
+            .partitionBy("year", "month", "day")
+            .option("maxRecordsPerFile", records_per_file)
+            .text(f"{path}/{slot(batch, batch_id)}")
+        )
+
     lines = messages.withColumns(date_partitions(F.col("timestamp"), ARCHIVE_TIME_ZONE)).select(
         F.col("value").cast("string").alias("value"), "year", "month", "day"
     )
     return (
-        lines.writeStream.format("text")
-        .partitionBy("year", "month", "day")
-        .option("path", path)
+        lines.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", records_per_file)
         .trigger(**(trigger or {"processingTime": ARCHIVE_ROTATION}))
         .outputMode("append")
         .start()

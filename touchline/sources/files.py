@@ -14,7 +14,8 @@ _DATE_PARTITIONS = [StructField(n, StringType(), True) for n in ("year", "month"
 
 def read_raw_archive(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Date-partitioned NDJSON; filters on ``year``, ``month``, ``day`` prune folders."""
-    return spark.read.schema(StructType([*schema.fields, *_DATE_PARTITIONS])).json(path)
+    full = StructType([*schema.fields, *_DATE_PARTITIONS])
+    return spark.read.schema(full).json(path).select(*full.fieldNames())
 
 
 def read_app_logs(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

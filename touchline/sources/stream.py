@@ -22,12 +22,12 @@ class StreamConfig:
     brokers: str = "localhost:9092"
     topic: str = TOPIC_BRONZE
     starting_offsets: str = "latest"
-    max_offsets_per_trigger: int = 1000
+    #: Offsets of a micro-batch, or files where the source is a folder; None: all there are.
+    max_offsets_per_trigger: int | None = None
     checkpoint_location: str | None = None
     trigger_interval: str = "30 seconds"
     project: str = "local-project"
     staging_table: str = "local-project.twitter_staging.tweets"
-    api_endpoint: str | None = None
     source_path: str | None = None
 
     def checkpoint(self, spark: SparkSession) -> str:
@@ -50,17 +50,15 @@ _ENV = {
     "TRIGGER_INTERVAL": "trigger_interval",
     "GCP_PROJECT_ID": "project",
     "BQ_TABLE": "staging_table",
-    "BQ_API_ENDPOINT": "api_endpoint",
     "SOURCE_PATH": "source_path",
 }
 
 
 def config_from_env(env: Mapping[str, str]) -> StreamConfig:
-    """Settings from the environment; an empty endpoint counts as unset."""
+    """Settings from the environment."""
     given: dict[str, object] = {name: env[var] for var, name in _ENV.items() if var in env}
     if "max_offsets_per_trigger" in given:
         given["max_offsets_per_trigger"] = int(env["MAX_OFFSETS_PER_TRIGGER"])
-    given["api_endpoint"] = given.get("api_endpoint") or None
     config = StreamConfig(**given)
     if "staging_table" not in given:
         config = replace(config, staging_table=f"{config.project}.twitter_staging.tweets")
@@ -69,24 +67,26 @@ def config_from_env(env: Mapping[str, str]) -> StreamConfig:
 
 def source_options(config: StreamConfig) -> dict[str, str]:
     """Kafka reader options."""
-    return {
+    options = {
         "kafka.bootstrap.servers": config.brokers,
         "subscribe": config.topic,
         "startingOffsets": config.starting_offsets,
-        "maxOffsetsPerTrigger": str(config.max_offsets_per_trigger),
         "includeHeaders": "true",
     }
+    if config.max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(config.max_offsets_per_trigger)
+    return options
 
 
-def read_tweets(spark: SparkSession, config: StreamConfig, max_files: int | None = None) -> DataFrame:
+def read_tweets(spark: SparkSession, config: StreamConfig) -> DataFrame:
     """The topic as a streaming DataFrame with its payload in ``value``.
 
-    From a folder, ``max_files`` bounds a micro-batch as the offset limit does for
-    the topic.
+    From a folder the limit of a micro-batch counts files, oldest first; a start at ``latest`` is
+    not possible there, all files are read.
     """
     if config.source_path is None:
         return spark.readStream.format("kafka").options(**source_options(config)).load()
     reader = spark.readStream.schema(_TEXT).format("text")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    if config.max_offsets_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", config.max_offsets_per_trigger)
     return reader.load(config.source_path)

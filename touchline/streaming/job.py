@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline.functions.hashtags import detect_club, extract_hashtags
 from touchline.functions.variants import with_post
+from touchline.operators.flatten import flatten_tweets
 from touchline.operators.applogs import drop_blank_lines, parse_app_logs, to_log_event
 from touchline.operators.posts import enrich_stream
 from touchline.operators.validation import (
@@ -22,9 +23,11 @@ from touchline.operators.validation import (
     to_dead_letter,
     validate_tweets,
 )
-from touchline.session import build_session
-from touchline.sinks.messages import MessageTarget, publish_audit, publish_bronze
-from touchline.sinks.tables import StagingTableSink
+from touchline.session import build_session, scratch_root
+from touchline.sinks.messages import MessageTarget, flattened, publish_audit, publish_bronze
+from touchline.sinks.slots import slot
+from touchline.sinks.tables import StagingTableSink, archive_stream
+from touchline.sources.files import read_app_logs
 from touchline.sources.stream import StreamConfig, config_from_env, read_tweets
 from touchline.vocabulary import TOPIC_BRONZE
 
@@ -53,16 +56,20 @@ def run_stream(
 
 
 class RoutingSink:
-    """Per batch: valid posts to bronze, rejects and unreadable records to audit.
+    """Per batch: valid posts to bronze, everything else to audit.
 
-    The validated batch is cached, so the body is parsed once for both writes. A
-    bad record only ever changes its own route.
+    Audit takes rejects, unreadable records, and valid posts that cannot be flattened, so
+    each record ends in exactly one of the two topics. The validated batch is cached, so
+    the body is parsed once for both writes. A bad record only ever changes its own route.
     """
 
-    def __init__(self, target: MessageTarget, body: str = "value", topic: str = TOPIC_BRONZE) -> None:
+    def __init__(
+        self, target: MessageTarget, body: str = "value", topic: str = TOPIC_BRONZE, run: str | None = None
+    ) -> None:
         self._target = target
         self._body = body
         self._topic = topic
+        self._run = run
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         parsed = with_post(batch_df, self._body)
@@ -70,12 +77,14 @@ class RoutingSink:
         try:
             readable, unreadable = split_unreadable(validated, "post")
             valid, rejected = split_valid(readable)
-            publish_bronze(valid, self._target, batch_id, "post", raw=self._body)
+            messages, unflattened = flattened(valid, "post", raw=self._body)
+            publish_bronze(messages, self._target, batch_id, self._run)
             audit = audit_union(
                 to_audit_event(rejected, self._body),
+                to_audit_event(unflattened, self._body),
                 to_dead_letter(unreadable, self._topic, self._body),
             )
-            publish_audit(audit, self._target, batch_id)
+            publish_audit(audit, self._target, batch_id, "routing", self._run)
         finally:
             validated.unpersist()
 
@@ -83,17 +92,20 @@ class RoutingSink:
 class CounterSink:
     """Per batch: sent and rejected counters as a small table.
 
-    One row per counter and label; summing over ``batch_id`` gives totals that
-    survive restarts and retried batches.
+    One row per counter and label; summing over runs and batches gives totals that
+    survive restarts and retried batches. Sent is what can be flattened and so is written.
     """
 
-    def __init__(self, path: str, body: str = "value") -> None:
+    def __init__(self, path: str, body: str = "value", run: str | None = None) -> None:
         self._path = path
         self._body = body
+        self._run = run
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         readable, _ = split_unreadable(with_post(batch_df, self._body), "post")
-        validated = validate_tweets(readable, "post")
+        validated = flatten_tweets(validate_tweets(readable, "post"), "post", raw=self._body)
+        failed = F.when(F.size("errors") == 0, F.array_compact(F.array("flatten_error"))).otherwise(F.col("errors"))
+        validated = validated.withColumn("errors", failed)
         club = detect_club(extract_hashtags("post"))
         sent = F.struct(F.lit("sent").alias("counter"), club.alias("label"))
         rejected = F.transform(
@@ -101,7 +113,7 @@ class CounterSink:
         )
         increments = F.when(F.size("errors") == 0, F.array(sent)).otherwise(rejected)
         counted = validated.select(F.inline(increments)).groupBy("counter", "label").agg(F.count("*").alias("n"))
-        counted.write.mode("overwrite").parquet(f"{self._path}/batch_id={batch_id}")
+        counted.write.mode("overwrite").parquet(f"{self._path}/{slot(batch_df, batch_id, self._run)}")
 
 
 def stream_metrics(counters: DataFrame) -> DataFrame:
@@ -118,39 +130,65 @@ def observe_counters(validated: DataFrame, name: str = "posts") -> DataFrame:
 class LogSink:
     """Log lines to audit messages."""
 
-    def __init__(self, target: MessageTarget) -> None:
+    def __init__(self, target: MessageTarget, run: str | None = None) -> None:
         self._target = target
+        self._run = run
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         events = to_log_event(parse_app_logs(drop_blank_lines(batch_df)))
-        publish_audit(events, self._target, batch_id)
+        publish_audit(events, self._target, batch_id, "logs", self._run)
 
 
 def stream_dedup(enriched: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """First copy of each post within ``delay`` of event time.
+    """First copy of each post to arrive; copies within ``delay`` of it are dropped.
 
-    Posts without a usable creation time count by processing time.
+    Time is that of arrival, which is one value per micro-batch and never goes back. So no
+    post is ever late, however old it is, and state is kept for ``delay``.
     """
-    return (
-        enriched.withColumn("_event_time", F.coalesce("created_at", "processed_at"))
-        .withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(["tweet_id"])
-        .drop("_event_time")
-    )
+    return enriched.withWatermark("processed_at", delay).dropDuplicatesWithinWatermark(["tweet_id"])
 
 
 def staging_path(spark: SparkSession, config: StreamConfig) -> str:
-    """Folder of the staging table below the warehouse."""
-    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    return f"{root}/{config.staging_table.replace('.', '/')}"
+    """Folder of the staging table in the folder that the cluster shares."""
+    return f"{scratch_root(spark)}/tables/{config.staging_table.replace('.', '/')}"
 
 
-def main() -> int:
+def run_routing(spark: SparkSession, config: StreamConfig, target: MessageTarget) -> StreamingQuery:
+    """Nested posts -> bronze and audit."""
+    return start(read_tweets(spark, config), RoutingSink(target), config.checkpoint(spark), config.trigger())
+
+
+def run_app_logs(spark: SparkSession, config: StreamConfig, target: MessageTarget) -> StreamingQuery:
+    """Finished log files below ``source_path`` -> audit."""
+    return start(read_app_logs(spark, config.source_path), LogSink(target), config.checkpoint(spark), config.trigger())
+
+
+def run_archive(spark: SparkSession, config: StreamConfig, path: str) -> StreamingQuery:
+    """Messages of a topic -> dated NDJSON; those from a folder get the time of their reading."""
+    messages = read_tweets(spark, config)
+    if "timestamp" not in messages.columns:
+        messages = messages.withColumn("timestamp", F.current_timestamp())
+    return archive_stream(messages.select("value", "timestamp"), path, config.checkpoint(spark), trigger=config.trigger())
+
+
+def main(job: str = "enrich") -> int:
+    """Run one of the jobs: enrich, route, logs or archive."""
     config = config_from_env(os.environ)
     spark = build_session()
-    run_stream(spark, config, StagingTableSink(staging_path(spark, config))).awaitTermination()
+    target = MessageTarget(brokers=config.brokers)
+    if job == "enrich":
+        query = run_stream(spark, config, StagingTableSink(staging_path(spark, config)))
+    elif job == "route":
+        query = run_routing(spark, config, target)
+    elif job == "logs":
+        query = run_app_logs(spark, config, target)
+    elif job == "archive":
+        query = run_archive(spark, config, f"{scratch_root(spark)}/archive/{config.topic}")
+    else:
+        raise ValueError(f"no such job: {job}")
+    query.awaitTermination()
     return 0
 
 
 if __name__ == "__main__":
-    sys.exit(main())
+    sys.exit(main(*sys.argv[1:2]))
