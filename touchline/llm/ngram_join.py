@@ -6,13 +6,15 @@ when tokens are put in one global order, the first ``n - t + 1`` tokens of both
 meet. Order and index follow the token's class:
 
 * rare tokens come first and are indexed one by one;
-* frequent tokens come last, dealt into a number of classes that grows with the size of
-  the set. Of each class *pairs* are indexed, and the prefix is extended by one token
-  for each class it touches, so that a similar pair still shares a signature.
+* frequent tokens come after them, and very frequent ones last, so that a passage found in
+  many texts is hardly ever in a prefix. Both are dealt into a number of classes that
+  grows with the size of the set. Of each class *pairs* are indexed, and the prefix is
+  extended by one token for each class it touches, so that a similar pair still shares
+  a signature.
 
 A token is frequent if two different sets have it among their first tokens by hash, a
 quarter more than a prefix (or if its bit in a bounded bit map is set by one that is);
-this is counted over all sets. Which tokens are
+this is counted over all sets; it is very frequent from ``OFTEN`` times on. Which tokens are
 called frequent decides the work and never the result. Sets whose signatures meet form
 candidate groups. All pairs of a group are verified against whole sets, in blocks of
 bounded size and of neighbouring set sizes. A block hands on a spanning forest of its
@@ -34,11 +36,11 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm import arrays
-from touchline.llm.shared import bit_map, components, in_map, stored, text_key
+from touchline.llm.shared import bit_map, bit_maps, components, in_map, stored, text_key
 
 #: Bits of the maps of frequent tokens, shared signatures and candidate texts: 8 MB each. More
 #: bits call fewer rare tokens frequent in a large corpus; they decide the work only.
@@ -48,6 +50,8 @@ BLOCK_SHINGLES = 1 << 20
 BLOCK_SETS = 1024
 #: Tokens of a class in a prefix, about.
 CLASS_TOKENS = 8
+#: Lists that have a very frequent token.
+OFTEN = 32
 #: Tokens in fewer sets of a block than this are counted pair by pair, others by matrix product.
 DENSE = 32
 
@@ -99,17 +103,19 @@ class Threshold:
         return max(1, self.prefix(self.lows[band]) // CLASS_TOKENS)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, rule: Threshold) -> np.ndarray:
-    """Hashes to index a sorted set by; ``frequent`` tells the class of each token."""
+def signatures(tokens: np.ndarray, frequent: np.ndarray, often: np.ndarray, rule: Threshold) -> np.ndarray:
+    """Hashes to index a sorted set by; ``frequent`` and ``often`` tell which tokens are frequent, and very frequent."""
     if not len(tokens):
         return tokens
     need = rule.prefix(len(tokens))
     rare = tokens[~frequent][:need]
     if len(rare) == need:
         return rare
-    common, out, own = tokens[frequent], [rare], rule.band(len(tokens))
+    out, own = [rare], rule.band(len(tokens))
+    common = np.concatenate([tokens[frequent & ~often], tokens[frequent & often]])
+    very = np.repeat(np.array([0, 1], dtype=np.uint64), [(frequent & ~often).sum(), (frequent & often).sum()])
     for band in (own, own + 1):  # a partner's band is this one, the one above or the one below
-        label = arrays.mix(common ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(rule.classes(band))
+        label = arrays.mix(common ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(rule.classes(band)) * np.uint64(2) + very
         first = np.zeros(len(common), dtype=bool)
         first[np.unique(label, return_index=True)[1]] = True
         enough = np.searchsorted(np.cumsum(~first), need - len(rare)) + 1
@@ -153,13 +159,13 @@ def _per_text(k: int, pick: Callable[[np.ndarray], np.ndarray], wanted=None) ->
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Tokens (as ``h``) that at least two different sets have in their list."""
+    """Tokens (as ``h``) that at least two different sets have in their list, and the number of lists."""
     return (
         rows.select("h", F.explode("tokens").alias("token"))
         .groupBy("token")
-        .agg(F.min("h").alias("low"), F.max("h").alias("high"))
+        .agg(F.min("h").alias("low"), F.max("h").alias("high"), F.count("*").alias("n"))
         .where("low <> high")
-        .select(F.col("token").alias("h"))
+        .select(F.col("token").alias("h"), "n")
     )
 
 
@@ -246,11 +252,17 @@ def _blocks(members: DataFrame, rule: Threshold) -> DataFrame:
     blocks = F.expr(f"CAST(ceil(greatest(sum(n) / {BLOCK_SHINGLES}, count(*) / {BLOCK_SETS})) AS INT)")
     cuts = F.array(*(F.lit(x) for x in rule.lows))
     band = F.when(F.col("whole") == 1, 0).otherwise(F.size(F.filter(cuts, lambda x: x <= F.col("n"))))
-    whole = members.groupBy("root").agg(blocks.alias("whole"))
+    # Tables of a row per group are written, so that joins on a large group can be split.
+    whole = stored(members.groupBy("root").agg(blocks.alias("whole")), "groups")
     banded = members.join(whole, "root").withColumn("band", band).drop("whole")
-    sizes = banded.groupBy("root", "band").agg(blocks.alias("blocks"))
-    near = sizes.select("root", F.explode(F.array("band", F.col("band") - 1, F.col("band") + 1)).alias("band"),
-                        F.col("band").alias("other"), F.col("blocks").alias("others"))
+    sizes = stored(banded.groupBy("root", "band").agg(blocks.alias("blocks")), "sizes")
+    bands = F.explode(F.array("band", F.col("band") - 1, F.col("band") + 1)).alias("band")
+    near = sizes.select("root", bands, F.col("band").alias("other"), F.col("blocks").alias("others")).join(
+        sizes.select("root", "band"), ["root", "band"]
+    )
+    # A unit of two neighbouring bands compares all its sets, also those of one band.
+    alone = F.count("*").over(Window.partitionBy("root", "band")) == 1
+    near = near.withColumn("alone", alone).where("band <> other OR others > 1 OR alone").drop("alone")
     own = banded.join(sizes, ["root", "band"]).withColumn("block", F.expr("CAST(pmod(xxhash64(h), blocks) AS INT)"))
     pairs = own.join(near, ["root", "band"]).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
     here, there = F.struct("band", "block"), F.struct(F.col("other").alias("band"), F.col("j").alias("block"))
@@ -279,12 +291,13 @@ def near_duplicates(
         "prefixes",
     )
     taking_part = rows.where("doc_id IS NOT NULL AND n > 0")
-    frequent = spark.sparkContext.broadcast(bit_map(_shared(taking_part), map_bits))
+    counted = _shared(taking_part).withColumn("also", F.col("n") >= OFTEN)
+    maps = spark.sparkContext.broadcast(bit_maps(counted, map_bits))
     signed = stored(
         texts.where("doc_id IS NOT NULL")
         .select("text_key", "text")
         .mapInArrow(
-            _per_text(k, lambda x: signatures(x, in_map(frequent.value, x), rule)), f"text_key bigint, {lists}"
+            _per_text(k, lambda x: signatures(x, *(in_map(m, x) for m in maps.value), rule)), f"text_key bigint, {lists}"
         )
         .drop("text_key"),
         "signatures",
@@ -303,28 +316,30 @@ def near_duplicates(
     # Whole sets of the members only: their texts are found again by a map of the keys.
     reps = rows.join(members.select("h"), "h").groupBy("h").agg(F.min("text_key").alias("text_key"))
     wanted = spark.sparkContext.broadcast(bit_map(reps.select(F.col("text_key").alias("h")), map_bits))
-    sets = stored(
+    sets = (
         texts.select("text_key", "text")
         .mapInArrow(_per_text(k, lambda x: x, wanted), f"text_key bigint, {lists}")
         .select("h", "tokens")
-        .join(members.select("h"), "h", "left_semi")
-        .dropDuplicates(["h"]),
-        "sets",
+        .dropDuplicates(["h"])
     )
     links = (
-        _blocks(members, rule)
-        .join(sets, "h")
+        sets.join(_blocks(members, rule), "h")
         .groupBy("unit")
         .applyInArrow(_verified(num, den), "a bigint, b bigint")
     )
     linked = components(links)
-    joined = rows.join(linked, F.col("h") == F.col("node"), "left").select(
-        "doc_id",
-        "text_key",
-        "n",
-        F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.coalesce("root", "h")).alias("root"),
+    joined = stored(
+        rows.join(linked, F.col("h") == F.col("node"), "left").select(
+            "doc_id",
+            "text_key",
+            "n",
+            F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.coalesce("root", "h")).alias("root"),
+        ),
+        "joined",
+    )
+    smallest = stored(
+        joined.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest")), "smallest"
     )
-    smallest = joined.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest"))
     return joined.join(smallest, "root", "left").select(
         "doc_id",
         "text_key",

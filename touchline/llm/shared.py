@@ -24,25 +24,34 @@ def text_key(text: Column | str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
-def bit_map(hashed: DataFrame, bits: int) -> np.ndarray:
-    """A map of ``2 ** bits`` bits in which the bit of each hash (column ``h``) is set.
+def bit_maps(hashed: DataFrame, bits: int) -> list[np.ndarray]:
+    """Two maps of ``2 ** bits`` bits: of each hash (column ``h``), and of those that are ``also`` true.
 
     Spark sets the bits; at most ``2 ** bits / 64`` words reach the driver, whatever
     the number of rows. Only rows whose bit is clear are known to be absent.
     """
     at = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
     rows = (
-        hashed.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+        hashed.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"), "also")
         .groupBy("word")
-        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("set"))
+        .agg(
+            F.expr("bit_or(shiftleft(1L, bit))").alias("every"),
+            F.expr("bit_or(IF(also, shiftleft(1L, bit), 0L))").alias("also"),
+        )
         .toArrow()
     )
-    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    out = [np.zeros(1 << (bits - 6), dtype=np.uint64) for _ in range(2)]
     if rows.num_rows:
-        out[rows["word"].to_numpy()] = rows["set"].to_numpy().view(np.uint64)
+        for words, name in zip(out, ("every", "also"), strict=True):
+            words[rows["word"].to_numpy()] = rows[name].to_numpy().view(np.uint64)
     return out
 
 
+def bit_map(hashed: DataFrame, bits: int) -> np.ndarray:
+    """The map of all hashes alone."""
+    return bit_maps(hashed.select("h", F.lit(False).alias("also")), bits)[0]
+
+
 def in_map(bit_words: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     """Whether the bit of each hash (uint64) is set."""
     at = hashed & np.uint64(len(bit_words) * 64 - 1)
