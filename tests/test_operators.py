@@ -81,7 +81,8 @@ def test_usernames_in_first_seen_order(spark):
 
 
 def test_search_config_limits(caplog):
-    assert search.SearchConfig(max_results=900).max_results == 250
+    assert search.SearchConfig(max_results=900).max_results == 900
+    assert search.SearchConfig(max_results=900, ceiling=250).max_results == 250
     assert "capped" in caplog.text
     with pytest.raises(ValueError):
         search.SearchConfig(max_results=9)
@@ -120,6 +121,36 @@ def test_search_filter(spark):
     assert [r.text for r in search.search_filter(df, config).collect()] == [rows[0][0], rows[6][0]]
 
 
+POSTS = [
+    (1, "Le PSG marque", "fr", 9), (2, "RT @x PSG", "fr", 9), (3, "OM et PSG", "fr", 1), (4, "psg om", "en", 9),
+    (5, "saint étienne revient", "fr", 9), (6, "étienne, saint patron", "fr", 9), (7, None, "fr", 9),
+]
+
+
+@pytest.mark.parametrize(
+    "query, ids",
+    [
+        ("psg", {1, 2, 3, 4}),
+        ("(PSG OR OM) min_retweets:5 -is:retweet", {1, 4}),
+        ("psg om", {3, 4}),
+        ("psg -om", {1, 2}),
+        ("om psg OR \"saint etienne\"", {3, 4, 5}),
+        ("-(psg OR om) lang:fr", {5, 6}),
+        ("is:retweet", {2}),
+        ("(psg (om OR marque)) -lang:en", {1, 3}),
+    ],
+)
+def test_explicit_queries(spark, query, ids):
+    df = spark.createDataFrame(POSTS, "id int, text string, lang string, retweet_count long")
+    assert {r.id for r in search.search_filter(df, search.SearchConfig(query=query)).collect()} == ids
+
+
+@pytest.mark.parametrize("query", ["", "psg OR", "(psg", "psg)", "from:me", "lang:", "#om", '""', 'say "x', "min_retweets:x"])
+def test_unreadable_queries_raise(spark, query):
+    with pytest.raises(ValueError):
+        search.query_predicate(query)
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "run_id string, page int, body string")
 
@@ -140,16 +171,20 @@ def test_pages_follow_tokens_and_stop(spark):
         ("blank", 1, json.dumps({"data": [{"id": "1"}], "meta": {"next_token": ""}})), ("blank", 2, body([2])),
     ]
     found = {}
-    for r in search.post_fields(search.read_response_pages(pages(spark, rows))).orderBy("run_id", "rank").collect():
+    for r in search.post_fields(search.read_response_pages(pages(spark, rows), cap=250)).orderBy("run_id", "rank").collect():
         found.setdefault(r.run_id, []).append((r.rank, r.tweet_id))
     assert found["two"] == [(1, "1"), (2, "2")]
     assert found["endless"] == [(i + 1, str(i)) for i in range(250)]
     assert found["bad"] == [(1, "1")] and found["gap"] == [(1, "1")] and found["blank"] == [(1, "1")]
     assert "empty" not in found
+    every = search.post_fields(search.read_response_pages(pages(spark, rows))).collect()
+    assert sorted(r["rank"] for r in every if r.run_id == "endless") == list(range(1, 401))
+    short = lambda rs: sorted((r.run_id, r["rank"], r.tweet_id) for r in rs if r.run_id != "endless")
+    assert short(every) == sorted((run, *x) for run, xs in found.items() if run != "endless" for x in xs)
 
 
 def test_page_limit_reaches_below_the_shuffle(spark):
-    plan = search.page_prefix(pages(spark, [("r", 1, body([1]))]))._jdf.queryExecution().executedPlan().toString()
+    plan = search.page_prefix(pages(spark, [("r", 1, body([1]))]), cap=250)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan.split("Exchange")[-1]
     assert plan.count("Exchange") == 1
 
@@ -197,6 +232,19 @@ def test_running_total_equals_a_plain_sum(spark):
     assert len(found) == 600
 
 
+def test_running_total_cuts_one_time_stamp(spark):
+    """All rows of a key at one time: they still spread over parts, and no window holds them all."""
+    df = spark.range(20_000).selectExpr("'k' AS k", "TIMESTAMP '2026-01-01' AS ts", "id AS i", "1L AS v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        total = running_total(df, ["k"], "ts", ["i"], "v", "total")
+        assert total.where("total <> i + 1").isEmpty() and total.count() == 20_000
+        parts = total.groupBy(F.spark_partition_id()).count().count()
+        assert parts > 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # --- reports ------------------------------------------------------------------------
 
 
@@ -219,6 +267,16 @@ def test_histogram(spark):
     assert len(rows) == 15
 
 
+def test_summary_of_empty_and_failed_runs(spark):
+    schema = "run_id string, author_id string, errors array<string>, enriched boolean, flatten_error string"
+    rows = [("r", "a", [], True, None), ("r", "b", [], None, "no id"), ("r", "b", ["x"], None, "no id")]
+    runs = spark.createDataFrame([("r", []), ("none", []), ("broken", ["API: 500"])], "run_id string, errors array<string>")
+    found = {r.run_id: r for r in reports.run_summary(spark.createDataFrame(rows, schema), runs=runs).collect()}
+    assert (found["r"].tweets_valid, found["r"].tweets_sent_to_kafka, found["r"].success) == (2, 1, True)
+    assert (found["none"].tweets_fetched, found["none"].success, float(found["none"].api_cost_estimate)) == (0, True, 0)
+    assert (found["broken"].success, found["broken"].errors) == (False, ["API: 500"])
+
+
 def test_run_summary(spark):
     rows = [("r", "a", [], True)] * 3 + [("r", "b", ["x"], None), ("r", "", [], None), ("s", None, ["y"], None)]
     df = spark.createDataFrame(rows, "run_id string, author_id string, errors array<string>, enriched boolean")
@@ -235,9 +293,9 @@ def test_run_summary(spark):
 
 def test_log_lines(spark):
     lines = [
-        "2026-08-12 15:13:52 [ERROR] api_extractor: budget exceeded",
+        "2026-04-03 07:05:09 [ERROR] shop.orders: no stock left",
         "2026-08-12 15:13:52 [INFO] a.b: x: [y] z",
-        "    at java.base/... (stack trace line)",
+        "    in handler, called twice",
         "2026-08-12 15:13:52 [INFO] a b: x",
         "2026-08-12 15:13:52 [INFO] a:  \n",
         "   \n", "", "  \x1c",
@@ -247,9 +305,9 @@ def test_log_lines(spark):
     assert set(rows) == {0, 1, 2, 3, 4}
     r = rows[0]
     assert (r.type, r.ts, r.level, r.logger, r.message) == (
-        "APP_LOG", "2026-08-12 15:13:52", "ERROR", "api_extractor", "budget exceeded"
+        "APP_LOG", "2026-04-03 07:05:09", "ERROR", "shop.orders", "no stock left"
     )
-    assert r.event_time == datetime(2026, 8, 12, 15, 13, 52)
+    assert r.event_time == datetime(2026, 4, 3, 7, 5, 9)
     assert (rows[1].level, rows[1].logger, rows[1].message) == ("INFO", "a.b", "x: [y] z")
     for i in (2, 3):
         assert (rows[i].level, rows[i].logger, rows[i].message) == ("UNPARSED", "unknown", lines[i])
@@ -262,6 +320,11 @@ def test_log_lines(spark):
 # --- dedup and retention --------------------------------------------------------------
 
 
+def test_rows_without_a_key_stay(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 2)], "tweet_id string, processed_at int")
+    assert sorted(dedup.latest_by_key(df).collect(), key=str) == sorted([(None, 1), (None, 2), ("a", 2)], key=str)
+
+
 def test_latest_by_key(spark):
     rows = [("hot", i % 7, i) for i in range(500)] + [("a", 1, 1), ("a", 1, 2)]
     df = spark.createDataFrame(rows, "tweet_id string, processed_at int, i int")
@@ -349,6 +412,19 @@ def test_disabled_and_unmatched_rules(spark):
     assert alerts.alert_states(df).count() == 0
 
 
+def test_an_alert_that_fires_again_is_told_again(spark):
+    start = datetime(2026, 1, 1, 23)
+    states = {0: "firing", 10: "inactive", 20: "firing", 90: "firing", 100: "pending", 200: "firing"}
+    rows = [("a", "warning", "s", start + timedelta(minutes=m), 1.0, x) for m, x in states.items()]
+    rows.append(("a", "warning", "t", start + timedelta(minutes=100), 1.0, "firing"))  # another series keeps it up
+    df = spark.createDataFrame(rows, "alertname string, severity string, series string, ts timestamp, value double, state string")
+    found = sorted((r.notified_at, r.repeat, r.samples) for r in alerts.group_alerts(df).collect())
+    at = lambda m: start + timedelta(minutes=m)
+    assert found == [(at(0), 0, 1), (at(20), 0, 1), (at(90), 1, 2), (at(200), 3, 1)]
+    daily = sorted((r.notified_at, r.repeat, r.samples) for r in alerts.group_alerts(df, chunk_seconds=60).collect())
+    assert daily == found
+
+
 def test_notifications_repeat_hourly(spark):
     start = datetime(2026, 1, 1)
     rows = [("a", "critical", "s", start + timedelta(minutes=m), 1.0, "firing") for m in (0, 10, 59, 60, 130)]

@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.compare import compare, connect
+from touchline.plans import oracles, registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry_returns_rows(spark):

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.operators import posts as P
 from touchline.session import scratch_path, scratch_root
@@ -10,7 +11,7 @@ from touchline.sinks import tables as tab
 from touchline.sources.files import read_raw_archive
 from touchline.sources.stream import StreamConfig, config_from_env, read_tweets, source_options
 from touchline.streaming import job
-from touchline.vocabulary import TOPIC_AUDIT, TOPIC_BRONZE
+from touchline.vocabulary import ARCHIVE_RECORDS_PER_FILE, TOPIC_AUDIT, TOPIC_BRONZE
 
 NOW = {"availableNow": True}
 
@@ -29,18 +30,18 @@ def write_file(spark, folder, values):
 def test_config_defaults():
     config = config_from_env({})
     assert (config.brokers, config.topic, config.starting_offsets) == ("localhost:9092", "tweets_raw", "latest")
-    assert config.max_offsets_per_trigger == 1000 and config.trigger() == {"processingTime": "30 seconds"}
-    assert config.staging_table == "local-project.twitter_staging.tweets" and config.api_endpoint is None
+    assert config.max_offsets_per_trigger is None and config.trigger() == {"processingTime": "30 seconds"}
+    assert config.staging_table == "local-project.twitter_staging.tweets"
 
 
 def test_config_overrides():
     env = {
         "KAFKA_BROKERS": "b1:1,b2:2", "TOPIC_NAME": "t", "STARTING_OFFSETS": "earliest",
-        "MAX_OFFSETS_PER_TRIGGER": "500", "GCP_PROJECT_ID": "p", "BQ_API_ENDPOINT": "",
+        "MAX_OFFSETS_PER_TRIGGER": "500", "GCP_PROJECT_ID": "p",
         "TRIGGER_INTERVAL": "availableNow", "CHECKPOINT_LOCATION": "/shared/x",
     }
     config = config_from_env(env)
-    assert config.staging_table == "p.twitter_staging.tweets" and config.api_endpoint is None
+    assert config.staging_table == "p.twitter_staging.tweets"
     assert config.trigger() == NOW
     assert source_options(config) == {
         "kafka.bootstrap.servers": "b1:1,b2:2", "subscribe": "t", "startingOffsets": "earliest",
@@ -80,7 +81,7 @@ def test_micro_batches_are_bounded(spark):
     source, sizes = scratch_path(spark, "in"), []
     for i in range(3):
         write_file(spark, source, [bronze(i)])
-    stream = read_tweets(spark, StreamConfig(source_path=source), max_files=1)
+    stream = read_tweets(spark, StreamConfig(source_path=source, max_offsets_per_trigger=1))
     job.start(stream, lambda df, n: sizes.append(df.count()), scratch_path(spark, "cp"), NOW).awaitTermination()
     assert sizes == [1, 1, 1]
 
@@ -91,12 +92,27 @@ def staged(spark, *ids):
 
 def test_staging_sink_replaces_a_retried_batch(spark):
     path = scratch_path(spark, "staging")
-    sink = tab.StagingTableSink(path)
+    sink = tab.StagingTableSink(path, "a")
     sink(staged(spark, 1, 2), 0)
     sink(staged(spark, 1, 2), 0)
     sink(staged(spark, 3), 1)
     sink(staged(spark, 9).where("false"), 2)
     assert sorted(r.tweet_id for r in tab.read_staging(spark, path).collect()) == ["1", "2", "3"]
+    tab.StagingTableSink(path, "b")(staged(spark, 4), 0)
+    assert tab.read_staging(spark, path).count() == 4
+    assert tab.read_staging(spark, path, since="9999-01-01").isEmpty()
+    with pytest.raises(ValueError):
+        tab.StagingTableSink(path)(staged(spark, 5), 0)
+
+
+def test_compaction(spark):
+    path, into = scratch_path(spark, "staging"), scratch_path(spark, "compact")
+    for n in range(4):
+        tab.StagingTableSink(path, "a")(staged(spark, n), n)
+    for _ in range(2):
+        tab.compact_staging(spark, path, into, before="9999-01-01")
+    found = tab.read_staging(spark, into)
+    assert sorted(r.tweet_id for r in found.collect()) == ["0", "1", "2", "3"] and len(found.inputFiles()) == 1
 
 
 class FakeBatch:
@@ -143,7 +159,9 @@ def api_post(i, **extra):
     })
 
 
-BODIES = [api_post(1), api_post(2), api_post(3, lang="en"), "{bad", api_post(4, public_metrics=None), "[]"]
+BODIES = [
+    api_post(1), api_post(2), api_post(3, lang="en"), "{bad", api_post(4, public_metrics=None), "[]", api_post(5, id=""),
+]
 
 
 def test_routing_stream(spark):
@@ -151,7 +169,7 @@ def test_routing_stream(spark):
     write_file(spark, source, BODIES)
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
     stream = read_tweets(spark, StreamConfig(source_path=source))
-    sink = job.RoutingSink(target)
+    sink = job.RoutingSink(target, run="r")
     job.start(stream, sink, scratch_path(spark, "cp"), NOW).awaitTermination()
     sink(spark.read.text(source), 0)  # the same batch once more
     sent = target.read(spark, TOPIC_BRONZE).collect()
@@ -159,12 +177,13 @@ def test_routing_stream(spark):
     assert {bytes(r.key) for r in sent} == {b"a0", b"a1"}
     audit = target.read(spark, TOPIC_AUDIT).collect()
     assert sorted(r.value for r in audit if r.key is None) == ["[]", "{bad"]
-    assert sorted(json.loads(r.value)["raw_tweet"]["id"] for r in audit if r.key is not None) == ["3", "4"]
+    assert sorted(json.loads(r.value)["raw_tweet"]["id"] for r in audit if r.key is not None) == ["", "3", "4"]
+    assert len(sent) + len(audit) == len(BODIES)
 
 
 def test_counters(spark):
     path = scratch_path(spark, "counters")
-    sink = job.CounterSink(path)
+    sink = job.CounterSink(path, run="r")
     batch = spark.createDataFrame([(b,) for b in BODIES], "value string")
     for n in (0, 0, 1):
         sink(batch, n)
@@ -173,6 +192,7 @@ def test_counters(spark):
         ("sent", "OM"): 4,
         ("rejected", "Langue non autorisée : en (attendu : ['fr'])"): 2,
         ("rejected", "public_metrics doit être un objet"): 2,
+        ("rejected", "Champ manquant : id"): 2,
     }
 
 
@@ -185,17 +205,26 @@ def test_observed_counters(spark):
     query = job.start(stream, lambda df, n: df.count(), scratch_path(spark, "cp"), NOW)
     query.awaitTermination()
     metrics = query.lastProgress.observedMetrics["posts"]
-    assert (metrics.sent, metrics.rejected) == (2, 4)
+    assert (metrics.sent, metrics.rejected) == (3, 4)
 
 
 def test_dedup_over_batches(spark):
     source, path = scratch_path(spark, "in"), scratch_path(spark, "out")
-    stamp = "2026-01-01T00:00:00Z"
-    write_file(spark, source, [bronze(1, created_at=stamp), bronze(1, created_at=stamp), bronze(2)])
-    write_file(spark, source, [bronze(1, created_at=stamp), bronze(3, created_at="")])
-    enriched = P.enrich_stream(read_tweets(spark, StreamConfig(source_path=source), max_files=1))
-    job.start(job.stream_dedup(enriched), tab.StagingTableSink(path), scratch_path(spark, "cp"), NOW).awaitTermination()
-    assert sorted(r.tweet_id for r in tab.read_staging(spark, path).collect()) == ["1", "2", "3"]
+    old, new = "2020-01-01T00:00:00Z", "2030-01-01T00:00:00Z"
+    waves = [
+        [bronze(1), bronze(1), bronze(2, created_at=new)],
+        [bronze(3, created_at=old), bronze(1)],
+        [bronze(4, created_at=new), bronze(3, created_at=old), bronze(5, created_at="")],
+        [bronze(6, created_at=old), bronze(2, created_at=new), bronze(5, created_at="")],
+    ]
+    for wave in waves:
+        write_file(spark, source, wave)
+    enriched = P.enrich_stream(read_tweets(spark, StreamConfig(source_path=source, max_offsets_per_trigger=1)))
+    query = job.start(job.stream_dedup(enriched), tab.StagingTableSink(path), scratch_path(spark, "cp"), NOW)
+    query.awaitTermination()
+    assert sorted(r.tweet_id for r in tab.read_staging(spark, path).collect()) == ["1", "2", "3", "4", "5", "6"]
+    late = [s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators]
+    assert len(query.recentProgress) >= 4 and not any(late)
 
 
 # --- archive and messages -----------------------------------------------------------------
@@ -214,9 +243,16 @@ def test_raw_archive(spark):
     assert {r.day: r.n for r in tab.archive_counts(back).collect()} == {"04": 2, "05": 1}
 
 
-def test_raw_archive_errors_do_not_propagate(spark):
-    df = spark.createDataFrame([("1",)], "tweet_id string")
-    assert tab.write_raw_archive(df, "nosuchscheme://x/y") == 0
+def test_raw_archive_errors(spark):
+    df = spark.createDataFrame([("1",), ("x",)], "tweet_id string")
+    seen = []
+    assert tab.write_raw_archive(df, "nosuchscheme://x/y", on_error=seen.append) == 0 and len(seen) == 1
+    with pytest.raises(Exception):
+        tab.write_raw_archive(df, "nosuchscheme://x/y")
+    broken = df.selectExpr("CAST(tweet_id AS INT) AS tweet_id")
+    with pytest.raises(Exception):
+        tab.write_raw_archive(broken, scratch_path(spark, "archive"), on_error=seen.append)
+    assert len(seen) == 1
 
 
 def test_archive_stream_uses_paris_days_and_small_files(spark):
@@ -225,23 +261,27 @@ def test_archive_stream_uses_paris_days_and_small_files(spark):
         "to_json(named_struct('id', id)) AS value", "TIMESTAMP '2026-06-30 22:30:00' AS timestamp"
     ).coalesce(1).write.parquet(source)
     stream = spark.readStream.schema("value string, timestamp timestamp").parquet(source)
-    tab.archive_stream(stream, path, scratch_path(spark, "cp"), trigger=NOW).awaitTermination()
-    back = spark.read.schema("id long, year string, month string, day string").json(path)
+    tab.archive_stream(stream, path, scratch_path(spark, "cp"), ARCHIVE_RECORDS_PER_FILE, NOW).awaitTermination()
+    back = read_raw_archive(spark, path, T.StructType().add("id", "long"))
     assert [tuple(r) for r in back.groupBy("year", "month", "day").count().collect()] == [("2026", "07", "01", 250)]
-    assert back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] == 100
+    sizes = spark.read.text(path).groupBy(F.input_file_name()).count()
+    assert sizes.agg(F.max("count")).first()[0] == 100
 
 
 def test_message_folder_replaces_a_batch(spark):
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
     df = spark.createDataFrame([("k", "v")], "key string, value string")
-    target.write(df, "t", 3)
-    target.write(df, "t", 3)
+    target.write(df, "t", 3, "p", "r")
+    target.write(df, "t", 3, "p", "r")
     assert [(bytes(r.key), r.value, r.headers) for r in target.read(spark, "t").collect()] == [(b"k", "v", None)]
+    target.write(df, "t", 3, "q", "r")
+    target.write(df, "t", 3, "p", "s")
+    assert target.read(spark, "t").count() == 3
 
 
 def test_silver_publisher(spark):
     target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
-    msg.SilverPublisher(target)(staged(spark, 5), 0)
+    msg.SilverPublisher(target, run="r")(staged(spark, 5), 0)
     row = target.read(spark, "tweets_enriched").first()
     assert bytes(row.key) == b"5" and json.loads(row.value)["engagement"] == 6
 
@@ -250,3 +290,25 @@ def test_run_summary_file(spark):
     path = scratch_path(spark, "summary")
     tab.write_run_summary(spark.createDataFrame([("r", 3)], "run_id string, n long"), path, {"keywords": "OM"})
     assert spark.read.json(path).first().asDict() == {"run_id": "r", "n": 3, "arg_keywords": "OM"}
+
+
+def test_jobs_route_ship_and_archive(spark):
+    """The ready jobs, in several batches, into one folder."""
+    source, logs = scratch_path(spark, "in"), scratch_path(spark, "logs")
+    for i in range(3):
+        write_file(spark, source, [api_post(i), "{bad"])
+        write_file(spark, logs, [f"2026-04-03 07:05:0{i} [INFO] a: b"])
+    target = msg.MessageTarget(folder=scratch_path(spark, "topics"))
+    config = lambda path: StreamConfig(
+        source_path=path, max_offsets_per_trigger=1, trigger_interval="availableNow", checkpoint_location=scratch_path(spark, "cp")
+    )
+    job.run_routing(spark, config(source), target).awaitTermination()
+    job.run_app_logs(spark, config(logs), target).awaitTermination()
+    assert (target.read(spark, TOPIC_BRONZE).count(), target.read(spark, TOPIC_AUDIT).count()) == (3, 6)
+    archive = scratch_path(spark, "archive")
+    job.run_archive(spark, config(source), archive).awaitTermination()
+    assert read_raw_archive(spark, archive, T.StructType().add("id", "string")).count() == 6
+
+
+def test_staging_table_lies_in_the_shared_folder(spark):
+    assert job.staging_path(spark, StreamConfig()).startswith(scratch_root(spark))

@@ -8,16 +8,16 @@ from touchline.functions import text as X
 from touchline.vocabulary import THEME_KEYWORDS
 
 CASES = [
-    ("Encore une decision VAR incomprehensible", [], ["var"]),
-    ("Quel match", ["Ligue1", "VAR"], ["var"]),
-    ("Les stats xG montrent la domination", [], ["stats_analytics"]),
-    ("Belle analyse video du montage tactique", [], ["analyse_video"]),
-    ("Analyse video des stats xG apres la VAR", [], ["analyse_video", "stats_analytics", "var"]),
-    ("Belle victoire ce soir, bravo les gars", [], []),
-    ("Superbe analyse vidéo", [], ["analyse_video"]),
+    ("La VAR a tout revu hier", [], ["var"]),
+    ("On en parle", ["OL", "VAR"], ["var"]),
+    ("Ses stats et ses xG montent", [], ["stats_analytics"]),
+    ("Ce soir, analyse video du but", [], ["analyse_video"]),
+    ("Une VAR, des stats, puis une analyse video", [], ["analyse_video", "stats_analytics", "var"]),
+    ("Rien de neuf au stade", [], []),
+    ("Notre analyse vidéo", [], ["analyse_video"]),
     (None, None, []),
     (None, ["opta"], ["stats_analytics"]),
-    ("Il varie ses passes en permanence", [], []),
+    ("Le temps varie souvent", [], []),
     ("texte", ["variete"], ["var"]),
     ("hors-jeu", [], []),
     ("hors jeu", [], ["var"]),
