@@ -6,15 +6,16 @@ when tokens are put in one global order, the first ``n - t + 1`` tokens of both
 meet. Order and index follow the token's class:
 
 * rare tokens come first and are indexed one by one;
-* frequent tokens come after them, and very frequent ones last, so that a passage found in
-  many texts is hardly ever in a prefix. Both are dealt into a number of classes that
-  grows with the size of the set. Of each class *pairs* are indexed, and the prefix is
-  extended by one token for each class it touches, so that a similar pair still shares
-  a signature.
-
-A token is frequent if two different sets have it among their first tokens by hash, a
-quarter more than a prefix (or if its bit in a bounded bit map is set by one that is);
-this is counted over all sets; it is very frequent from ``OFTEN`` times on. Which tokens are
+* frequent tokens come after them, and very frequent ones after those, so that a passage
+  found in many texts is hardly ever in a prefix. Both are dealt into a number of classes
+  that grows with the size of the set. Of each class *pairs* are indexed, and the
+  prefix is extended by one token for each class it touches, so that a similar pair
+  still shares a signature. Of very small sets they are indexed one by one;
+* tokens of which the frequency was not counted come last, one by one.
+
+Frequencies are counted over all sets, for all tokens with a hash below a cut that leaves
+half as many again as a prefix needs. Such a token is frequent if two different sets have it
+(or its bit in a bounded bit map is set by one that is), and very frequent from ``OFTEN`` sets on. Which tokens are
 called frequent decides the work and never the result. Sets whose signatures meet form
 candidate groups. All pairs of a group are verified against whole sets, in blocks of
 bounded size and of neighbouring set sizes. A block hands on a spanning forest of its
@@ -50,7 +51,9 @@ BLOCK_SHINGLES = 1 << 20
 BLOCK_SETS = 1024
 #: Tokens of a class in a prefix, about.
 CLASS_TOKENS = 8
-#: Lists that have a very frequent token.
+#: Sets of fewer tokens have their frequent ones indexed one by one.
+SMALL = 16
+#: Sets that have a very frequent token.
 OFTEN = 32
 #: Tokens in fewer sets of a block than this are counted pair by pair, others by matrix product.
 DENSE = 32
@@ -91,9 +94,10 @@ class Threshold:
     def prefix(self, n: int) -> int:
         return n - -(-self.num * n // self.den) + 1
 
-    def counted(self, n: int) -> int:
-        """Tokens of which the frequency is looked at: those of the prefix and what may replace frequent ones."""
-        return self.prefix(n) * 5 // 4 + 2
+    @property
+    def cut(self) -> np.uint64:
+        """Hashes below are counted: about half as many again as the prefix of a set needs."""
+        return np.uint64(min((1 << 64) - 1, (1 << 63) * 3 * (self.den - self.num) // self.den))
 
     def band(self, n: int) -> int:
         """Linked sets are in the same or in neighbouring bands."""
@@ -107,24 +111,38 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, often: np.ndarray, rule
     """Hashes to index a sorted set by; ``frequent`` and ``often`` tell which tokens are frequent, and very frequent."""
     if not len(tokens):
         return tokens
-    need = rule.prefix(len(tokens))
-    rare = tokens[~frequent][:need]
-    if len(rare) == need:
+    need, own = rule.prefix(len(tokens)), rule.band(len(tokens))
+    known = int(np.searchsorted(tokens, rule.cut))
+    low, rest = tokens[:known], tokens[known:]
+    frequent, often = frequent[:known], often[:known]
+    rare = low[~frequent][:need]
+    need -= len(rare)
+    if not need:
         return rare
-    out, own = [rare], rule.band(len(tokens))
-    common = np.concatenate([tokens[frequent & ~often], tokens[frequent & often]])
-    very = np.repeat(np.array([0, 1], dtype=np.uint64), [(frequent & ~often).sum(), (frequent & often).sum()])
+    common = np.concatenate([low[frequent & ~often], low[frequent & often]])
+    very = np.arange(len(common)) >= (frequent & ~often).sum()
+    out = [rare]
     for band in (own, own + 1):  # a partner's band is this one, the one above or the one below
-        label = arrays.mix(common ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(rule.classes(band)) * np.uint64(2) + very
-        first = np.zeros(len(common), dtype=bool)
-        first[np.unique(label, return_index=True)[1]] = True
-        enough = np.searchsorted(np.cumsum(~first), need - len(rare)) + 1
-        kept, label = common[:enough], label[:enough]
-        order = np.argsort(label, kind="stable")
-        for group in np.split(kept[order], np.flatnonzero(np.diff(label[order].view(np.int64))) + 1):
-            i, j = np.triu_indices(len(group), 1)
-            out.append(arrays.mix(group[i] * np.uint64(0x9E3779B97F4A7C15) + group[j] + np.uint64(band)))
-    return np.concatenate(out)
+        salt = np.uint64(band)
+        if rule.lows[band] < SMALL:
+            kept = common[:need]
+            out.append(arrays.mix(kept + salt))
+            gained = len(kept)
+        else:
+            label = arrays.mix(common ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(rule.classes(band))
+            label = label * np.uint64(2) + very
+            again = np.ones(len(common), dtype=bool)
+            again[np.unique(label, return_index=True)[1]] = False
+            gains = np.cumsum(again)
+            enough = np.searchsorted(gains, need) + 1
+            kept, label = common[:enough], label[:enough]
+            gained = int(gains[min(enough, len(gains)) - 1]) if len(gains) else 0
+            order = np.argsort(label, kind="stable")
+            for group in np.split(kept[order], np.flatnonzero(np.diff(label[order].view(np.int64))) + 1):
+                i, j = np.triu_indices(len(group), 1)
+                out.append(arrays.mix(group[i] * np.uint64(0x9E3779B97F4A7C15) + group[j] + salt))
+        out.append(rest[: max(0, need - gained)])
+    return np.unique(np.concatenate(out))
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -286,7 +304,7 @@ def near_duplicates(
 
     rows = stored(
         texts.mapInArrow(
-            _per_text(k, lambda x: x[: rule.counted(len(x))]), f"doc_id {id_type}, text_key bigint, {lists}"
+            _per_text(k, lambda x: x[: np.searchsorted(x, rule.cut)]), f"doc_id {id_type}, text_key bigint, {lists}"
         ),
         "prefixes",
     )
