@@ -5,7 +5,8 @@ most ``n - t`` tokens of the other (``t`` = smallest overlap that its size ``n``
 when tokens are put in one global order, the first ``n - t + 1`` tokens of both must
 meet. Order and index follow the token's class:
 
-* rare tokens come first and are indexed one by one;
+* rare tokens come first. A token that was counted and found in one set alone fills a place
+  of the prefix, and needs no posting, for no other set can meet it there;
 * frequent tokens come after them, and very frequent ones after those, so that a passage
   found in many texts is hardly ever in a prefix. Both are dealt into a number of classes
   that grows with the size of the set. Of each class *pairs* are indexed, and the
@@ -13,8 +14,8 @@ meet. Order and index follow the token's class:
   still shares a signature. Of very small sets they are indexed one by one;
 * tokens of which the frequency was not counted come last, one by one.
 
-Frequencies are counted over all sets, for all tokens with a hash below a cut that leaves
-half as many again as a prefix needs. Such a token is frequent if two different sets have it
+Frequencies are counted over all sets, for all tokens with a hash below a cut, about half
+as many again as a prefix needs; so which tokens are counted is the same for all sets. Such a token is frequent if two different sets have it
 (or its bit in a bounded bit map is set by one that is), and very frequent from ``OFTEN`` sets on. Which tokens are
 called frequent decides the work and never the result. Sets whose signatures meet form
 candidate groups. All pairs of a group are verified against whole sets, in blocks of
@@ -49,8 +50,8 @@ MAP_BITS = 26
 #: Shingles and sets in one block of a candidate group.
 BLOCK_SHINGLES = 1 << 20
 BLOCK_SETS = 1024
-#: Tokens of a class in a prefix, about.
-CLASS_TOKENS = 8
+#: Tokens of a class in a prefix, at least about; less than twice as many at most.
+CLASS_TOKENS = 2
 #: Sets of fewer tokens have their frequent ones indexed one by one.
 SMALL = 16
 #: Sets that have a very frequent token.
@@ -83,8 +84,8 @@ class Threshold:
     """Sizes that follow from ``intersection / union >= num / den``."""
 
     def __init__(self, num: int, den: int) -> None:
-        if not 2 * num > den:
-            raise ValueError("the similarity must be over one half")
+        if not 3 * num >= 2 * den:
+            raise ValueError("the similarity must be two thirds or more")
         self.num, self.den = num, den
         low, self.lows = 1, []
         while low < 1 << 40:
@@ -104,7 +105,9 @@ class Threshold:
         return int(np.searchsorted(self.lows, n, side="right")) - 1
 
     def classes(self, band: int) -> int:
-        return max(1, self.prefix(self.lows[band]) // CLASS_TOKENS)
+        """Classes that frequent tokens are dealt into: a power of two, so that neighbouring bands mostly agree; 0 for none."""
+        low = self.lows[band]
+        return 0 if low < SMALL else 1 << (max(1, self.prefix(low) // CLASS_TOKENS).bit_length() - 1)
 
 
 def signatures(tokens: np.ndarray, frequent: np.ndarray, often: np.ndarray, rule: Threshold) -> np.ndarray:
@@ -115,21 +118,21 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, often: np.ndarray, rule
     known = int(np.searchsorted(tokens, rule.cut))
     low, rest = tokens[:known], tokens[known:]
     frequent, often = frequent[:known], often[:known]
-    rare = low[~frequent][:need]
-    need -= len(rare)
+    need -= min(need, int((~frequent).sum()))
     if not need:
-        return rare
+        return tokens[:0]
     common = np.concatenate([low[frequent & ~often], low[frequent & often]])
     very = np.arange(len(common)) >= (frequent & ~often).sum()
-    out = [rare]
-    for band in (own, own + 1):  # a partner's band is this one, the one above or the one below
-        salt = np.uint64(band)
-        if rule.lows[band] < SMALL:
+    out = []
+    # A partner's band is this one, the one above or the one below.
+    for classes in sorted({rule.classes(own), rule.classes(own + 1)}):
+        salt = np.uint64(classes)
+        if not classes:
             kept = common[:need]
             out.append(arrays.mix(kept + salt))
             gained = len(kept)
         else:
-            label = arrays.mix(common ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(rule.classes(band))
+            label = arrays.mix(common ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(classes)
             label = label * np.uint64(2) + very
             again = np.ones(len(common), dtype=bool)
             again[np.unique(label, return_index=True)[1]] = False
@@ -302,24 +305,19 @@ def near_duplicates(
     texts = docs.select("doc_id", text_key().alias("text_key"), "text")
     lists = "h bigint, n bigint, tokens array<bigint>"
 
+    below = texts.where("doc_id IS NOT NULL").select("text_key", "text").mapInArrow(
+        _per_text(k, lambda x: x[: np.searchsorted(x, rule.cut)]), f"text_key bigint, {lists}"
+    )
+    counted = _shared(below).withColumn("also", F.col("n") >= OFTEN)
+    maps = spark.sparkContext.broadcast(bit_maps(counted, map_bits))
     rows = stored(
         texts.mapInArrow(
-            _per_text(k, lambda x: x[: np.searchsorted(x, rule.cut)]), f"doc_id {id_type}, text_key bigint, {lists}"
+            _per_text(k, lambda x: signatures(x, *(in_map(m, x) for m in maps.value), rule)),
+            f"doc_id {id_type}, text_key bigint, {lists}",
         ),
-        "prefixes",
-    )
-    taking_part = rows.where("doc_id IS NOT NULL AND n > 0")
-    counted = _shared(taking_part).withColumn("also", F.col("n") >= OFTEN)
-    maps = spark.sparkContext.broadcast(bit_maps(counted, map_bits))
-    signed = stored(
-        texts.where("doc_id IS NOT NULL")
-        .select("text_key", "text")
-        .mapInArrow(
-            _per_text(k, lambda x: signatures(x, *(in_map(m, x) for m in maps.value), rule)), f"text_key bigint, {lists}"
-        )
-        .drop("text_key"),
         "signatures",
     )
+    signed = rows.where("doc_id IS NOT NULL AND n > 0").select("h", "n", "tokens")
     meeting = spark.sparkContext.broadcast(bit_map(_shared(signed), map_bits))
     buckets = stored(
         signed.mapInArrow(_only(meeting), "h bigint, n bigint, token bigint").distinct(), "buckets"
