@@ -168,6 +168,26 @@ def test_wide_candidates_are_learnt():
     assert scores[3] > 1 and max(scores[:3]) < -1
 
 
+def test_written_out_addresses_and_phones_without_plus_are_added(spark):
+    """They look like exact ones and are added; numbers with nothing for them or something against them are not."""
+    known = [f"+1 (234) 567-{1000 + i} and ann{i % 7}@site.example.com" for i in range(40)]
+    against = [f"invoice {70_000_000 + i}; x{8_000_000 + i}f" for i in range(40)]
+    asked = ["ask joe [at] site [dot] example [dot] org ok", "ring 1 (234) 567-8901 ok", "ring (345) 678-9012 ok"]
+    plain = ["in 71234567 of them", "invoice 1 (234) 567-8901", "x (at) y"]
+    texts = [*known, *against, *asked, *plain]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.spans] for r in pii.detected(docs).collect()}
+    first = len(known) + len(against)
+    assert [spans[first + i] for i in range(3)] == [
+        [("handle", "joe [at] site [dot] example [dot] org")], [("number", "1 (234) 567-8901")], [("number", "345) 678-9012")]
+    ]
+    assert all([k for k, _ in spans[i]] == ["email", "phone"] for i in range(len(known)))
+    assert all(spans[i] == [] for i in range(len(texts)) if len(known) <= i < first or i >= first + len(asked))
+    out = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
+    assert [out[first + i] for i in range(3)] == ["ask [HANDLE] ok", "ring [NUMBER] ok", "ring ([NUMBER] ok"]
+    assert out[first - 1] == texts[first - 1] and out[0] == "[PHONE] and [EMAIL]"
+
+
 def test_trigram_queries():
     q = lambda r: [set(x) for x in secret_scan.trigram_query(r)]
     assert q("abcd") == [{"abc", "bcd"}]

@@ -2,12 +2,17 @@
 
 Generators with high recall propose spans, which may overlap: the exact forms (e-mail, IP
 address, card, phone), which always stay, and wide ones (numbers with separators, written-out
-addresses). Each candidate is described by its format and by the words around it, in small
-whole numbers. Boosted trees of depth two learn which descriptions are personal data: a
-wide candidate is an example for it if it meets an exact span, and one against it if it meets none.
-Spark counts the examples of all documents by description, so learning sees all rows and the
-driver only a table with one row per description. For each wide kind the lowest score is
-chosen above which the counts keep the wanted precision; candidates that reach it are added.
+addresses). Each candidate is described by its format, in small whole numbers.
+
+Boosted trees of depth two learn which formats are personal data. The description leaves out
+what makes a span exact (``+``, ``@``, the brackets around ``at``) and the words around it. The examples
+come from elsewhere: for it speak an exact span that a number meets, exact addresses (examples for
+written-out ones), and cue words before it (``tel``, ``mail``); against it, where nothing speaks for it, speak letters
+glued to it and words before it that name other things (``invoice``, ``isbn``). Any other candidate is no
+example, as nothing is known of it. Spark counts the examples of all documents by description, so
+learning sees all rows and the driver only a table with one row per description. For each wide kind
+the lowest score is chosen above which the counts keep the wanted precision; candidates that meet no
+exact span, have nothing against them and reach that score are added.
 
 Nulls and edges: a null text is empty and has no spans; a row without ``doc_id`` is treated
 like any other; repeated rows give repeated results (and count as often); with too few
@@ -47,9 +52,18 @@ _GENERATORS = (
 )
 KINDS = tuple(g[0] for g in _GENERATORS)
 BASE_KINDS = tuple(g[0] for g in _GENERATORS if g[3])
-_CUES = r"(?i)(?:tel|phone|call|mobile|fax|card|visa|ssn|iban|account|contact|mail)[^A-Za-z]{0,4}[A-Za-z]{0,8}[^A-Za-z]{0,4}$"
+_WORDS = "[^A-Za-z]{0,4}(?:[A-Za-z]{1,8}[^A-Za-z]{1,4})?$"
+#: Words before a candidate that speak for personal data, or against it.
+_CUES = (
+    r"(?i)(?<![A-Za-z])(?:tel|(?:tele|cell)?phone|call|mobile|fax|card|visa|ssn|iban|account|contact|e-?mail|write|reach)(?:s|ed)?"
+    rf"(?![A-Za-z]){_WORDS}"
+)
+_OTHERS = (
+    r"(?i)(?<![A-Za-z])(?:order|invoice|isbn|issn|doi|version|build|commit|page|part|item|article|model|serial|ticket|price|total|array|index)"
+    rf"(?:s|\x20?no)?(?![A-Za-z]){_WORDS}"
+)
 
-FEATURES = ("digits", "marks", "luhn", "dotted", "plus", "brackets", "cue", "glued")
+FEATURES = ("digits", "marks", "luhn", "dots", "brackets", "name", "labels", "ending")
 
 
 def _digits(text: Column) -> Column:
@@ -68,33 +82,52 @@ def _holds(kind: str, m: Match) -> Column:
     return F.lit(True)
 
 
-def _described(m: Match) -> list[Column]:
-    """Format and context of a candidate, each a small whole number."""
-    n = F.length(_digits(m.text))
-    marks = F.length(F.regexp_replace(m.text, "[0-9]", ""))
-    last, first = F.right(m.before, F.lit(1)), F.left(m.after, F.lit(1))
-    made = (
-        F.when(n < 9, 0).when(n < 13, 1).when(n < 20, 2).otherwise(3),
-        F.least(marks, F.lit(4)),
-        F.when(n.between(13, 19), F.call_function("luhn_check", _digits(m.text)).cast("int")).otherwise(0),
-        F.rlike(m.text, F.lit(_ADDRESS)).cast("int"),
-        F.rlike(m.before, F.lit(r"\+[0-9(\x20]{0,3}$")).cast("int"),
-        F.contains(m.text, F.lit("(")).cast("int") + F.endswith(m.before, F.lit("(")).cast("int"),
-        F.rlike(F.right(m.before, F.lit(32)), F.lit(_CUES)).cast("int"),
-        F.rlike(F.concat(last, F.lit(" "), first), F.lit("[A-Za-z0-9_]")).cast("int"),
+def _described(kind: str, m: Match) -> list[Column]:
+    """Format of a candidate without what makes a span exact, each a small whole number."""
+    made = dict.fromkeys(FEATURES, F.lit(0))
+    if kind == "number":
+        n = F.length(_digits(m.text))
+        made |= {
+            "digits": F.least(n, F.lit(20)),
+            "marks": F.least(F.length(m.text) - n, F.lit(5)),
+            "luhn": F.when(n.between(13, 19), F.call_function("luhn_check", _digits(m.text)).cast("int")).otherwise(0),
+            "dots": F.least(F.length(F.regexp_replace(m.text, "[^.]", "")), F.lit(4)),
+            "brackets": F.contains(m.text, F.lit(")")).cast("int"),
+        }
+    if kind in ("email", "handle"):
+        bare = F.regexp_replace(m.text, r"(?i)\x20?[\[(](?:at|@)[\])]\x20?", "@")
+        bare = F.regexp_replace(bare, r"(?i)\x20?[\[(](?:dot|\.)[\])]\x20?", ".")
+        name, domain = F.substring_index(bare, "@", 1), F.substring_index(bare, "@", -1)
+        made |= {
+            "digits": F.least(F.length(_digits(name)), F.lit(5)),
+            "name": F.least(F.length(name), F.lit(12)),
+            "labels": F.least(F.length(F.regexp_replace(domain, "[^.]", "")) + 1, F.lit(6)),
+            "ending": F.least(F.length(F.regexp_replace(F.substring_index(domain, ".", -1), "[^A-Za-z]", "")), F.lit(8)),
+        }
+    return [made[name].cast("int").alias(name) for name in FEATURES]
+
+
+def _evidence(m: Match) -> Column:
+    """1 if the words around a candidate speak for personal data, -1 if they speak against it, else 0."""
+    near = F.right(m.before, F.lit(32))
+    ends = F.concat(F.right(m.before, F.lit(1)), F.lit(" "), F.left(m.after, F.lit(1)))
+    return (
+        F.when(F.rlike(near, F.lit(_CUES)), 1)
+        .when(F.rlike(ends, F.lit(r"[\p{L}0-9_]")) | F.rlike(near, F.lit(_OTHERS)), -1)
+        .otherwise(0)
     )
-    return [c.cast("int").alias(name) for c, name in zip(made, FEATURES, strict=True)]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``docs`` with the array ``__pii_found`` of candidates: (rank, start, end, kind, features, meets).
+    """``docs`` with the array ``__pii_found`` of candidates: (rank, start, end, kind, features, evidence, meets).
 
-    ``meets`` tells whether a wide candidate overlaps an exact span of its text.
+    ``meets`` tells whether a wide candidate overlaps an exact span of its text, ``evidence`` what the
+    words around it say.
     """
     text = F.coalesce("text", F.lit(""))
 
     def of(rank: int) -> Column:
-        kind, needs, pattern, _ = _GENERATORS[rank]
+        kind, needs, pattern, is_exact = _GENERATORS[rank]
 
         def build(m: Match) -> Column:
             return F.struct(
@@ -102,7 +135,8 @@ def candidates(docs: DataFrame) -> DataFrame:
                 m.start.alias("start"),
                 m.end.alias("end"),
                 F.lit(kind).alias("kind"),
-                F.struct(*_described(m)).alias("features"),
+                F.struct(*_described(kind, m)).alias("features"),
+                (F.lit(0) if is_exact else _evidence(m)).alias("evidence"),
                 F.coalesce(_holds(kind, m), F.lit(False)).alias("holds"),
             )
 
@@ -115,7 +149,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     with_both = docs.withColumn("__pii_exact", exact).withColumn("__pii_wide", wide)
 
     def out(x: Column, meets: Column) -> Column:
-        return F.struct(*(x[c].alias(c) for c in ("rank", "start", "end", "kind", "features")), meets.alias("meets"))
+        return F.struct(*(x[c].alias(c) for c in ("rank", "start", "end", "kind", "features", "evidence")), meets.alias("meets"))
 
     found = F.concat(
         F.transform("__pii_exact", lambda x: out(x, F.lit(True))),
@@ -181,55 +215,72 @@ def _scores(x: np.ndarray, trees: list[Tree]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    trees: list[Tree]
+    """Trees and least score of each wide kind that may be added."""
+
+    trees: dict[str, list[Tree]]
     thresholds: dict[str, float]
 
-    def score(self, features: Column) -> Column:
-        """The sum of the trees' leaves."""
+    def score(self, kind: str, features: Column) -> Column:
+        """The sum of the leaves of the kind's trees."""
 
         def side(cut: tuple[int, int, float, float]) -> Column:
             f, at, low, high = cut
             return F.when(features[FEATURES[f]] <= at, F.lit(low)).otherwise(F.lit(high))
 
         total = F.lit(0.0)
-        for t in self.trees:
+        for t in self.trees[kind]:
             total = total + F.when(features[FEATURES[t.feature]] <= t.at, side(t.low)).otherwise(side(t.high))
         return total
 
 
+def calibrated(scores: np.ndarray, yes: np.ndarray, no: np.ndarray, precision: float, least: int) -> float | None:
+    """The lowest score that keeps ``precision`` over at least ``least`` examples, if there is one.
+
+    A score whose own examples are mostly against ends the search, however many better ones outweigh them.
+    """
+    found = None
+    for t in sorted(set(scores.tolist()), reverse=True):
+        above, at = scores >= t, scores == t
+        if yes[above].sum() < precision * (yes + no)[above].sum() or yes[at].sum() < no[at].sum():
+            break
+        if (yes + no)[above].sum() >= least:
+            found = t
+    return found
+
+
 def learn(found: DataFrame, precision: float = PRECISION, least: int = LEAST) -> Model:
-    """Count the wide candidates by description, and fit trees and thresholds to the counts."""
+    """Count the examples of each wide kind by description, and fit trees and a threshold to the counts."""
     wide = [k for k in KINDS if k not in BASE_KINDS]
-    # One row per kind and description: at most 4 * 5 * 2 * 2 * 2 * 3 * 2 * 2 each.
+    x, is_wide = F.col("x"), F.col("x.kind").isin(wide)
+    good = ~is_wide | x["meets"] | (x["evidence"] > 0)
+    # One row per kind and description: at most 15 * 6 * 2 * 5 * 2 numbers and 6 * 13 * 7 * 9 addresses.
     counts = (
         found.select(F.explode("__pii_found").alias("x"))
-        .where(F.col("x.kind").isin(wide))
-        .groupBy("x.kind", "x.features")
-        .agg(F.count_if("x.meets").alias("yes"), F.count_if(~F.col("x.meets")).alias("no"))
+        .where((is_wide & (good | (x["evidence"] < 0))) | (F.col("x.kind") == "email"))
+        .groupBy(F.when(F.col("x.kind") == "email", "handle").otherwise(F.col("x.kind")).alias("kind"), "x.features")
+        .agg(F.count_if(good).alias("yes"), F.count_if(~good).alias("no"))
         .orderBy("kind", "features")
         .collect()
     )
-    x = np.array([list(r["features"]) for r in counts], dtype=int).reshape(-1, len(FEATURES))
-    yes, no = (np.array([r[c] for r in counts], dtype=float) for c in ("yes", "no"))
-    trees = boosted(x, yes, no)
-    scores, thresholds = _scores(x, trees), {}
+    trees, thresholds = {}, {}
     for kind in wide:
-        mine = np.array([r["kind"] == kind for r in counts], dtype=bool)
-        for t in sorted(set(scores[mine].tolist()), reverse=True):
-            above = mine & (scores >= t)
-            if yes[above].sum() < precision * (yes + no)[above].sum():
-                break
-            if (yes + no)[above].sum() >= least:
-                thresholds[kind] = t
+        mine = [r for r in counts if r["kind"] == kind]
+        features = np.array([list(r["features"]) for r in mine], dtype=int).reshape(-1, len(FEATURES))
+        yes, no = (np.array([r[c] for r in mine], dtype=float) for c in ("yes", "no"))
+        trees[kind] = boosted(features, yes, no)
+        threshold = calibrated(_scores(features, trees[kind]), yes, no, precision, least)
+        if threshold is not None:
+            thresholds[kind] = threshold
     return Model(trees, thresholds)
 
 
 def spans(model: Model) -> Column:
-    """The spans of a row: all exact ones, and wide ones that reach their threshold apart from these; by kind, then start."""
+    """The spans of a row: all exact ones, and wide ones apart from these with nothing against them that reach their threshold; by kind, then start."""
     def keep(x: Column) -> Column:
         good = x["kind"].isin(*BASE_KINDS)
         for kind, least in model.thresholds.items():
-            good = good | ((x["kind"] == kind) & ~x["meets"] & (model.score(x["features"]) >= least - 1e-9))
+            apart = (x["kind"] == kind) & ~x["meets"] & (x["evidence"] >= 0)
+            good = good | (apart & (model.score(kind, x["features"]) >= least - 1e-9))
         return good
 
     return F.array_sort(
