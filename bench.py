@@ -42,6 +42,7 @@ HEADLINE = [
     "search_query",
     "stream_dedup",
     "collection_run",
+    "collection_run_all",
     "sql_themes",
     "run_stream",
     "stream_validate_route",

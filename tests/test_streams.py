@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.operators import posts as P
+from touchline.plans import registry
 from touchline.session import scratch_path, scratch_root
 from touchline.sinks import messages as msg
 from touchline.sinks import tables as tab
@@ -310,5 +311,15 @@ def test_jobs_route_ship_and_archive(spark):
     assert read_raw_archive(spark, archive, T.StructType().add("id", "string")).count() == 6
 
 
+def test_collection_reaches_every_document(spark):
+    """Archive, and bronze with audit, hold each document once, far beyond the limit of a collection in one run."""
+    sf_dir = "/root/testdata/sf0.01"
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    places = {r.place: r["count"] for r in registry.queries()["collection_run_all"](spark, sf_dir).groupBy("place").count().collect()}
+    assert places["archive"] == documents == places["bronze"] + places["audit"]
+    runs = {r.run_id: r.tweets_fetched for r in registry.queries()["collection_summary_all"](spark, sf_dir).collect()}
+    assert sum(runs.values()) == documents and runs["long"] > 250
+
+
 def test_staging_table_lies_in_the_shared_folder(spark):
     assert job.staging_path(spark, StreamConfig()).startswith(scratch_root(spark))

@@ -207,10 +207,28 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         """concat('{"data":[', CASE WHEN doc_id % 59 = 0 THEN '{"lang":"fr"}' ELSE value END, '],"meta":{',
            CASE WHEN doc_id % 97 = 96 THEN '' ELSE '"next_token":"t"' END, '}}') AS body""",
     )
+    return _with_empty_run(pages)
+
+
+def _with_empty_run(pages: DataFrame) -> DataFrame:
     empty = pages.agg(F.count("*").alias("page")).selectExpr("'empty' AS run_id", "page", "'{\"meta\":{}}' AS body")
     return pages.unionByName(empty)
 
 
+def api_pages_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``api_pages``, in runs that reach every document.
+
+    A third of the pages is one long run; the others belong to a source and a block of 50 ids.
+    """
+    pages = nested_messages(spark, sf_dir).selectExpr(
+        "CASE WHEN doc_id % 3 = 0 THEN 'long' ELSE concat(run_id, '-', doc_id DIV 50) END AS run_id",
+        "doc_id AS page",
+        """concat('{"data":[', CASE WHEN doc_id % 59 = 0 THEN '{"lang":"fr"}' ELSE value END, '],"meta":{',
+           CASE WHEN doc_id % 3 <> 0 AND doc_id % 50 = 49 THEN '' ELSE '"next_token":"t"' END, '}}') AS body""",
+    )
+    return _with_empty_run(pages)
+
+
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broker metrics on a 15-second grid, one value per series and scrape."""
     metric = """CASE event_type WHEN 'error' THEN 'up'

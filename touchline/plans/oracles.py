@@ -327,6 +327,27 @@ kept AS (
 )"""
 
 
+# Runs that reach every post: one long run, and one for each source and block of 50 ids.
+_COLLECTED_ALL = f"""WITH {_POSTS}, {_PROFILES},
+read AS (
+  SELECT *, {_NESTED_ERRORS} AS errors,
+    CASE WHEN doc_id % 3 = 0 THEN 'long' ELSE concat(source, '-', doc_id // 50) END AS run_id
+  FROM posts
+),
+shaped AS (
+  SELECT run_id,
+    CASE WHEN doc_id % 59 = 0 OR doc_id % 13 = 0 OR author_id = '' THEN NULL ELSE author_id END AS author,
+    CASE WHEN doc_id % 59 <> 0 THEN {_RAW_ID} END AS id, doc_id % 59 <> 0 AND len(errors) = 0 AS ok,
+    doc_id % 59 <> 0 AND len(errors) = 0 AND NOT {_EMPTY_ID} AS sent
+  FROM read
+),
+kept AS (
+  SELECT s.*, p.user_id, p.username AS user_username, CAST(p.followers_count AS VARCHAR) AS user_followers_count,
+    CASE WHEN p.user_id IS NOT NULL THEN 'true' END AS enriched
+  FROM shaped s LEFT JOIN last_profile p ON p.user_id = s.author
+)"""
+
+
 def _histogram() -> str:
     rows = [
         f"SELECT '{b:g}' AS le, count(*) FILTER (WHERE value / 100 <= {b}) AS n FROM events" for b in LATENCY_BUCKETS
@@ -549,6 +570,16 @@ def oracle_sql() -> dict[str, str]:
             FROM kept GROUP BY source)
             SELECT * FROM counted UNION ALL SELECT 'empty', true, 0, 0, 0, 0, 0, 0, 0, ''
             UNION ALL SELECT 'failed', false, 0, 0, 0, 0, 0, 0, 0, 'API: 500'""",
+        "collection_run_all": f"""{_COLLECTED_ALL} SELECT 'archive' AS place, id, user_username, user_followers_count, enriched
+            FROM kept UNION ALL SELECT CASE WHEN sent THEN 'bronze' ELSE 'audit' END, id, user_username, user_followers_count,
+            enriched FROM kept""",
+        "collection_summary_all": f"""{_COLLECTED_ALL}, counted AS (SELECT run_id, true AS success, count(*) AS tweets_fetched,
+                count(DISTINCT user_id) AS users_enriched, count(*) AS tweets_enriched,
+                count(*) FILTER (WHERE ok) AS tweets_valid, count(*) FILTER (WHERE NOT ok) AS tweets_invalid,
+                count(*) FILTER (WHERE sent) AS tweets_sent_to_kafka, count(DISTINCT author) AS author_ids_found, '' AS errors
+            FROM kept GROUP BY run_id)
+            SELECT * FROM counted UNION ALL SELECT 'empty', true, 0, 0, 0, 0, 0, 0, 0, ''
+            UNION ALL SELECT 'failed', false, 0, 0, 0, 0, 0, 0, 0, 'API: 500'""",
         "stream_app_logs": f"WITH {_LINES} SELECT 'app_log' AS category, level, logger, message FROM logged",
         "stream_dedup": _STAGING_VIEW,
         "stream_metrics": f"""{_VALIDATED} SELECT 'rejected' AS counter, reason AS label, count(*) AS n

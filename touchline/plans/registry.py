@@ -871,13 +871,14 @@ def audit_three_producers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_category(spark, target)
 
 
-def _collected(spark: SparkSession, sf_dir: str) -> tuple[msg.MessageTarget, str, DataFrame]:
+def _collected(
+    spark: SparkSession, sf_dir: str, pages: DataFrame, cap: int | None = MAX_RESULTS_PER_COLLECT
+) -> tuple[msg.MessageTarget, str, DataFrame]:
     target, archive = msg.MessageTarget(folder=scratch_path(spark, "topics")), scratch_path(spark, "archive")
-    pages = inputs.api_pages(spark, sf_dir)
     failures = pages.where("run_id = 'empty'").selectExpr("'failed' AS run_id", "'API: 500' AS error")
     summary = collection.run_collection(
         pages, _profiles(spark, sf_dir), target, archive, "query",
-        failures=failures, ingested_at=F.lit("2024-02-01").cast("timestamp"),
+        failures=failures, cap=cap, ingested_at=F.lit("2024-02-01").cast("timestamp"),
     )
     return target, archive, summary
 
@@ -885,7 +886,18 @@ def _collected(spark: SparkSession, sf_dir: str) -> tuple[msg.MessageTarget, str
 @_register
 def collection_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The author's profile inside archived and published posts, and what went to audit."""
-    target, archive, _ = _collected(spark, sf_dir)
+    target, archive, _ = _collected(spark, sf_dir, inputs.api_pages(spark, sf_dir))
+    return _places(spark, target, archive)
+
+
+@_register
+def collection_run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for runs that reach every document, without a limit."""
+    target, archive, _ = _collected(spark, sf_dir, inputs.api_pages_all(spark, sf_dir), cap=None)
+    return _places(spark, target, archive)
+
+
+def _places(spark: SparkSession, target: msg.MessageTarget, archive: str) -> DataFrame:
     user = ("user_username", "user_followers_count", "enriched")
     kept = spark.read.text(archive).select(F.lit("archive").alias("place"), *_decoded("value", "id", *user))
     sent = target.read(spark, TOPIC_BRONZE).select(
@@ -903,7 +915,13 @@ def collection_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def collection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, summary = _collected(spark, sf_dir)
+    _, _, summary = _collected(spark, sf_dir, inputs.api_pages(spark, sf_dir))
+    return summary.select(*_SUMMARY_COLUMNS, _joined("errors"))
+
+
+@_register
+def collection_summary_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, summary = _collected(spark, sf_dir, inputs.api_pages_all(spark, sf_dir), cap=None)
     return summary.select(*_SUMMARY_COLUMNS, _joined("errors"))
 
 
