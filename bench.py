@@ -39,6 +39,7 @@ HEADLINE = [
     "write_raw_archive",
     "archive_stream",
     "read_response_pages_all",
+    "read_response_pages_many",
     "search_query",
     "stream_dedup",
     "collection_run",

@@ -321,5 +321,14 @@ def test_collection_reaches_every_document(spark):
     assert sum(runs.values()) == documents and runs["long"] > 250
 
 
+def test_uncapped_pages_grow_with_the_documents(spark):
+    """Nearly every document is on a page that is read, and a third of them in one run."""
+    sf_dir = "/root/testdata/sf0.01"
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    pages = registry.queries()["read_response_pages_many"](spark, sf_dir).selectExpr("run_id", "split(tweet_id, '-')[0] AS page")
+    runs = {r.run_id: r["count"] for r in pages.distinct().groupBy("run_id").count().collect()}
+    assert sum(runs.values()) > 0.9 * documents and runs["long"] > 0.3 * documents
+
+
 def test_staging_table_lies_in_the_shared_folder(spark):
     assert job.staging_path(spark, StreamConfig()).startswith(scratch_root(spark))

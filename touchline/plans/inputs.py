@@ -196,6 +196,21 @@ def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def response_pages_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``response_pages``, in many runs: by source and block of 50 ids, and one long run that no page ends early."""
+    return documents(spark, sf_dir).selectExpr(
+        "CASE WHEN doc_id % 3 = 0 THEN 'long' ELSE concat(source, '-', doc_id DIV 50) END AS run_id",
+        "doc_id AS page",
+        r"""CASE WHEN doc_id % 3 <> 0 AND doc_id % 71 = 70 THEN '{bad' ELSE to_json(named_struct(
+            'data', CASE WHEN doc_id % 3 = 0 OR doc_id % 67 <> 66 THEN
+                transform(split(text, '\n'), (t, i) -> named_struct(
+                    'id', concat(doc_id, '-', i), 'text', t,
+                    'author_id', concat('u', (doc_id + i) % 97))) END,
+            'meta', named_struct('next_token',
+                CASE WHEN doc_id % 3 = 0 OR doc_id % 50 <> 49 THEN concat('t', doc_id) END))) END AS body""",
+    )
+
+
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored search response per document, holding its nested post; runs are the sources.
 

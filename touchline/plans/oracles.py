@@ -213,6 +213,23 @@ pages_run AS (
 pages_all AS (SELECT * FROM pages_run WHERE reached AND has_data),
 pages_kept AS (SELECT * FROM pages_all WHERE n_before < 250)"""
 
+# Many runs, and a long one that no page ends early.
+_MANY_PAGES = """
+many_in AS (
+  SELECT CASE WHEN doc_id % 3 = 0 THEN 'long' ELSE concat(source, '-', doc_id // 50) END AS run_id, doc_id AS page,
+    string_split(text, chr(10)) AS texts, doc_id % 3 = 0 OR (doc_id % 71 <> 70 AND doc_id % 67 <> 66) AS has_data,
+    doc_id % 3 = 0 OR (doc_id % 71 <> 70 AND doc_id % 50 <> 49) AS has_token
+  FROM documents
+),
+many_run AS (
+  SELECT *, coalesce(bool_and(has_data AND has_token) OVER earlier, true) AS reached,
+    CAST(coalesce(sum(CASE WHEN has_data THEN len(texts) ELSE 0 END) OVER earlier, 0) AS BIGINT) AS n_before
+  FROM many_in
+  WINDOW earlier AS (PARTITION BY run_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+many_posts AS (SELECT run_id, page, n_before, unnest(texts) AS text, unnest(range(0, len(texts))) AS i
+  FROM many_run WHERE reached AND has_data)"""
+
 _RUNS = """
 runs AS (
   SELECT o_orderkey AS run_id, CASE WHEN o_custkey % 3 = 0 THEN 'a0' ELSE concat('a', o_custkey % 101) END AS account,
@@ -383,6 +400,8 @@ def oracle_sql() -> dict[str, str]:
         "utc_session": f"WITH {_POSTS} SELECT tweet_id, {_stamp('created')} AS created_at FROM posts",
         "read_response_pages": f"{_found('pages_kept')} WHERE n_before + i + 1 <= 250",
         "read_response_pages_all": _found("pages_all"),
+        "read_response_pages_many": f"""WITH {_MANY_PAGES} SELECT run_id, n_before + i + 1 AS rank,
+            concat(page, '-', i) AS tweet_id, md5(text) AS text, concat('u', (page + i) % 97) AS author_id FROM many_posts""",
         "page_prefix": f"WITH {_PAGES} SELECT run_id, page, CAST(n_items AS INTEGER) AS n_items, n_before FROM pages_kept",
         "read_app_logs": f"""WITH {_LINES} SELECT line FROM logged
             UNION ALL SELECT '   ' FROM events WHERE event_id % 50 = 0""",

@@ -195,6 +195,13 @@ def read_response_pages_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.post_fields(found).withColumn("text", F.md5("text"))
 
 
+@_register
+def read_response_pages_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored responses without a limit, of many runs and one long one that reach nearly every document."""
+    found = search.read_response_pages(inputs.response_pages_many(spark, sf_dir))
+    return search.post_fields(found).withColumn("text", F.md5("text"))
+
+
 @_register
 def page_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = search.page_prefix(inputs.response_pages(spark, sf_dir), cap=MAX_RESULTS_PER_COLLECT)
