@@ -8,6 +8,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from touchline.llm import arrays, embedding_join, langid, licenses, ngram_join, pieces, pii, quality, secret_scan, urls
 from touchline.llm.queries import model_file
@@ -80,6 +81,16 @@ def test_quality_held_out(spark):
     assert np.mean([s >= 0.7 for s in good]) > 0.97
 
 
+def test_nothing_is_rejected_without_labels(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(8)] + [(None, None)], "doc_id long, text string")
+    held = docs.where(quality.held_out(docs["doc_id"])).select("doc_id", F.lit(1).alias("quality"))
+    unusable = docs.select("doc_id", F.lit(None).cast("int").alias("quality"))
+    assert held.count()
+    for labels in (held.where("false"), held, unusable):
+        assert quality.accepted(docs, labels).count() == 9
+        assert {r.score for r in quality.scored(docs, labels).collect()} == {0.5}
+
+
 def test_quality_pairs_matter():
     draw = np.random.default_rng(0)
     x = draw.uniform(size=(4000, 2))

@@ -15,7 +15,8 @@ the same ones each time), scoring reads the stored figures.
 Nulls and edges: a null or empty text is scored by its figures, which are then zero; a row
 without ``doc_id`` is scored and never learnt from; labels that are null, or other than 0
 and 1, are left out; a repeated row is scored (and if labelled, counted) as often as it
-is given; without labels every score is one half, with one class only its share.
+is given; without labels every score is one half, with one class only its share. Nothing is
+learnt without labels, so ``accepted`` then keeps every row.
 """
 
 from __future__ import annotations
@@ -274,6 +275,11 @@ def held_out(doc_id: Column) -> Column:
 
 def scored(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """(doc_id, text_key, held_out, score, predicted) for every row of ``docs``."""
+    return _scored(docs, labels, max_rows)[0]
+
+
+def _scored(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[DataFrame, int]:
+    """The rows of ``scored``, and the number of labelled rows learnt from."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     made = stored(
         docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(
@@ -299,20 +305,23 @@ def scored(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Data
                 [*batch.columns[:-1], pa.array(model.value.score(rows))], names=[*batch.schema.names[:-1], "score"]
             )
 
-    return made.mapInArrow(score, f"doc_id {id_type}, text_key bigint, score double").select(
+    rows = made.mapInArrow(score, f"doc_id {id_type}, text_key bigint, score double").select(
         "doc_id",
         "text_key",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
         (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
     )
+    return rows, sample.num_rows
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that the classifier accepts."""
+    """The rows of ``docs``, all columns, that the classifier accepts; all rows if no label could be learnt from."""
+    rows, examples = _scored(docs, labels)
+    if not examples:
+        return docs
     rejected = (
-        scored(docs, labels)
-        .where("predicted = 0")
+        rows.where("predicted = 0")
         .select(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"))
         .distinct()
     )
