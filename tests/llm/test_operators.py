@@ -62,6 +62,14 @@ def test_overlaps_of_rare_and_common_tokens():
     assert all(found[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(80) for j in range(80) if i != j)
 
 
+def test_one_text_of_a_repeated_id_stays(spark):
+    """Near copies under one id leave one text; two groups with the same smallest id leave one each."""
+    words = lambda stem: " ".join(f"{stem}{i}" for i in range(80))
+    rows = [(5, words("a")), (5, words("a") + " end"), (6, words("a") + " fin"), (5, words("b")), (7, words("b") + " end"), (9, words("c"))]
+    kept = [tuple(r) for r in ngram_join.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted((i, t[:2]) for i, t in kept) == [(5, "a0"), (5, "b0"), (9, "c0")]
+
+
 def test_low_thresholds_are_refused():
     with pytest.raises(ValueError):
         ngram_join.Threshold(65, 100)

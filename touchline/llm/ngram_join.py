@@ -300,6 +300,20 @@ def near_duplicates(
     Rows link when ``den * intersection >= num * union`` of their ``k``-word shingles;
     ``component_id`` is the smallest ``doc_id`` reachable by links.
     """
+    joined = _grouped(docs, k, num, den, map_bits)
+    smallest = stored(
+        joined.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest")), "smallest"
+    )
+    return joined.join(smallest, "root", "left").select(
+        "doc_id",
+        "text_key",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("smallest", "doc_id").alias("component_id"),
+    )
+
+
+def _grouped(docs: DataFrame, k: int, num: int, den: int, map_bits: int = MAP_BITS) -> DataFrame:
+    """(doc_id, text_key, n, root) for every row of ``docs``; rows that links reach share ``root``, null where there is no set."""
     spark, rule = docs.sparkSession, Threshold(num, den)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", text_key().alias("text_key"), "text")
@@ -344,7 +358,7 @@ def near_duplicates(
         .applyInArrow(_verified(num, den), "a bigint, b bigint")
     )
     linked = components(links)
-    joined = stored(
+    return stored(
         rows.join(linked, F.col("h") == F.col("node"), "left").select(
             "doc_id",
             "text_key",
@@ -353,26 +367,20 @@ def near_duplicates(
         ),
         "joined",
     )
-    smallest = stored(
-        joined.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest")), "smallest"
-    )
-    return joined.join(smallest, "root", "left").select(
-        "doc_id",
-        "text_key",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("smallest", "doc_id").alias("component_id"),
-    )
 
 
 def deduplicate(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row of each group of near duplicates: of the smallest ``doc_id``. All columns.
+    """One document of each group of near duplicates: of the smallest ``doc_id``. All columns.
 
-    Rows without ``doc_id`` and documents without shingles stay. Of rows that repeat a
-    ``doc_id`` all with its first text stay.
+    Rows without ``doc_id`` and documents without shingles stay. Should rows of a group share the
+    smallest ``doc_id``, the text with the smallest key stays; rows that repeat both stay with it.
     """
+    joined = _grouped(docs, k, num, den)
+    row = F.struct("doc_id", "text_key")
+    first = stored(joined.where("root IS NOT NULL").groupBy("root").agg(F.min(row).alias("first")), "first")
     dropped = (
-        near_duplicates(docs, k, num, den)
-        .where("component_id <> doc_id")
+        joined.join(first, "root")
+        .where(row != F.col("first"))
         .select(F.col("doc_id").alias("d_id"), F.col("text_key").alias("d_key"))
         .distinct()
     )
