@@ -146,3 +146,94 @@ def embeddings(rows, least):
                 stack.append(b)
         smallest = min((rows[b][0] for b in seen), default=None) if r[0] is not None else None
         yield r[0], len(links[a]), smallest, smallest is not None and smallest == r[0]
+
+
+def rule_figures(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
+    words = NOT_SPACE.findall(text or "")
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {p for i, w in enumerate(windows) if windows.count(w) > 1 for p in (i, i + 1, i + 2)} if len(words) < 5000 else None
+    if covered is None:  # long texts: count once
+        n: dict[tuple, int] = {}
+        for w in windows:
+            n[w] = n.get(w, 0) + 1
+        covered = {p for i, w in enumerate(windows) if n[w] > 1 for p in (i, i + 1, i + 2)}
+    lines = [x for x in (text or "").split("\n") if NOT_SPACE.search(x)]
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), failed
+
+
+def alignments(docs, a_tokens, b_tokens):
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256); tokenizers give lists of (id, bytes)."""
+    made = []
+    for doc_id, text in docs:
+        a, b = (f(text) if text else [] for f in (a_tokens, b_tokens))
+        whole = b" " + (text or "").encode()
+        if not text or b"".join(x for _, x in a) != whole or b"".join(x for _, x in b) != whole:
+            a, b = [], []
+        spans = []
+        for tokens in (a, b):
+            at, kind = 0, []
+            for i, raw in tokens:
+                kind.append((i, at, at + len(raw)))
+                at += len(raw)
+            spans.append(kind)
+        cuts = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        groups, last = [], 0
+        for cut in cuts:
+            groups.append("|".join(",".join(str(i) for i, s, e in kind if last <= s and e <= cut) for kind in spans))
+            last = cut
+        linked = [(x, y) for x, s, e in spans[0] for y, t, f in spans[1] if s < f and t < e]
+        made.append((doc_id, len(a), len(b), groups, linked))
+    counts: dict[tuple, int] = {}
+    for *_, linked in made:
+        for pair in set(linked):
+            counts[pair] = counts.get(pair, 0) + 1
+    highest: dict[int, int] = {}
+    for (x, _), n in counts.items():
+        highest[x] = max(n, highest.get(x, 0))
+    for doc_id, n_a, n_b, groups, linked in made:
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
+        n_best = sum(counts[p] == highest[p[0]] for p in linked)
+        yield doc_id, n_a, n_b, len(groups), len(linked), n_best, sum(counts[p] for p in linked), digest
+
+
+def edited(a, b):
+    """Whether one insertion, deletion or replacement turns ``a`` into ``b``."""
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling_words(docs):
+    """{word: n} of the corpus, with the occurrences that lose a code point."""
+    import zlib
+
+    counts: dict[str, int] = {}
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(_LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] = counts.get(run, 0) + 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def spelling_groups(words, ratio=2):
+    """(word, n, n_near, form, form_n, root) per word."""
+    forms, near = {}, {}
+    for w, n in words.items():
+        near[w] = [v for v in words if edited(v, w)]
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        forms[w] = best if best is not None and words[best] >= ratio * n else None
+    for w, n in words.items():
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        yield w, n, len(near[w]), forms[w], words.get(forms[w]), root

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, embedding_join, langid, licenses, ngram_join, pieces, pii, quality, secret_scan, urls
+from touchline.llm import (
+    alignment,
+    decontamination,
+    embedding_join,
+    host_rules,
+    langid,
+    licenses,
+    ngram_join,
+    pieces,
+    pii,
+    quality,
+    secret_scan,
+    spelling,
+    urls,
+)
 from touchline.llm.sql import oracle_sql as oracle_sql
 
 
@@ -22,6 +36,13 @@ def model_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_file() -> str:
+    """The byte-level vocabulary of the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')"
 
@@ -113,6 +134,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules on every document, and on the sources that publish them."""
+    return host_rules.judged(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies aligned in every document."""
+    return alignment.alignments(_table(spark, sf_dir, "documents"), byte_file(), model_file())
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of every word of the documents."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -127,6 +165,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_pieces,
             op9_secrets,
             op10_decontamination,
+            op11_host_rules,
+            op12_alignment,
+            op13_spelling,
         )
     }
 
