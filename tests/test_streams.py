@@ -51,6 +51,14 @@ def test_config_overrides():
     assert config_from_env({"GCP_PROJECT_ID": "p", "BQ_TABLE": "o.d.t"}).staging_table == "o.d.t"
 
 
+def test_empty_endpoint_is_none():
+    assert config_from_env({}).api_endpoint is None
+    assert config_from_env({"BQ_API_ENDPOINT": ""}).api_endpoint is None
+    assert config_from_env({"BQ_API_ENDPOINT": "http://x:1"}).api_endpoint == "http://x:1"
+    assert config_from_env({"LOG_FROM_START": "TRUE"}).log_from_start is True
+    assert config_from_env({}).log_from_start is False
+
+
 def test_checkpoint_lies_in_the_shared_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir") == scratch_root(spark)
     assert StreamConfig().checkpoint(spark).startswith(scratch_root(spark))

@@ -29,6 +29,11 @@ class StreamConfig:
     project: str = "local-project"
     staging_table: str = "local-project.twitter_staging.tweets"
     source_path: str | None = None
+    #: A log file to follow, and whether what it holds at the first start counts.
+    log_file: str = "/app/logs/ingestion.log"
+    log_from_start: bool = False
+    #: Address of the warehouse, if not its own; empty counts as not given.
+    api_endpoint: str | None = None
 
     def checkpoint(self, spark: SparkSession) -> str:
         """Checkpoints default to the folder the cluster shares, never to a local one."""
@@ -51,6 +56,9 @@ _ENV = {
     "GCP_PROJECT_ID": "project",
     "BQ_TABLE": "staging_table",
     "SOURCE_PATH": "source_path",
+    "LOG_FILE": "log_file",
+    "LOG_FROM_START": "log_from_start",
+    "BQ_API_ENDPOINT": "api_endpoint",
 }
 
 
@@ -59,6 +67,10 @@ def config_from_env(env: Mapping[str, str]) -> StreamConfig:
     given: dict[str, object] = {name: env[var] for var, name in _ENV.items() if var in env}
     if "max_offsets_per_trigger" in given:
         given["max_offsets_per_trigger"] = int(env["MAX_OFFSETS_PER_TRIGGER"])
+    if "log_from_start" in given:
+        given["log_from_start"] = env["LOG_FROM_START"].lower() == "true"
+    if not given.get("api_endpoint"):
+        given.pop("api_endpoint", None)
     config = StreamConfig(**given)
     if "staging_table" not in given:
         config = replace(config, staging_table=f"{config.project}.twitter_staging.tweets")

@@ -28,6 +28,7 @@ from touchline.sinks.messages import MessageTarget, flattened, publish_audit, pu
 from touchline.sinks.slots import slot
 from touchline.sinks.tables import StagingTableSink, archive_stream
 from touchline.sources.files import read_app_logs
+from touchline.sources.logtail import follow_app_logs
 from touchline.sources.stream import StreamConfig, config_from_env, read_tweets
 from touchline.vocabulary import TOPIC_BRONZE
 
@@ -163,6 +164,13 @@ def run_app_logs(spark: SparkSession, config: StreamConfig, target: MessageTarge
     return start(read_app_logs(spark, config.source_path), LogSink(target), config.checkpoint(spark), config.trigger())
 
 
+def run_log_tail(spark: SparkSession, config: StreamConfig, target: MessageTarget) -> StreamingQuery:
+    """Lines appended to ``log_file``, also while it is rotated -> audit."""
+    folder, name = os.path.split(config.log_file)
+    lines = follow_app_logs(spark, folder, config.log_from_start, pattern=f"{name}*", live=name)
+    return start(lines.select("value"), LogSink(target), config.checkpoint(spark), config.trigger())
+
+
 def run_archive(spark: SparkSession, config: StreamConfig, path: str) -> StreamingQuery:
     """Messages of a topic -> dated NDJSON; those from a folder get the time of their reading."""
     messages = read_tweets(spark, config)
@@ -172,7 +180,7 @@ def run_archive(spark: SparkSession, config: StreamConfig, path: str) -> Streami
 
 
 def main(job: str = "enrich") -> int:
-    """Run one of the jobs: enrich, route, logs or archive."""
+    """Run one of the jobs: enrich, route, logs, tail or archive."""
     config = config_from_env(os.environ)
     spark = build_session()
     target = MessageTarget(brokers=config.brokers)
@@ -182,6 +190,8 @@ def main(job: str = "enrich") -> int:
         query = run_routing(spark, config, target)
     elif job == "logs":
         query = run_app_logs(spark, config, target)
+    elif job == "tail":
+        query = run_log_tail(spark, config, target)
     elif job == "archive":
         query = run_archive(spark, config, f"{scratch_root(spark)}/archive/{config.topic}")
     else:
