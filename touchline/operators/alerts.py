@@ -74,7 +74,7 @@ def _series(labels: str) -> Column:
     return F.array_join(F.array_sort(pairs), ",")
 
 
-def _evaluated(samples: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
+def evaluated(samples: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
     """One row per sample and rule that looks at it: does it breach the threshold?"""
 
     def outcome(rule: AlertRule) -> Column:
@@ -113,20 +113,20 @@ def alert_states(
     if not rules:
         raise ValueError("no enabled rule")
     plain = [r for r in rules if not r.sum_series]
-    parts = [_evaluated(samples, plain)] if plain else []
+    parts = [evaluated(samples, plain)] if plain else []
     for rule in (r for r in rules if r.sum_series):
         total = samples.where(rule.applies()).groupBy("ts", "metric").agg(F.sum("value").alias("value"))
         labelled = total.withColumn("labels", F.expr("CAST(map() AS MAP<STRING,STRING>)"))
-        parts.append(_evaluated(labelled, [rule]))
-    evaluated = parts[0]
+        parts.append(evaluated(labelled, [rule]))
+    rows = parts[0]
     for part in parts[1:]:
-        evaluated = evaluated.unionByName(part)
+        rows = rows.unionByName(part)
 
     context = max(r.for_seconds for r in rules) + max_gap_seconds
     chunk = max(3600, 4 * context)
     seconds = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000.0)
     chunked = (
-        evaluated.withColumn("_t", seconds)
+        rows.withColumn("_t", seconds)
         .withColumn("_home", F.floor(F.col("_t") / chunk))
         .withColumn("_next", F.floor((F.col("_t") + context) / chunk))
         .withColumn("_chunk", F.explode(F.array_distinct(F.array("_home", "_next"))))
