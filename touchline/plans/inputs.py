@@ -9,6 +9,11 @@ author, and a third of all copies to a single post.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,6 +170,30 @@ def profile_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles as they changed: one to four versions per customer, and forty of the busiest author."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "concat('u', (c_custkey - 1) * 2) AS user_id",
+        "c_name",
+        "c_custkey",
+        "c_nationkey",
+        "explode(sequence(0, IF(c_custkey = 1, 39, CAST(c_custkey % 4 AS INT)))) AS version",
+    ).selectExpr(
+        "user_id",
+        "version",
+        "concat(c_name, '-', version) AS username",
+        "c_name AS name",
+        "CAST(c_custkey * 10 + version AS BIGINT) AS followers_count",
+        "0L AS following_count",
+        "version % 2 = 1 AS verified",
+        "'fan' AS description",
+        "CAST(c_nationkey AS STRING) AS location",
+        "false AS is_blue_verified",
+        """TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(0, CAST(c_custkey % 11 AS INT)
+            + version * IF(c_custkey = 1, 17, 144)) AS valid_from""",
+    )
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Application log lines with stack-trace and blank lines in between."""
     return table(spark, sf_dir, "events").selectExpr(
@@ -178,6 +207,26 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def append_lines(lines: DataFrame, folder: str, wave: int, files: int = 16) -> None:
+    """Append ``value`` of the rows to log files of a mounted folder: ``app-<part>.log``, one per part of ``event_id``.
+
+    A task first cuts its file to the size it had before the wave, so a repeated task leaves each line once.
+    """
+    os.makedirs(folder, exist_ok=True)
+    sizes = {name: os.path.getsize(f"{folder}/{name}") for name in os.listdir(folder)}
+
+    def append(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = f"app-{TaskContext.get().partitionId()}.log"
+        with open(f"{folder}/{name}", "ab") as f:
+            f.truncate(sizes.get(name, 0))
+            n = sum(f.write("".join(f"{x}\n" for x in batch.column(0).to_pylist()).encode()) for batch in batches)
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    # The salt keeps the waves apart; the number of parts is that of the files.
+    parts = lines.repartition(files, F.xxhash64("event_id", F.lit(wave)))
+    parts.select("value").mapInArrow(append, "n long").agg(F.sum("n")).first()
+
+
 def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored search response per document: each line of the text is a post.
 

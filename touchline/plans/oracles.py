@@ -389,7 +389,7 @@ def oracle_sql() -> dict[str, str]:
             AS category, count(*) AS n FROM checked GROUP BY ALL
             UNION ALL SELECT 'dead_letter', count(*) FROM posts WHERE doc_id % 59 = 0"""
     reasons = "SELECT unnest(errors) AS reason FROM checked"
-    return {
+    found = {
         # sources
         "read_tweets": f"""WITH {_POSTS} SELECT CASE WHEN ok THEN tweet_id END AS tweet_id,
             CASE WHEN ok THEN author_id END AS author_id, CASE WHEN ok THEN CAST(retweet_count AS VARCHAR) END AS retweet_count
@@ -405,6 +405,8 @@ def oracle_sql() -> dict[str, str]:
         "page_prefix": f"WITH {_PAGES} SELECT run_id, page, CAST(n_items AS INTEGER) AS n_items, n_before FROM pages_kept",
         "read_app_logs": f"""WITH {_LINES} SELECT line FROM logged
             UNION ALL SELECT '   ' FROM events WHERE event_id % 50 = 0""",
+        "follow_app_logs": f"""WITH {_LINES} SELECT line FROM logged
+            UNION ALL SELECT '   ' FROM events WHERE event_id % 50 = 0""",
         "read_raw_archive": f"{archived} SELECT tweet_id, retweet_count, {date_parts} FROM dated WHERE d < TIMESTAMP '2024-02-01'",
         "read_profiles": f"WITH {_PROFILE_ROWS} SELECT user_id, username, followers_count, verified FROM profile_rows",
         # sinks
@@ -503,6 +505,14 @@ def oracle_sql() -> dict[str, str]:
             p.followers_count AS user_followers_count, p.verified AS user_verified, p.description AS user_description,
             CASE WHEN p.user_id IS NOT NULL THEN true END AS enriched
             FROM posts t LEFT JOIN last_profile p ON p.user_id = t.author_id""",
+        "merge_profiles_as_of": f"""WITH {_POSTS}, profile_versions AS (
+            SELECT concat('u', (c_custkey - 1) * 2) AS user_id, concat(c_name, '-', version) AS user_username,
+                CAST(c_custkey * 10 + version AS BIGINT) AS user_followers_count, version % 2 = 1 AS user_verified,
+                TIMESTAMP '2024-01-01' + to_hours(CAST(c_custkey % 11 + version * CASE WHEN c_custkey = 1 THEN 17 ELSE 144 END AS INTEGER)) AS valid_from
+            FROM (SELECT *, unnest(range(0, CASE WHEN c_custkey = 1 THEN 40 ELSE 1 + CAST(c_custkey % 4 AS BIGINT) END)) AS version FROM customer))
+            SELECT doc_id, author_id, user_username, user_followers_count, user_verified,
+                CASE WHEN user_id IS NOT NULL THEN true END AS enriched
+            FROM posts ASOF LEFT JOIN profile_versions ON author_id = user_id AND created >= valid_from""",
         "matched_authors": f"""WITH {_POSTS}, {_PROFILES} SELECT DISTINCT author_id FROM posts
             WHERE author_id IN (SELECT user_id FROM last_profile)""",
         "unmatched_authors": f"""WITH {_POSTS}, {_PROFILES} SELECT DISTINCT author_id FROM posts
@@ -601,9 +611,12 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'failed', false, 0, 0, 0, 0, 0, 0, 0, 'API: 500'""",
         "stream_app_logs": f"WITH {_LINES} SELECT 'app_log' AS category, level, logger, message FROM logged",
         "stream_dedup": _STAGING_VIEW,
+        "stream_upsert": _STAGING_VIEW,
         "stream_metrics": f"""{_VALIDATED} SELECT 'rejected' AS counter, reason AS label, count(*) AS n
             FROM ({reasons} UNION ALL SELECT 'Champ manquant : id' FROM checked WHERE len(errors) = 0 AND {_EMPTY_ID})
             GROUP BY reason
             UNION ALL SELECT 'sent', {_club(_NESTED_TAGS)} AS label, count(*) FROM checked
             WHERE len(errors) = 0 AND NOT {_EMPTY_ID} GROUP BY ALL""",
     }
+    # Streams give what the same operator gives in batch.
+    return found | {f"stream_{name}": found[name] for name in ("alert_for", "group_alerts")}

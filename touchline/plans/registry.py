@@ -8,6 +8,7 @@ reads back what they wrote.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -19,17 +20,19 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from touchline.functions import hashtags as H
 from touchline.functions import text as X
 from touchline.functions.variants import text_of, with_post
-from touchline.operators import alerts, applogs, costs, dedup, flatten, profiles, reports, search, statements
+from touchline.operators import alerts, applogs, asof, costs, dedup, flatten, profiles, reports, search, statements
 from touchline.operators import posts as P
 from touchline.operators import validation as val
 from touchline.operators.statements import register_staging
 from touchline.plans import inputs
-from touchline.session import scratch_path
+from touchline.session import scratch_path, stored
 from touchline.sinks import messages as msg
 from touchline.sinks import tables as tab
+from touchline.sinks.keyed import KeyedTable
 from touchline.sources.files import read_app_logs, read_profiles, read_raw_archive
+from touchline.sources.logtail import follow_app_logs, local_path
 from touchline.sources.stream import StreamConfig, config_from_env, read_tweets, source_options
-from touchline.streaming import collection, job
+from touchline.streaming import alerting, collection, job
 from touchline.vocabulary import MAX_RESULTS_PER_COLLECT, TOPIC_AUDIT, TOPIC_BRONZE, TOPIC_SILVER
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,6 +217,24 @@ def query_read_app_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drain(spark, read_app_logs(spark, path), "read-logs").select(F.col("value").alias("line"))
 
 
+@_register
+def query_follow_app_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log files that grow in three waves and are rotated in between, followed by a query that starts anew for each."""
+    folder = local_path(scratch_path(spark, "growing"))
+    out, checkpoint = scratch_path(spark, "followed"), scratch_path(spark, "checkpoint")
+    lines = inputs.log_lines(spark, sf_dir)
+    for wave in range(3):
+        inputs.append_lines(lines.where(f"event_id % 3 = {wave}"), folder, wave)
+        if wave == 1:
+            for name in os.listdir(folder):
+                os.rename(f"{folder}/{name}", f"{folder}/{name}.1")
+        job.start(
+            follow_app_logs(spark, folder), lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch_id={n}"),
+            checkpoint, _NOW,
+        ).awaitTermination()
+    return spark.read.schema("value string").parquet(out).select(F.col("value").alias("line"))
+
+
 def _archived(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "archive")
     rows = inputs.posts(spark, sf_dir).drop("doc_id", "source")
@@ -640,6 +661,14 @@ def merge_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def merge_profiles_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each post with the profile its author had when it was written."""
+    tweets = inputs.posts(spark, sf_dir).select("doc_id", "author_id", F.try_to_timestamp("created_at").alias("created"))
+    merged = asof.merge_profiles_as_of(tweets, inputs.profile_versions(spark, sf_dir), "created", order=["doc_id"], tie=["version"])
+    return merged.select("doc_id", "author_id", "user_username", "user_followers_count", "user_verified", "enriched")
+
+
 @_register
 def matched_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.matched_authors(inputs.posts(spark, sf_dir), _profiles(spark, sf_dir))
@@ -966,6 +995,65 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staging_view(tab.read_staging(spark, path))
 
 
+@_register
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages into a table with one row per post; each wave is a query of its own, and the table is compacted between two."""
+    source, checkpoint = scratch_path(spark, "waves"), scratch_path(spark, "checkpoint")
+    table = KeyedTable(scratch_path(spark, "keyed"), "tweet_id", order=["processed_at"], run="upsert")
+    messages = inputs.flat_messages(spark, sf_dir)
+    for n, wave in enumerate(_WAVES):
+        messages.where(wave).select("value").write.text(f"{source}/{n}")
+        enriched = P.enrich_stream(read_tweets(spark, StreamConfig(source_path=f"{source}/*")))
+        job.start(enriched, table, checkpoint, _NOW).awaitTermination()
+        if n == 2:
+            table.compact(spark)
+    return _staging_view(table.read(spark, enriched.schema))
+
+
+def _alert_stream(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Samples in four waves of their time, a fifth of them one wave late, and a last one that lets the clock run out."""
+    session = alerting.stateful_session(spark)
+    samples = stored(
+        inputs.metric_samples(spark, sf_dir).select(F.unix_micros("ts").alias("t"), "metric", "labels", "value"), "samples"
+    )
+    first, last = samples.agg(F.min("t"), F.max("t")).first()
+    length = ((last or 0) - (first or 0)) // 3 + 1
+    late = (F.pmod(F.xxhash64("t", "metric"), F.lit(5)) == 0).cast("int")
+    waves = samples.withColumn("wave", F.expr(f"(t - {first or 0}L) DIV {length}L") + late)
+    clock = spark.range(1).selectExpr(f"{last or 0}L + 100 * {length}L AS t", "'clock' AS metric", "map('', '') AS labels", "0D AS value")
+    folder, out, checkpoint = (scratch_path(spark, x) for x in ("samples", "alerts", "checkpoint"))
+    kind = "t long, metric string, labels map<string,string>, value double"
+    for n in range(5):
+        wave = clock if n == 4 else waves.where(f"wave = {n}").drop("wave")
+        wave.write.parquet(f"{folder}/wave={n}")
+        read = session.readStream.schema(kind).parquet(f"{folder}/*").withColumn("ts", F.timestamp_micros("t")).drop("t")
+        stream = make(read, f"{length // 1_000_000 + 1} seconds")
+        job.start(
+            stream, lambda df, k: df.write.mode("overwrite").parquet(f"{out}/batch_id={k}"), checkpoint, _NOW
+        ).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _alert_state_stream(samples: DataFrame, delay: str) -> DataFrame:
+    rules = [replace(r, enabled=True) for r in alerts.RULES]
+    return alerting.stream_alert_states(samples, rules, max_gap_seconds=120, delay=delay)
+
+
+@_register
+def stream_alert_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of all samples, evaluated in keyed state while they arrive."""
+    found = _alert_stream(spark, sf_dir, _alert_state_stream)
+    return found.where("NOT by_timer").select("alertname", "severity", "series", _time("ts"), "state")
+
+
+@_register
+def stream_group_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notifications with all their samples, from the same stream of states."""
+    found = _alert_stream(spark, sf_dir, lambda s, delay: alerting.stream_group_alerts(_alert_state_stream(s, delay)))
+    closed = found.where("event = 'closed'")
+    return closed.select("alertname", "severity", "repeat", _time("notified_at"), "samples", "receiver")
+
+
 @_register
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _in_batches(spark, inputs.nested_messages(spark, sf_dir))
