@@ -54,6 +54,9 @@ CASES = [
     (8, None),
     (None, "plain words, and a second sentence."),
     (1, "plain words, and a second sentence."),
+    (10, "foo\n  bar \t baz\u00a0 qux\x1c x  y \u3000z 's ' s it's\n\n end \n"),
+    (11, " \n \n"),
+    (12, "tail   "),
     (9, "antidisestablishmentarianism pneumonoultramicroscopic " * 30),
 ]
 
@@ -99,5 +102,20 @@ def test_successors_reach_the_end_of_a_long_chain():
 
 def test_digits():
     ids = np.array([0, 7, 10, 999, 50256, 100000])
-    raw, ends = alignment._written(ids, np.full(6, ord(",")))
+    raw, ends = alignment._decimal(ids, np.full(6, ord(",")))
     assert raw == b"0,7,10,999,50256,100000," and ends.tolist() == [2, 4, 7, 11, 17, 24]
+
+
+@pytest.mark.parametrize("limit", [0, 3, 1 << 19])
+def test_stretches_give_what_whole_texts_give(monkeypatch, limit):
+    """Cut at spaces or not, remembered or forgotten."""
+    monkeypatch.setattr(alignment, "_STRETCHES", limit)
+    texts = [t or "" for _, t in CASES]
+    kinds = alignment.ByteTokens(Q.byte_file()), alignment.PieceTokens(Q.model_file())
+    assert all(k.cuts_at_spaces for k in kinds)
+    cut, whole = alignment.Aligner(*kinds), alignment.Aligner(*kinds)
+    whole._cut = False
+    for _ in range(2):
+        x, y = cut.align(texts), whole.align(texts)
+        for name in ("counts", "digests", "pairs", "times", "bounds"):
+            assert np.array_equal(getattr(x, name), getattr(y, name)), name

@@ -5,6 +5,10 @@ token of the other kind (or to itself, if none ends further right; of two that e
 kind's wins). Doubling the successors of all tokens of a chunk of texts at once leads each one to the terminal token of
 its component, which labels the group of tokens between two common cuts.
 
+Where both tokenizers always cut at a single space between visible characters (the first one by its pattern, the second
+one because none of its pieces goes on beyond a space), texts are cut there beforehand, and each distinct stretch of a task's
+texts is tokenized and aligned once. Otherwise a stretch is a whole text.
+
 Overlapping pairs (links) are the stretches between neighbouring cuts of either kind. How many documents of the corpus
 hold a pair linked is counted in Spark, after each task has added up its own documents. To bring the counts back, the most
 frequent pairs (at most ``FREQUENT``, chosen by a histogram of the counts) and each first-kind id's highest
@@ -19,7 +23,9 @@ empty one; further columns are ignored. Memory follows the longest text.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +40,8 @@ from touchline.llm.shared import stored
 #: Pairs whose counts are broadcast (16 bytes each), and steps per doubling in the histogram that picks them.
 FREQUENT = 1_000_000
 _STEPS = 16
+#: Distinct stretches of text that a task remembers.
+_STRETCHES = 1 << 19
 #: Distinct pairs that a task adds up before it hands them on.
 _HELD = 1 << 21
 
@@ -62,14 +70,11 @@ class Vocabulary:
 
     def spelled(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of a sequence of tokens."""
-        sizes = self.sizes[ids]
-        ends = np.cumsum(sizes)
-        n = int(ends[-1]) if len(ends) else 0
-        return self.data[np.arange(n) + np.repeat(self.starts[ids] - (ends - sizes), sizes)]
+        return _gathered(self.data, self.starts[ids], self.sizes[ids])
 
 
 class ByteTokens:
-    """A byte-level tokenizer from a file of the ``tokenizers`` library; the text gets a leading space."""
+    """A byte-level tokenizer from a file of the ``tokenizers`` library."""
 
     def __init__(self, file: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -80,14 +85,15 @@ class ByteTokens:
         n, byte = self._tokenizer.get_vocab_size(), _byte_level()
         names = [self._tokenizer.id_to_token(i) or "" for i in range(n)]
         self.vocabulary = Vocabulary.of([bytes(byte[c] for c in t) if all(c in byte for c in t) else b"" for t in names])
+        before = json.loads(self._tokenizer.to_str())["pre_tokenizer"] or {}
+        self.cuts_at_spaces = before.get("type") == "ByteLevel" and bool(before.get("use_regex"))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self._tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [x.ids for x in found]
+    def encode(self, stretches: list[str]) -> list[list[int]]:
+        return [x.ids for x in self._tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
 
 
 class PieceTokens:
-    """A model of the ``sentencepiece`` library, which adds the leading space itself."""
+    """A model of the ``sentencepiece`` library, which adds the first space of a stretch itself."""
 
     def __init__(self, file: str) -> None:
         import sentencepiece
@@ -100,9 +106,10 @@ class PieceTokens:
                 for i, p in enumerate(pieces)
             ]
         )
+        self.cuts_at_spaces = not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self._model.encode(texts, num_threads=1)
+    def encode(self, stretches: list[str]) -> list[list[int]]:
+        return self._model.encode([s[1:] for s in stretches], num_threads=1)
 
 
 @dataclass
@@ -144,13 +151,13 @@ def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.nd
         to = further
 
 
-def links(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def overlaps(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """End byte of each overlap of a token of ``a`` with one of ``b``, and the places of both tokens."""
     ends = np.union1d(a.ends, b.ends)
     return ends, np.searchsorted(a.ends, ends), np.searchsorted(b.ends, ends)
 
 
-def _written(ids: np.ndarray, marks: np.ndarray) -> tuple[bytes, np.ndarray]:
+def _decimal(ids: np.ndarray, marks: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Decimal ids, each followed by its mark, and where each one ends."""
     width = max(1, len(str(int(ids.max(initial=0)))))
     powers = 10 ** np.arange(width - 1, -1, -1)
@@ -164,7 +171,7 @@ def _written(ids: np.ndarray, marks: np.ndarray) -> tuple[bytes, np.ndarray]:
 
 @dataclass
 class Aligned:
-    """Alignment of a chunk of texts: counts and digest per text, and its distinct linked pairs with their numbers."""
+    """Alignment of some texts: counts and digest per text, and its distinct linked pairs with their numbers."""
 
     counts: np.ndarray
     digests: list[str]
@@ -173,63 +180,123 @@ class Aligned:
     bounds: np.ndarray
 
 
-def aligned(texts: list[str], a_kind, b_kind) -> Aligned:
-    """Align whole texts; pairs are ``a * (size of the second vocabulary) + b``."""
-    spaced = [b" " + t.encode() if t else b"" for t in texts]
-    a_all, b_all = a_kind.encode(texts), b_kind.encode(texts)
-    good = [
-        bool(t) and x and y
-        for t, x, y in zip(texts, _spells(a_kind, a_all, spaced), _spells(b_kind, b_all, spaced), strict=True)
-    ]
-    (a_ids, a_bounds), (b_ids, b_bounds) = (
-        _flat([x if g else [] for x, g in zip(found, good, strict=True)]) for found in (a_all, b_all)
-    )
-    a, b = Tokens(a_ids, np.cumsum(a_kind.vocabulary.sizes[a_ids])), Tokens(b_ids, np.cumsum(b_kind.vocabulary.sizes[b_ids]))
-    n = len(texts)
-    text_ends = np.cumsum([len(s) if g else 0 for s, g in zip(spaced, good, strict=True)]).astype(np.int64)
-    if not len(a_ids):
-        none = np.zeros(0, dtype=np.int64)
-        return Aligned(np.zeros((len(COUNTS), n), dtype=np.int64), [""] * n, none, none, np.zeros(n + 1, dtype=np.int64))
+def _between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of whole numbers between bounds."""
+    sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return sums[bounds[1:]] - sums[bounds[:-1]]
+
+
+def _gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs ``data[start:start + size]`` end to end."""
+    ends = np.cumsum(sizes)
+    n = int(ends[-1]) if len(ends) else 0
+    return data[np.arange(n) + np.repeat(starts - (ends - sizes), sizes)]
+
+
+_CUT = re.compile(r"(?<=\S)(?= \S)")
 
-    a_last, b_last = terminals(a.ends, b.ends)
-    cuts = np.flatnonzero(a_last == np.arange(len(a_last)))  # terminal tokens, one per group
-    a_group, b_group = np.searchsorted(cuts, a_last), np.searchsorted(cuts, b_last)
-    group_text = np.searchsorted(text_ends, a.ends[cuts])
 
-    # Written order: the first kind's tokens of a group, then the second kind's.
+class Aligner:
+    """Aligns texts; each distinct stretch is done once while it is remembered, at most about ``_STRETCHES`` of them."""
+
+    def __init__(self, a_kind: ByteTokens, b_kind: PieceTokens) -> None:
+        self._a, self._b = a_kind, b_kind
+        self._cut = a_kind.cuts_at_spaces and b_kind.cuts_at_spaces
+        self._forget()
+
+    def _forget(self) -> None:
+        none = np.zeros(0, dtype=np.int64)
+        self._known: dict[str, int] = {}
+        self._counts = np.zeros((len(COUNTS), 0), dtype=np.int64)
+        self._good = np.zeros(0, dtype=bool)
+        self._written: list[bytes] = []
+        self._links, self._link_starts, self._link_sizes = none, none, none
+
+    def align(self, texts: list[str]) -> Aligned:
+        """Align whole texts; pairs are ``a * (size of the second vocabulary) + b``."""
+        if len(self._known) > _STRETCHES or len(self._links) > 8 * _STRETCHES:
+            self._forget()
+        cut = [(_CUT.split(" " + t) if self._cut else [" " + t]) if t else [] for t in texts]
+        stretches = [s for text in cut for s in text]
+        self._learn([s for s in dict.fromkeys(stretches) if s not in self._known])
+        at = np.fromiter(map(self._known.__getitem__, stretches), dtype=np.int64, count=len(stretches))
+        sizes = np.array([len(x) for x in cut], dtype=np.int64)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        sizes[_between(~self._good[at], bounds) > 0] = 0  # tokens that do not spell one stretch do not spell the text
+        at = at[np.repeat(sizes > 0, np.diff(bounds))]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        counts = np.stack([_between(c[at], bounds) for c in self._counts])
+        places = at.tolist()
+        digests = [
+            hashlib.sha256(b";".join([self._written[i] for i in places[x:y]])).hexdigest() if y > x else ""
+            for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+        ]
+        links = _gathered(self._links, self._link_starts[at], self._link_sizes[at])
+        span = len(self._a.vocabulary.sizes) * len(self._b.vocabulary.sizes)
+        both = np.sort(np.repeat(np.arange(len(texts)), counts[-1]) * span + links)
+        fresh = np.flatnonzero(np.diff(both, prepend=-1))
+        owner, pairs = np.divmod(both[fresh], span)
+        times = np.diff(np.append(fresh, len(both)))
+        return Aligned(counts, digests, pairs, times, np.searchsorted(owner, np.arange(len(texts) + 1)))
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Tokenize and align stretches, all of them at once."""
+        if not stretches:
+            return
+        raw = [s.encode() for s in stretches]
+        found = self._a.encode(stretches), self._b.encode(stretches)
+        good = np.logical_and(*(_spells(k, e, raw) for k, e in zip((self._a, self._b), found, strict=True)))
+        n = len(stretches)
+        (a_ids, a_bounds), (b_ids, b_bounds) = (
+            _flat([x if g else [] for x, g in zip(e, good, strict=True)]) for e in found
+        )
+        a = Tokens(a_ids, np.cumsum(self._a.vocabulary.sizes[a_ids]))
+        b = Tokens(b_ids, np.cumsum(self._b.vocabulary.sizes[b_ids]))
+        ends = np.cumsum([len(r) if g else 0 for r, g in zip(raw, good, strict=True)]).astype(np.int64)
+        counts, written = np.zeros((len(COUNTS), n), dtype=np.int64), [b""] * n
+        links = np.zeros(0, dtype=np.int64)
+        if len(a_ids):
+            a_last, b_last = terminals(a.ends, b.ends)
+            cuts = np.flatnonzero(a_last == np.arange(len(a_last)))  # terminal tokens, one per group
+            groups = np.searchsorted(cuts, a_last), np.searchsorted(cuts, b_last)
+            written = _groups_written(a_ids, b_ids, *groups, a_bounds + b_bounds)
+            over, a_place, b_place = overlaps(a, b)
+            links = a_ids[a_place] * len(self._b.vocabulary.sizes) + b_ids[b_place]
+            for row, values in enumerate(
+                (np.diff(a_bounds), np.diff(b_bounds), np.bincount(np.searchsorted(ends, a.ends[cuts]), minlength=n), np.bincount(np.searchsorted(ends, over), minlength=n))
+            ):
+                counts[row] = values
+        self._known.update(zip(stretches, range(len(self._written), len(self._written) + n), strict=True))
+        starts = len(self._links) + np.cumsum(counts[-1]) - counts[-1]
+        self._links = np.concatenate([self._links, links])
+        self._link_starts = np.concatenate([self._link_starts, starts])
+        self._link_sizes = np.concatenate([self._link_sizes, counts[-1]])
+        self._counts = np.concatenate([self._counts, counts], axis=1)
+        self._good = np.concatenate([self._good, good])
+        self._written += written
+
+
+def _groups_written(a_ids, b_ids, a_group, b_group, bounds) -> list[bytes]:
+    """``a1,a2|b1;a3|b2`` of each stretch; ``bounds`` count the tokens of both kinds."""
     a_at = np.arange(len(a_ids)) + np.searchsorted(b_group, a_group)
     b_at = np.arange(len(b_ids)) + np.searchsorted(a_group, b_group, side="right")
-    ids, marks = np.empty(len(a_ids) + len(b_ids), dtype=np.int64), np.full(len(a_ids) + len(b_ids), ord(","), dtype=np.uint8)
+    n = len(a_ids) + len(b_ids)
+    ids, marks = np.empty(n, dtype=np.int64), np.full(n, ord(","), dtype=np.uint8)
     ids[a_at], ids[b_at] = a_ids, b_ids
     marks[a_at[np.append(a_group[1:] != a_group[:-1], True)]] = ord("|")
     marks[b_at[np.append(b_group[1:] != b_group[:-1], True)]] = ord(";")
-    raw, ends = _written(ids, marks)
-    text_bytes = np.concatenate([[0], ends])[a_bounds + b_bounds].tolist()
-    digests = [
-        hashlib.sha256(raw[x : y - 1]).hexdigest() if y > x else ""
-        for x, y in zip(text_bytes[:-1], text_bytes[1:], strict=True)
-    ]
-
-    over, a_place, b_place = links(a, b)
-    owner = np.searchsorted(text_ends, over)
-    pair = a_ids[a_place] * len(b_kind.vocabulary.sizes) + b_ids[b_place]
-    order = np.lexsort((pair, owner))
-    owner, pair = owner[order], pair[order]
-    fresh = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])))
-    times = np.diff(np.append(fresh, len(pair)))
-    counts = np.stack(
-        [np.diff(a_bounds), np.diff(b_bounds), np.bincount(group_text, minlength=n), np.bincount(owner, minlength=n)]
-    )
-    return Aligned(counts, digests, pair[fresh], times, np.searchsorted(owner[fresh], np.arange(n + 1)))
+    raw, ends = _decimal(ids, marks)
+    at = np.concatenate([[0], ends])[bounds].tolist()
+    return [raw[x : max(x, y - 1)] for x, y in zip(at[:-1], at[1:], strict=True)]
 
 
 def _align(a_file: str, b_file: str):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_kind, b_kind = ByteTokens(a_file), PieceTokens(b_file)
+        aligner = Aligner(ByteTokens(a_file), PieceTokens(b_file))
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             for chunk in arrays.chunks(column):
-                found = aligned(column.slice(chunk.first, chunk.n).fill_null("").to_pylist(), a_kind, b_kind)
+                found = aligner.align(column.slice(chunk.first, chunk.n).fill_null("").to_pylist())
                 offsets = pa.array(found.bounds.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -282,12 +349,6 @@ def _least_count(counts: DataFrame, most: int) -> int:
     return 0
 
 
-def _per_row(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sums of whole numbers between the ends of each row."""
-    sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    return sums[ends[1:]] - sums[ends[:-1]]
-
-
 def alignments(docs: DataFrame, a_file: str, b_file: str, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row of ``docs``."""
     spark = docs.sparkSession
@@ -323,10 +384,10 @@ def alignments(docs: DataFrame, a_file: str, b_file: str, frequent: int = FREQUE
             at[~seen] = 0
             if len(pairs):
                 seen &= pairs[at] == flat
-                sums = [_per_row(often * seen * weight[at], ends) for weight in (top, n)]
+                sums = [_between(often * seen * weight[at], ends) for weight in (top, n)]
             else:
                 sums = [np.zeros(batch.num_rows, dtype=np.int64)] * 2
-            bounds = np.concatenate([[0], np.cumsum(_per_row(~seen, ends))]).astype(np.int32)
+            bounds = np.concatenate([[0], np.cumsum(_between(~seen, ends))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:-2],
