@@ -127,28 +127,36 @@ POSTS = [
 ]
 
 
+M = search.mentions
+
+
 @pytest.mark.parametrize(
-    "query, ids",
+    "where, ids",
     [
-        ("psg", {1, 2, 3, 4}),
-        ("(PSG OR OM) min_retweets:5 -is:retweet", {1, 4}),
-        ("psg om", {3, 4}),
-        ("psg -om", {1, 2}),
-        ("om psg OR \"saint etienne\"", {3, 4, 5}),
-        ("-(psg OR om) lang:fr", {5, 6}),
-        ("is:retweet", {2}),
-        ("(psg (om OR marque)) -lang:en", {1, 3}),
+        (lambda: M("psg"), {1, 2, 3, 4}),
+        (lambda: M("psg", "OM") & (F.col("retweet_count") >= 5) & ~search.is_retweet(), {1, 4}),
+        (lambda: M("psg") & M("om"), {3, 4}),
+        (lambda: M("psg") & ~M("om"), {1, 2}),
+        (lambda: (M("om") & M("psg")) | M("saint etienne"), {3, 4, 5}),
+        (lambda: ~M("psg", "om") & (F.col("lang") == "fr"), {5, 6}),
+        (search.is_retweet, {2}),
+        (lambda: M("psg") & (M("om") | M("marque")) & (F.col("lang") != "en"), {1, 3}),
+        (lambda: "lang = 'fr' AND startswith(text, 'RT @')", {2}),
+        (lambda: "text ILIKE '%psg%' AND retweet_count < 5", {3}),
     ],
 )
-def test_explicit_queries(spark, query, ids):
+def test_explicit_queries(spark, where, ids):
     df = spark.createDataFrame(POSTS, "id int, text string, lang string, retweet_count long")
-    assert {r.id for r in search.search_filter(df, search.SearchConfig(query=query)).collect()} == ids
+    config = search.SearchConfig(query="as the service reads it", where=where())
+    assert {r.id for r in search.search_filter(df, config).collect()} == ids
 
 
-@pytest.mark.parametrize("query", ["", "psg OR", "(psg", "psg)", "from:me", "lang:", "#om", '""', 'say "x', "min_retweets:x"])
-def test_unreadable_queries_raise(spark, query):
-    with pytest.raises(ValueError):
-        search.query_predicate(query)
+def test_explicit_query_without_filter_raises(spark):
+    with pytest.raises(ValueError, match="where"):
+        search.SearchConfig(query="from:me").predicate()
+    df = spark.createDataFrame(POSTS, "id int, text string, lang string, retweet_count long")
+    with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR"):
+        search.search_filter(df, search.SearchConfig(query="x", where="lang ="))
 
 
 def pages(spark, rows):

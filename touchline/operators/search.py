@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import logging
-import operator
-import re
 from dataclasses import dataclass, field as dataclass_field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +25,9 @@ logger = logging.getLogger(__name__)
 class SearchConfig:
     """What to collect. An explicit ``query`` replaces keywords and their filters.
 
+    The text of such a query is for the search service. What it means for posts at hand is given beside it as
+    ``where``: a Column (built from ``mentions``, ``is_retweet`` and columns) or a filter in Spark SQL.
+
     With a ``ceiling``, as a collection has one, ``max_results`` above it becomes the ceiling.
     """
 
@@ -44,6 +44,7 @@ class SearchConfig:
     user_fields: tuple[str, ...] = ("username", "name", "verified", "public_metrics")
     min_retweets: int | None = None
     query: str | None = None
+    where: Column | str | None = dataclass_field(default=None, compare=False)
     ceiling: int | None = None
     explicit_query: bool = dataclass_field(init=False, default=False)
 
@@ -99,104 +100,29 @@ class SearchConfig:
         if self.end_time:
             tests.append(F.col("created_at") < F.lit(self.end_time).cast("timestamp"))
         if self.explicit_query:
-            tests.append(query_predicate(self.query))
+            if self.where is None:
+                raise ValueError("an explicit query is the service's own; give `where` to filter posts here")
+            tests.append(F.expr(self.where) if isinstance(self.where, str) else self.where)
         else:
             if self.min_retweets is not None:
                 tests.append(F.col("retweet_count") >= self.min_retweets)
-            tests.append(~_is_retweet())
-            tests.append(_mentions(self.terms))
+            tests.append(~is_retweet())
+            tests.append(mentions(*self.terms))
         combined = tests[0]
         for test in tests[1:]:
             combined = combined & test
         return combined
 
 
-def _is_retweet() -> Column:
+def is_retweet() -> Column:
     return F.col("text").startswith("RT @")
 
 
-def _mentions(terms: list[str]) -> Column:
+def mentions(*terms: str) -> Column:
+    """Whether the text has any of the words or phrases, whatever their case and accents."""
     return normalize_text("text").rlike(whole_word_pattern([fold(t) for t in terms]))
 
 
-_TOKEN = re.compile(r'-?\(|\)|-?"[^"]*"|[^\s()"]+')
-
-
-def query_predicate(query: str) -> Column:
-    """A search query as a filter: words and quoted phrases, ``OR``, parentheses, ``-`` for not,
-    ``lang:``, ``min_retweets:`` and ``is:retweet``.
-
-    Neighbours are joined by AND, which binds closer than ``OR``. Anything else raises.
-    """
-    tokens = _TOKEN.findall(query)
-    if "".join(tokens) != re.sub(r'\s+(?=(?:[^"]*"[^"]*")*[^"]*$)', "", query):
-        raise ValueError(f"cannot read the query: {query}")
-    at = 0
-
-    def either() -> Column:
-        nonlocal at
-        parts, words = [], []
-        while True:
-            part = both()
-            (words if isinstance(part, str) else parts).append(part)
-            if at >= len(tokens) or tokens[at] != "OR":
-                break
-            at += 1
-        found = ([_mentions(words)] if words else []) + parts  # plain words share one pattern
-        return reduce(operator.or_, found)
-
-    def both() -> Column | str:
-        """A single plain word comes back as it is, so that a row of them can be joined."""
-        parts = [one()]
-        while at < len(tokens) and tokens[at] not in ("OR", ")"):
-            parts.append(one())
-        if len(parts) == 1:
-            return parts[0]
-        return reduce(operator.and_, [_mentions([p]) if isinstance(p, str) else p for p in parts])
-
-    def one() -> Column | str:
-        nonlocal at
-        if at >= len(tokens) or tokens[at] in ("OR", ")"):
-            raise ValueError(f"a term is missing in the query: {query}")
-        token = tokens[at]
-        at += 1
-        if token in ("(", "-("):
-            inner = either()
-            if at >= len(tokens) or tokens[at] != ")":
-                raise ValueError(f"a parenthesis is open in the query: {query}")
-            at += 1
-            return ~inner if token == "-(" else inner
-        negated = token.startswith("-") and len(token) > 1
-        test = _term(token[1:] if negated else token)
-        if not negated:
-            return test
-        return ~(_mentions([test]) if isinstance(test, str) else test)
-
-    found = either()
-    if at < len(tokens):
-        raise ValueError(f"a parenthesis is never opened in the query: {query}")
-    return found
-
-
-def _term(token: str) -> Column | str:
-    if token.startswith('"'):
-        if not token.strip('" '):
-            raise ValueError("an empty phrase in the query")
-        return token.strip('"')
-    name, colon, value = token.partition(":")
-    if not colon:
-        if not re.fullmatch(r"[^\W_](?:[\w'-]*\w)?", token):
-            raise ValueError(f"unknown term in the query: {token}")
-        return token
-    if name == "lang" and re.fullmatch("[a-z]{2,3}", value):
-        return F.col("lang") == value
-    if name == "min_retweets" and value.isdigit():
-        return F.col("retweet_count") >= int(value)
-    if token == "is:retweet":
-        return _is_retweet()
-    raise ValueError(f"unknown operator in the query: {token}")
-
-
 def search_filter(tweets: DataFrame, config: SearchConfig) -> DataFrame:
     return tweets.where(config.predicate())
 
@@ -205,15 +131,50 @@ def cap_results(df: DataFrame, run: str, order: list[str], cap: int) -> DataFram
     """The first ``cap`` rows of each run.
 
     Spark turns the rank filter into a limit before the shuffle, so a run sends
-    at most ``cap`` rows per task. It does so up to a threshold, which is raised to ``cap`` for the session.
+    at most ``cap`` rows per task. It does so up to ``spark.sql.optimizer.windowGroupLimitThreshold``, which a session
+    of larger caps has to raise; the result is the same without it.
     """
-    conf, threshold = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(conf.get(threshold)) < cap:
-        conf.set(threshold, str(cap))
     window = Window.partitionBy(run).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= cap).drop("_rank")
 
 
+def _parsed(pages: DataFrame) -> DataFrame:
+    """Pages with ``items``, ``n_items`` and whether a run goes on after them, instead of their ``body``."""
+    items = F.try_variant_get("_v", "$.data", "array<variant>")
+    return (
+        once(pages, _v=as_variant(pages, "body"))
+        .withColumns({"items": items, "_token": truthy(field("_v", "meta.next_token"))})
+        .withColumn("n_items", F.greatest(F.coalesce(F.size("items"), F.lit(0)), F.lit(0)))
+        .select(
+            *[c for c in pages.columns if c != "body"],
+            "items",
+            "n_items",
+            ((F.col("n_items") > 0) & F.coalesce("_token", F.lit(False))).alias("_continues"),
+        )
+    )
+
+
+def _read_pages(pages: DataFrame) -> DataFrame:
+    """``page_prefix`` without a cap.
+
+    Which pages are read, and what comes before them, follows from three small columns per page. Bodies meet that
+    table by run and page, and only those that were read are parsed into items.
+    """
+    small = _parsed(pages).select("run_id", "page", "n_items", "_continues")
+    totals = running_total(small, ["run_id"], "page", [], "n_items", "_upto")
+    stops = totals.where(~F.col("_continues")).groupBy("run_id").agg(F.min("page").alias("_stop"))
+    kept = totals.join(stops.withColumnRenamed("run_id", "_run"), F.col("run_id").eqNullSafe(F.col("_run")), "left")
+    places = kept.where((F.col("n_items") > 0) & (F.col("page") <= F.coalesce("_stop", "page"))).select(
+        F.col("run_id").alias("_place_run"),
+        F.col("page").alias("_place_page"),
+        (F.col("_upto") - F.col("n_items")).alias("n_before"),
+    )
+    same = F.col("run_id").eqNullSafe(F.col("_place_run")) & (F.col("page") == F.col("_place_page"))
+    return _parsed(pages.join(places, same).drop("_place_run", "_place_page")).select(
+        *[c for c in pages.columns if c != "body"], "items", "n_items", "n_before"
+    )
+
+
 def page_prefix(pages: DataFrame, cap: int | None = None) -> DataFrame:
     """The pages of each run that a collection would have read.
 
@@ -224,30 +185,11 @@ def page_prefix(pages: DataFrame, cap: int | None = None) -> DataFrame:
     With a ``cap``, every page read holds at least one post, so the first ``cap`` pages of a
     run decide the outcome: the unparsed pages are limited to these, below the shuffle, and
     the windows look at no more. Without one, the stop of a run is the smallest page that
-    ends it, a minimum, and the posts before a page are a running total cut to size.
+    ends it, a minimum, and the posts before a page are a running total over narrow rows.
     """
-    limited = pages if cap is None else cap_results(pages, "run_id", ["page"], cap)
-    items = F.try_variant_get("_v", "$.data", "array<variant>")
-    parsed = (
-        once(limited, _v=as_variant(limited, "body"))
-        .withColumns({"items": items, "_token": truthy(field("_v", "meta.next_token"))})
-        .withColumn("n_items", F.greatest(F.coalesce(F.size("items"), F.lit(0)), F.lit(0)))
-        .select(
-            *[c for c in pages.columns if c != "body"],
-            "items" if cap is None else F.slice("items", 1, cap).alias("items"),
-            "n_items",
-            ((F.col("n_items") > 0) & F.coalesce("_token", F.lit(False))).alias("_continues"),
-        )
-    )
     if cap is None:
-        totals = running_total(parsed, ["run_id"], "page", [], "n_items", "_upto")
-        stops = totals.where(~F.col("_continues")).groupBy("run_id").agg(F.min("page").alias("_stop"))
-        kept = totals.join(stops.withColumnRenamed("run_id", "_run"), F.col("run_id").eqNullSafe(F.col("_run")), "left")
-        return (
-            kept.where((F.col("n_items") > 0) & (F.col("page") <= F.coalesce("_stop", "page")))
-            .withColumn("n_before", F.col("_upto") - F.col("n_items"))
-            .drop("_run", "_stop", "_upto", "_continues")
-        )
+        return _read_pages(pages)
+    parsed = _parsed(cap_results(pages, "run_id", ["page"], cap)).withColumn("items", F.slice("items", 1, cap))
     by_page = Window.partitionBy("run_id").orderBy("page")
     earlier = by_page.rowsBetween(Window.unboundedPreceding, -1)
     return (

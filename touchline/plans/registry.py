@@ -716,7 +716,7 @@ def search_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def search_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An explicit query replaces keywords and their filters; language still applies."""
     config = search.SearchConfig(
-        query="the OR is", lang="en", min_retweets=30, max_results=999, ceiling=MAX_RESULTS_PER_COLLECT
+        query="the OR is", where=search.mentions("the", "is"), lang="en", min_retweets=30, max_results=999, ceiling=MAX_RESULTS_PER_COLLECT
     )
     found = search.search_filter(P.parse_created_at(inputs.posts(spark, sf_dir)), config)
     return search.cap_results(found, "source", ["doc_id"], config.max_results).select("source", "tweet_id")
@@ -724,16 +724,21 @@ def search_config(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A keyword search, the query it stands for, and a query with all operators."""
+    """A keyword search, the query it stands for as a filter in Spark SQL over marked posts, and one built from Columns."""
     tweets = P.parse_created_at(inputs.posts(spark, sf_dir))
     keywords = search.SearchConfig(keywords='les OR "décision var" OR the', min_retweets=3)
     queries = {
         "keywords": keywords,
-        "explicit": search.SearchConfig(query=keywords.query),
-        "all": search.SearchConfig(query='(les OR (the -is)) -lang:de min_retweets:2 -"analyse vidéo"'),
+        "explicit": search.SearchConfig(query=keywords.query, where="named AND retweet_count >= 3 AND NOT startswith(text, 'RT @')"),
+        "all": search.SearchConfig(
+            query='(les OR (the -is)) -lang:de min_retweets:2 -"analyse vidéo"',
+            where=(search.mentions("les") | (search.mentions("the") & ~search.mentions("is")))
+            & (F.col("lang") != "de") & (F.col("retweet_count") >= 2) & ~search.mentions("analyse vidéo"),
+        ),
     }
+    marked = tweets.withColumn("named", search.mentions(*keywords.terms))
     parts = [
-        search.search_filter(tweets, q).select(F.lit(name).alias("query"), "tweet_id") for name, q in queries.items()
+        search.search_filter(marked, q).select(F.lit(name).alias("query"), "tweet_id") for name, q in queries.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

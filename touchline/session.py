@@ -16,6 +16,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Rank filters up to this many rows per key become limits below the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 
