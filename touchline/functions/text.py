@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from functools import lru_cache
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -248,23 +249,28 @@ def with_themes(
 def tag_themes_udf(themes: Mapping[str, Sequence[str]] = THEME_KEYWORDS):
     """Arrow UDF form of :func:`tag_themes`, for callers that need a function object.
 
-    Slower than the expression (text crosses to Python and back); kept for
-    parity checks against the native path.
+    Each distinct text and tag list of a batch is looked at once; per theme a pattern runs over a whole column. Text still
+    crosses to Python and back, so the expression stays the main path.
     """
-    text_rules = {
-        theme: re.compile("|".join(rf"\b{re.escape(fold(k))}\b" for k in keywords))
-        for theme, keywords in themes.items()
-    }
-    tag_rules = {theme: re.compile(compact_pattern(keywords)) for theme, keywords in themes.items()}
+    text_rules = {t: "|".join(rf"\b{re.escape(fold(k))}\b" for k in keywords) for t, keywords in themes.items()}
+    tag_rules = {t: compact_pattern(keywords) for t, keywords in themes.items()}
+    names = np.array(list(themes), dtype=object)
+
+    def found(values: pd.Series, rules: Mapping[str, str]) -> np.ndarray:
+        """One column per theme: whether its pattern is in the folded value."""
+        codes, distinct = pd.factorize(values)
+        folded = pd.Series(distinct, dtype=object).map(fold)
+        if rules is tag_rules:
+            folded = folded.str.replace("-", "", regex=False)
+        hits = [folded.str.contains(re.compile(rules[t])).to_numpy(dtype=bool) for t in themes]
+        return np.stack(hits, axis=1)[codes] if len(folded) else np.zeros((len(values), len(hits)), dtype=bool)
 
     @F.pandas_udf(ArrayType(StringType()))
     def tagger(texts: pd.Series, tag_lists: pd.Series) -> pd.Series:
-        def one(text, tags):
-            body = fold(text or "")
-            joined = fold("\n".join(t for t in (tags if tags is not None else []) if t))
-            joined = joined.replace("-", "")
-            return [t for t in text_rules if text_rules[t].search(body) or tag_rules[t].search(joined)]
-
-        return pd.Series([one(t, h) for t, h in zip(texts, tag_lists)])
+        joined = tag_lists.map(lambda tags: "\n".join(t for t in (tags if tags is not None else []) if t))
+        hits = found(texts.fillna(""), text_rules) | found(joined, tag_rules)
+        rows, at = np.nonzero(hits)
+        ends = np.cumsum(np.bincount(rows, minlength=len(hits)))
+        return pd.Series(np.split(names[at], ends[:-1]) if len(hits) else [], dtype=object)
 
     return tagger
