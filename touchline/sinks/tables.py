@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.schemas import STAGING_COLUMNS, STAGING_SCHEMA
+from touchline.session import stored
 from touchline.sinks.slots import slot
 from touchline.vocabulary import ARCHIVE_ROTATION, ARCHIVE_TIME_ZONE
 
@@ -102,37 +103,36 @@ def write_raw_archive(
     ingested_at: Column | None = None,
     on_error: Callable[[Exception], None] | None = None,
     body: str | None = None,
+    computed: bool = False,
 ) -> int:
     """Append posts, before validation, as NDJSON below ``year=/month=/day=``.
 
     ``body`` names a column that holds a post's JSON already; else a post is its columns.
 
     Returns the number of rows written, counted by the write itself. Errors propagate.
-    With ``on_error`` the input is computed and kept first, so that errors of the query
-    itself still propagate; what fails after that is the storage, goes to ``on_error``, and gives 0.
+    With ``on_error`` the input is first written to the shared folder, so that errors of the query
+    itself still propagate; what fails after that is the storage, goes to ``on_error``, and gives 0. A caller whose
+    posts are a stored table already says so by ``computed``.
     """
     moment = ingested_at if ingested_at is not None else F.current_timestamp()
     written = Observation()
-    kept = posts.persist() if on_error is not None else posts
+    kept = posts if on_error is None or computed else stored(posts, "archived")
+    brought = (
+        kept.withColumns(date_partitions(moment))
+        .observe(written, F.count(F.lit(1)).alias("rows"))
+        .hint("rebalance", "year", "month", "day")
+    )
     try:
-        if on_error is not None:
-            kept.count()
-        dated = kept.withColumns(date_partitions(moment)).observe(written, F.count(F.lit(1)).alias("rows"))
-        brought = dated.hint("rebalance", "year", "month", "day")
-        try:
-            if body is not None:
-                brought = brought.select(body, "year", "month", "day")
-            writer = brought.write.mode("append").partitionBy("year", "month", "day")
-            writer.json(path) if body is None else writer.text(path)
-            return written.get["rows"]
-        except Exception as error:
-            if on_error is None:
-                raise
-            on_error(error)
-            return 0
-    finally:
-        if on_error is not None:
-            kept.unpersist()
+        if body is not None:
+            brought = brought.select(body, "year", "month", "day")
+        writer = brought.write.mode("append").partitionBy("year", "month", "day")
+        writer.json(path) if body is None else writer.text(path)
+        return written.get["rows"]
+    except Exception as error:
+        if on_error is None:
+            raise
+        on_error(error)
+        return 0
 
 
 def archive_stream(

@@ -61,7 +61,7 @@ def run_collection(
     while collecting; such a run has a summary with its errors, and a run without posts one of zeros.
     """
     collected = stored(merged_posts(read_response_pages(pages, cap), profiles), "collected")
-    write_raw_archive(collected.select("value"), archive, ingested_at, on_error=log_failure, body="value")
+    write_raw_archive(collected.select("value"), archive, ingested_at, on_error=log_failure, body="value", computed=True)
     parsed = with_post(collected)
     readable, unreadable = split_unreadable(parsed, "post")
     validated = validate_tweets(readable, "post")
