@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tests.llm import brute
 from touchline.llm import arrays, embedding_join, langid, licenses, ngram_join, pieces, pii, quality, secret_scan, urls
 from touchline.llm.queries import model_file
 from touchline.llm.shared import components
@@ -249,3 +250,44 @@ def test_many_cells_and_blocks_give_the_same_pairs(spark):
     one = embedding_join.near_duplicates(vectors, least=0.25, block=4096)
     many = embedding_join.near_duplicates(vectors, least=0.25, block=16)
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0 and one.where("n_links > 0").count()
+
+
+def test_forms_that_fail_their_check_are_not_added(spark):
+    """Bare runs of 16 digits without a right check digit, alone, in pairs and after cue words; right ones stay exact."""
+    right = [f"pay 4111 1111 1111 {1111 if i else 1111} or +1 (234) 567-{1000 + i}" for i in range(40)]
+    wrong = [f"and {9807915762804000 + i} ok" for i in range(0, 900, 7)]
+    wrong = [t for t in wrong if not brute._luhn(t.split()[1])]
+    asked = ["card 9807915762804490 ok", "9807915762804490 7086638319846192", "tel 1.2.3.400", "tel 020 7946 0018", "call +12 345"]
+    texts = [*right, *wrong, *asked]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.spans] for r in pii.detected(docs).collect()}
+    first = len(right)
+    assert all(spans[i] == [] for i in range(first, first + len(wrong)))
+    added = [spans[first + len(wrong) + i] for i in range(len(asked))]
+    assert added[0] == added[1] == added[2] == added[4] == []
+    assert added[3] in ([], [("number", "020 7946 0018")])
+    assert all([k for k, _ in spans[i]] == ["card", "phone"] for i in range(first))
+
+
+def test_thresholds_come_from_unseen_folds():
+    """Trees that only know their own examples by heart find no threshold on others."""
+    scores, yes, no = np.array([2.0, 2.0, -1.0]), np.array([30.0, 0.0, 0.0]), np.array([0.0, 20.0, 40.0])
+    assert pii.calibrated(scores, yes, no, 0.95, 20) is None
+    assert pii.calibrated(np.array([2.0, 1.0, -1.0]), yes, no, 0.95, 20) == 2.0
+    # Too few examples at the top decide nothing.
+    assert pii.calibrated(np.array([3.0, 2.0]), np.array([5.0, 40.0]), np.array([1.0, 0.0]), 0.95, 20) == 2.0
+
+
+def test_many_matches_in_one_text(spark):
+    """Tens of thousands of places in one text take seconds, and redaction leaves the rest of the text as it is."""
+    import time
+
+    n = 20_000
+    text = "".join(f"é{i % 10} a{i}@b.example.com " for i in range(n))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    out = pii.redacted(docs).first().text
+    assert out == "".join(f"é{i % 10} [EMAIL] " for i in range(n))
+    row = secret_scan.scanned(spark.createDataFrame([(1, "token=abcdefgh " * n)], "doc_id long, text string")).first()
+    assert len([s for s in row.spans if s.kind == "assign"]) == n
+    assert time.time() - began < 120

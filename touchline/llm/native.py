@@ -43,14 +43,26 @@ def places(text: Column, pattern: str, build: Callable[[Match], Column], group:
             match = Match(start, end, x["found"][i], x["parts"][i], x["parts"][i + 1], x["group"][i])
             return F.struct(end.alias("at"), F.array_append(t["out"], build(match)).alias("out"))
 
+        # Appending copies an array, so matches are gathered in blocks of about the root of their number.
+        n = F.size(x["found"])
+        width = F.ceil(F.sqrt(n)).cast("int")
+
+        def block(t: Column, first: Column) -> Column:
+            last = F.least(first + width, n) - 1
+            inner = F.aggregate(F.sequence(first, last), F.struct(t["at"].alias("at"), none.alias("out")), step)
+            return bound(
+                inner, lambda y: F.struct(y["at"].alias("at"), F.array_append(t["out"], y["out"]).alias("out"))
+            )
+
+        blocks = F.struct(F.lit(0).alias("at"), F.slice(F.array(none), 1, 0).alias("out"))
         return F.when(
-            F.size(x["found"]) > 0,
-            F.aggregate(
-                F.sequence(F.lit(0), F.size(x["found"]) - 1),
-                F.struct(F.lit(0).alias("at"), none.alias("out")),
-                step,
-                lambda t: t["out"],
-            ),
+            n > 0,
+            F.aggregate(F.sequence(F.lit(0), n - 1, width), blocks, block, lambda t: F.flatten(t["out"])),
         ).otherwise(none)
 
-    return F.element_at(F.transform(F.array(looked_at), one), 1)
+    return bound(looked_at, one)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs in the result."""
+    return F.element_at(F.transform(F.array(value), use), 1)
