@@ -1007,8 +1007,8 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = KeyedTable(scratch_path(spark, "keyed"), "tweet_id", order=["processed_at"], run="upsert")
     messages = inputs.flat_messages(spark, sf_dir)
     for n, wave in enumerate(_WAVES):
-        messages.where(wave).select("value").write.text(f"{source}/{n}")
-        enriched = P.enrich_stream(read_tweets(spark, StreamConfig(source_path=f"{source}/*")))
+        messages.where(wave).select("value").write.parquet(f"{source}/{n}")
+        enriched = P.enrich_stream(spark.readStream.schema("value string").parquet(f"{source}/*"))
         job.start(enriched, table, checkpoint, _NOW).awaitTermination()
         if n == 2:
             table.compact(spark)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.session import stored
+from touchline.session import scratch_path, stored
 from touchline.sinks.slots import run_of
 
 logger = logging.getLogger(__name__)
@@ -33,7 +33,7 @@ _NO_SLOT = "\x00"
 
 @dataclass(frozen=True)
 class Lookup:
-    """What a batch cost: folders and files that were read, of how many folders, and rows in and out."""
+    """What a batch cost: folders and files that were read, of how many folders; different keys in, and rows written."""
 
     folders: int
     folders_read: int
@@ -108,7 +108,18 @@ class KeyedTable:
         spark = batch_df.sparkSession
         slot = f"{run_of(batch_df, self._run)}-{batch_id}"
         home = self._generation(spark)
-        batch = stored(self._firsts(batch_df), "batch")
+        kept = scratch_path(spark, "batch")
+        self._firsts(batch_df).write.parquet(kept)
+        try:
+            self.lookups.append(self._merge(spark, home, slot, kept, batch_df))
+        finally:
+            fs, folder = self._fs(spark, kept)
+            fs.delete(folder, True)
+        logger.info("batch %s of %s: %s", batch_id, self._path, self.lookups[-1])
+
+    def _merge(self, spark: SparkSession, home: str, slot: str, kept: str, batch_df: DataFrame) -> Lookup:
+        """Write the rows of the stored batch whose keys are new."""
+        batch = spark.read.parquet(kept)
         filters = self._filters(spark, home).where(F.col("slot") != slot)
         asked = stored(
             batch.select("bucket", "h").where("h IS NOT NULL").groupBy("bucket")
@@ -126,20 +137,20 @@ class KeyedTable:
             suspects = there.withColumn("h", F.xxhash64(self._key)).join(asked.select("h").distinct(), "h", "left_semi")
             fresh = batch.join(suspects.select(self._key).distinct(), self._key, "left_anti")
         self._write(fresh.select(*batch_df.columns, "bucket"), home, slot)
-        written = self._rows(spark, home, batch_df, [slot]).count()
-        seen = filters.agg(F.count("*")).first()[0]
-        self.lookups.append(Lookup(seen, len(folders), files, batch_df.count(), written))
-        logger.info("batch %s of %s: %s", batch_id, self._path, self.lookups[-1])
+        written = spark.read.schema(batch_df.schema).parquet(f"{home}/rows/slot={slot}").count()
+        return Lookup(filters.count(), len(folders), files, batch.count(), written)
 
     def _firsts(self, rows: DataFrame) -> DataFrame:
         """The first copy of each key with its hash and bucket; rows without key are spread over the buckets."""
         by = [F.col(c) for c in self._order] or [F.lit(1)]
-        window = Window.partitionBy(self._key).orderBy(*by)
-        keyed = rows.where(F.col(self._key).isNotNull()).withColumn("_n", F.row_number().over(window)).where("_n = 1").drop("_n")
+        # A row without key is copy of nothing: it gets a number of its own.
+        alone = F.when(F.col(self._key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+        numbered = rows.withColumn("_alone", alone)
+        window = Window.partitionBy(self._key, "_alone").orderBy(*by)
+        firsts = numbered.withColumn("_n", F.row_number().over(window)).where("_n = 1")
         h = F.when(F.col(self._key).isNotNull(), F.xxhash64(self._key))
-        spread = F.coalesce(h, F.xxhash64(*[c for c in rows.columns if c != self._key] or [F.lit(0)]))
-        out = keyed.unionByName(rows.where(F.col(self._key).isNull())).withColumn("h", h)
-        return out.withColumn("bucket", F.pmod(spread, F.lit(self._buckets)).cast("int"))
+        spread = F.pmod(F.coalesce(h, F.xxhash64("_alone")), F.lit(self._buckets))
+        return firsts.withColumn("h", h).withColumn("bucket", spread.cast("int")).drop("_n", "_alone")
 
     def _write(self, rows: DataFrame, home: str, slot: str) -> None:
         """Rows first, then their filters: a folder without filter belongs to a batch that will be repeated."""
@@ -174,9 +185,6 @@ class KeyedTable:
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(f"{home}/rows").drop("slot", "bucket")
 
-    def _rows(self, spark: SparkSession, home: str, like: DataFrame, slots: list[str]) -> DataFrame:
-        return spark.read.schema(like.schema).parquet(*[f"{home}/rows/slot={s}" for s in slots])
-
     def _filters(self, spark: SparkSession, home: str) -> DataFrame:
         fs, folder = self._fs(spark, f"{home}/filters")
         if not fs.exists(folder):
