@@ -564,6 +564,12 @@ def oracle_sql() -> dict[str, str]:
             WHERE len(errors) = 0 GROUP BY ALL""",
         "delivery_failures": "SELECT 'tweets_raw' AS topic, count(*) AS n FROM documents WHERE doc_id % 59 = 0",
         "latency_histogram": _histogram(),
+        "authors_by_range": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS posts, count(DISTINCT o_custkey) AS exact, true AS within
+            FROM orders GROUP BY ALL""",
+        "latency_quantiles": """SELECT event_type AS topic, count(value) AS n, share, true AS within
+            FROM events, (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) AS s(share) GROUP BY ALL""",
+        "heavy_authors": f"""WITH {_POSTS} SELECT author_id AS key, count(*) AS n FROM posts GROUP BY ALL
+            HAVING count(*) > 0.02 * (SELECT count(author_id) FROM posts)""",
         # windows, alerts, retention
         "latest_by_key": f"""WITH {_POSTS}, {_COPIES} SELECT tweet_id, doc_id, retweet_count, {_stamp('processed')} AS processed_at
             FROM copies QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY processed DESC, doc_id DESC) = 1""",

@@ -20,7 +20,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from touchline.functions import hashtags as H
 from touchline.functions import text as X
 from touchline.functions.variants import text_of, with_post
-from touchline.operators import alerts, applogs, asof, costs, dedup, flatten, profiles, reports, search, statements
+from touchline.operators import alerts, applogs, asof, costs, dedup, flatten, profiles, reports, search, sketches, statements
 from touchline.operators import posts as P
 from touchline.operators import validation as val
 from touchline.operators.statements import register_staging
@@ -829,6 +829,46 @@ def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram.select("le", "n", "count", F.round("sum", 2).alias("sum"))
 
 
+@_register
+def authors_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different authors of each year, merged from one sketch per day, and whether they are within four standard errors."""
+    rows = inputs.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("author_id"), F.col("o_orderdate").cast("date").alias("day"))
+    days = sketches.author_sketches(rows, F.col("day")).withColumn("year", F.year("day"))
+    found = sketches.authors_between(days, by=["year"])
+    exact = rows.groupBy(F.year("day").alias("year")).agg(F.count_distinct("author_id").alias("exact"))
+    near = F.abs(F.col("authors") - F.col("exact")) <= 4 * sketches.DISTINCT_ERROR * F.col("exact") + 1
+    return found.join(exact, "year").select("year", "posts", "exact", near.alias("within"))
+
+
+@_register
+def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latency quantiles per topic, merged from one sketch per hour, and whether each has the rank it should have."""
+    events = inputs.table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("topic"), (F.col("value") / 100).alias("seconds"))
+    hours = sketches.latency_sketches(events, "seconds", "ts", ["topic"])
+    found = stored(sketches.latency_quantiles(hours, ["topic"]).withColumnRenamed("seconds", "quantile"), "quantiles")
+    # Three rows per topic.
+    ranks = events.join(F.broadcast(found), "topic").groupBy("topic", "n", "share").agg(
+        F.count_if(F.col("seconds") < F.col("quantile")).alias("below"), F.count_if(F.col("seconds") <= F.col("quantile")).alias("upto")
+    )
+    low, high = (F.col("share") + e * sketches.RANK_ERROR for e in (1, -1))
+    within = (F.col("below") / F.col("n") <= low) & (F.col("upto") / F.col("n") >= high)
+    return ranks.select("topic", F.col("n"), "share", within.alias("within"))
+
+
+@_register
+def heavy_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Authors of more than a fiftieth of the posts: counters of three batches give the candidates, a second pass their counts."""
+    posts = inputs.posts(spark, sf_dir)
+    waves = scratch_path(spark, "waves")
+    sink = sketches.KeySummarySink(scratch_path(spark, "keys"), "author_id", share=0.02)
+    checkpoint = scratch_path(spark, "checkpoint")
+    for n in range(3):
+        posts.where(f"doc_id % 3 = {n}").select("author_id").write.parquet(f"{waves}/{n}")
+        stream = spark.readStream.schema("author_id string").parquet(f"{waves}/*")
+        job.start(stream, sink, checkpoint, _NOW).awaitTermination()
+    return sketches.heavy_hitters(posts, "author_id", 0.02, sink.read(spark))
+
+
 # --- windows, alerts, retention ----------------------------------------------------
 
 
