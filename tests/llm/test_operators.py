@@ -82,6 +82,28 @@ def test_components_of_a_chain_and_a_star(spark):
     assert all(found[i] == 100 for i in range(100, 141)) and all(found[i] == 7 for i in range(7, 60))
 
 
+def test_components_of_hubs(spark, monkeypatch):
+    """Hubs that are handled apart, hubs among hubs, and a long chain hanging from one."""
+    from touchline.llm import shared
+
+    edges = [(5000, i) for i in range(1, 1500)] + [(6000, i) for i in range(1400, 2500)] + [(i, i + 1) for i in range(7000, 7040)] + [(6000, 7040), (9000, 9001)]
+    for heavy in (1000, 3, 1 << 30):
+        monkeypatch.setattr(shared, "HEAVY", heavy)
+        found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert found.pop(9000) == found.pop(9001) == 9000
+        assert set(found.values()) == {1} and len(found) == 2499 + 2 + 41
+
+
+def test_rare_language_is_learnt_beside_a_frequent_one(spark):
+    """The bound holds per language: five documents of one are all used beside two thousand of another."""
+    rows = [(i, f"the house and the tree number {i}", "en") for i in range(2000)]
+    rows += [(10_000 + 3 * i, "la maison et les arbres du village", "fr") for i in range(15)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_docs=60)
+    assert model.languages == ["en", "fr"]
+    docs = spark.createDataFrame([(1, "les arbres et la maison"), (2, "the tree and the house")], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.predicted(docs, model).orderBy("doc_id").collect()] == ["fr", "en"]
+
+
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality.scored(docs, labels).join(labels, "doc_id").where("held_out").collect()

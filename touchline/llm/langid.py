@@ -163,11 +163,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
-    """Trigram and script statistics of the labelled rows that are not held out."""
+    """Trigram and script statistics of the labelled rows that are not held out.
+
+    Each language has an equal part of ``max_docs``; one with fewer documents gives all of them, so that a rare language
+    is not lost beside frequent ones.
+    """
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    share = min(1.0, max_docs / max(1, usable.count()))
+    # One row per language, as many as the model has columns.
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("size"))
+    each = max_docs / max(1, sizes.count())
     scale = 1 << 30
-    picked = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < int(share * scale))
+    picked = usable.join(F.broadcast(sizes), "lang").where(
+        F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < F.least(F.lit(1.0), F.lit(each) / F.col("size")) * scale
+    )
     sums = (
         picked.where("text IS NOT NULL")
         .select("lang", "text")

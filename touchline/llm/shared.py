@@ -58,32 +58,47 @@ def in_map(bit_words: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     return (bit_words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
+#: Nodes with one edge in so many, or more, are handled apart; there are at most twice as many of them.
+HEAVY = 1000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from each node of an edge table (a, b); returns (node, root).
 
     Alternates two steps until nothing changes: each node hands its larger
-    neighbours to its smallest one, then its smaller ones. Both are a minimum per node
-    and a join, so a node with very many edges is never gathered in one place.
+    neighbours to its smallest one, then its smaller ones. Both are a minimum per node and a join of the edges with
+    these minima. The minima of nodes with very many edges are few by construction and are broadcast, so
+    the edges of such a node are never gathered in one place.
     """
 
     def smallest(e: DataFrame) -> DataFrame:
-        return e.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        found = e.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
+        return found.select("a", F.least("a", "m").alias("m"), "degree")
 
     def tidy(e: DataFrame) -> DataFrame:
         return e.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct()
 
-    now, before = stored(tidy(edges), "edges"), None
+    def handed(e: DataFrame, least: DataFrame, heavy: int) -> DataFrame:
+        """Each edge (a, b) as (b, m), ``m`` being the smallest neighbour of ``a``."""
+        few = F.broadcast(least.where(F.col("degree") >= heavy).select("a", "m"))
+        met = e.join(few, "a", "left")
+        others = met.where("m IS NULL").drop("m").join(least.where(F.col("degree") < heavy).select("a", "m"), "a")
+        return met.where("m IS NOT NULL").select("b", "m").union(others.select("b", "m")).toDF("a", "b")
+
+    def state_of(e: DataFrame):
+        return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+    now = stored(tidy(edges), "edges")
+    state = state_of(now)
     while True:
+        # Neither table below has more than twice as many rows.
+        heavy = max(2, state[0] // HEAVY)
         both = now.union(now.select("b", "a"))
-        large = both.where("b > a").join(smallest(both), "a").selectExpr("b AS a", "m AS b")
-        large = stored(tidy(large), "edges")
+        large = stored(tidy(handed(both.where("b > a"), smallest(both), heavy)), "edges")
         low = smallest(large)
-        small = large.join(low, "a").selectExpr("b AS a", "m AS b").union(low.selectExpr("a", "m AS b"))
+        small = handed(large, low, heavy).union(low.select("a", F.col("m").alias("b")))
         now = stored(tidy(small), "edges")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        before, state = state, state_of(now)
         if state == before:
             break
-        before = state
     return now.selectExpr("a AS node", "b AS root").union(now.selectExpr("b", "b").distinct())
-
-
