@@ -237,3 +237,36 @@ def spelling_groups(words, ratio=2):
         while forms[root] is not None:
             root = forms[root]
         yield w, n, len(near[w]), forms[w], words.get(forms[w]), root
+
+
+def licence_labels(docs, phrases, notices, rare=8, agree=0.6, slack=6, drift=12):
+    """(doc_id, labels, score) per row, with document frequencies over all rows."""
+    import math
+
+    texts = [ALNUM.findall(lower(t)) for _, t in docs]
+    templates = [(t.label, t.text.split(), [p.split() for p in t.phrases]) for t in (*phrases, *notices)]
+    wanted = {w for _, words, _ in templates for w in words}
+    found = {w: sum(w in set(x) for x in texts) for w in wanted}
+    for (doc_id, _), words in zip(docs, texts, strict=True):
+        labels, score = set(), 0.0
+        for label, wording, mandatory in templates:
+            chosen = sorted(range(len(wording)), key=lambda q: (-math.log((len(docs) + 1) / (found[wording[q]] + 1)), q))
+            chosen = chosen[:rare] if mandatory else chosen
+            starts = sorted(((i - q, q) for i, w in enumerate(words) for q in chosen if wording[q] == w), key=lambda x: x[0])
+            groups: list[list] = []
+            for s, q in starts:
+                if groups and s - groups[-1][-1][0] <= (slack if mandatory else 0) and s - groups[-1][0][0] <= drift:
+                    groups[-1].append((s, q))
+                else:
+                    groups.append([(s, q)])
+            for group in groups:
+                share = len({q for _, q in group}) / len(chosen)
+                if share < (agree if mandatory else 1):
+                    continue
+                margin = slack if mandatory else 0
+                part = words[max(0, group[0][0] - margin) : group[-1][0] + len(wording) + margin]
+                whole = " " + " ".join(part) + " "
+                if all(" " + " ".join(p) + " " in whole for p in (mandatory or [wording])):
+                    labels.add(label)
+                    score = max(score, share)
+        yield doc_id, ",".join(sorted(labels)), score

@@ -1,11 +1,14 @@
 """Every query on awkward tables and on empty ones, against plain loops."""
 
+import random
+
 import duckdb
 import pytest
 
 import corpus_pipeline
 from tests.compare import canonical, compare, connect
 from tests.llm import brute
+from touchline.llm import licenses
 from touchline.llm import queries as Q
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -50,6 +53,35 @@ def test_licenses(spark, folder):
     assert found == {(i, *brute.licences(t)) for i, t in texts(spark, folder)}
 
 
+@pytest.mark.parametrize("where", ["awkward", "given"])
+def test_licence_labels(spark, folder, where):
+    """Labels and score of the method against a plain search for agreeing starts."""
+    where = folder if where == "awkward" else SF_DIR
+    found = [(r.doc_id, r.labels, r.score) for r in Q.op3_licenses(spark, where).collect()]
+    same(found, list(brute.licence_labels(texts(spark, where), licenses.PHRASES, licenses.NOTICES)))
+
+
+def test_damaged_notices(spark):
+    """Words changed, put in and left out of every notice, many of them in a row, and a repetitive text."""
+    draw, rows = random.Random(8), []
+    for n, t in enumerate(licenses.NOTICES * 6):
+        words = t.text.split()
+        for _ in range(n % 5):
+            at = draw.randrange(len(words))
+            words[at : at + draw.choice([0, 1, 1])] = draw.choice([[], ["new"], ["put", "in"]])
+        rows.append((n, " ".join(["before"] * (n % 7) + words + ["after"])))
+    rows.append((998, " ".join(t.text for t in licenses.NOTICES * 3)))
+    rows.append((999, "license may at not of this file " * 200))
+    rows.append((1000, None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [
+        (r.doc_id, ",".join(sorted({p.label for p in r.places})), max((p.share for p in r.places), default=0.0))
+        for r in licenses.scanned(docs.repartition(3)).collect()
+    ]
+    same(found, list(brute.licence_labels(rows, licenses.PHRASES, licenses.NOTICES)))
+    assert sum(bool(labels) for _, labels, _ in found) > 30
+
+
 def test_ngram_join(spark, folder):
     found = [tuple(r) for r in Q.op4_ngram_join(spark, folder).collect()]
     same(found, brute.near_duplicates(texts(spark, folder), 4, 85, 100))

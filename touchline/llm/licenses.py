@@ -1,10 +1,10 @@
 """Licence scan with a positional index of rare words.
 
 A template is a known licence text or notice with the phrases that it must not lack. Of
-each template the words with the highest inverse document frequency (over all templates) are
-indexed with their positions. In a text, the few words found in that index each say where the
-template would start; a template is a candidate where enough different rare words agree on
-the start, allowing for a few words put in or left out. A candidate counts once all
+each template the words with the highest inverse document frequency are indexed with their positions; the
+frequencies of the templates' words are counted over all documents. In a text, the few words found in that index each
+say where the template would start; a template is a candidate where enough different rare words agree on
+the start, allowing for a few words put in or left out from one to the next, and ``DRIFT`` in all. A candidate counts once all
 its mandatory phrases stand, word by word, in the place it covers. A template that is
 itself one phrase needs all its rare words to agree exactly.
 
@@ -17,13 +17,13 @@ one template all count; repeated rows, null ids and further columns do no harm.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from touchline.llm import arrays
 
@@ -33,6 +33,8 @@ RARE = 8
 AGREE = 0.6
 #: Words by which the starts may differ, for texts longer than a phrase.
 SLACK = 6
+#: Words by which the last start of a place may lie after the first.
+DRIFT = 12
 
 
 @dataclass(frozen=True)
@@ -102,15 +104,14 @@ def word_hashes(text: str) -> np.ndarray:
 class Index:
     """Rare words of all templates with their positions, ready to be looked up by hash."""
 
-    def __init__(self, templates: tuple[Template, ...], base: int) -> None:
-        """The first ``base`` templates are base phrases."""
-        self.templates, self.base = templates, base
+    def __init__(self, templates: tuple[Template, ...], base: int, found: dict[int, int] | None = None, docs: int = 0) -> None:
+        """The first ``base`` templates are base phrases; ``found`` says how many of ``docs`` documents have a word."""
+        self.templates, self.base, found = templates, base, found or {}
         self.hashed = [word_hashes(t.text) for t in templates]
-        spread = Counter(h for words in self.hashed for h in set(words.tolist()))
         self.phrases = [[word_hashes(p) for p in t.phrases] or [self.hashed[i]] for i, t in enumerate(templates)]
         entries, self.rare = [], []
         for i, words in enumerate(self.hashed):
-            idf = {h: math.log(len(templates) / spread[h]) for h in words.tolist()}
+            idf = {h: math.log((docs + 1) / (found.get(h, 0) + 1)) for h in words.tolist()}
             whole = not templates[i].phrases
             chosen = sorted(range(len(words)), key=lambda q: (-idf[int(words[q])], q))[: None if whole else RARE]
             self.rare.append(len(chosen))
@@ -137,7 +138,7 @@ class Index:
         gap = np.where(phrase[which], 0, SLACK)
         fresh = np.ones(len(order), dtype=bool)
         fresh[1:] = (owner[1:] != owner[:-1]) | (which[1:] != which[:-1]) | (start[1:] - start[:-1] > gap[1:])
-        cuts = np.append(np.flatnonzero(fresh), len(order))
+        cuts = _bounded(np.append(np.flatnonzero(fresh), len(order)), start)
         need = np.array([n if p else math.ceil(AGREE * n) for n, p in zip(self.rare, phrase, strict=True)])
         out = []
         for c in np.flatnonzero(np.diff(cuts) >= need[which[cuts[:-1]]]).tolist():
@@ -155,6 +156,43 @@ class Index:
         return out
 
 
+def _bounded(cuts: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Groups of starts, cut again where one lies more than ``DRIFT`` after the first of its group."""
+    more = []
+    for c in np.flatnonzero(start[cuts[1:] - 1] - start[cuts[:-1]] > DRIFT).tolist():
+        first = int(cuts[c])
+        while (at := int(np.searchsorted(start[first : cuts[c + 1]], start[first] + DRIFT, side="right")) + first) < cuts[c + 1]:
+            more.append(at)
+            first = at
+    return np.sort(np.append(cuts, more)).astype(np.int64) if more else cuts
+
+
+def frequencies(docs: DataFrame, words: np.ndarray) -> tuple[dict[int, int], int]:
+    """How many documents have each of some words (by hash), and the number of documents."""
+    wanted = docs.sparkSession.sparkContext.broadcast(np.unique(words))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = wanted.value
+        total, n = np.zeros(len(keys), dtype=np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            for chunk in arrays.chunks(batch.column(0)):
+                data = chunk.lowered()
+                found = arrays.words(data, chunk.bounds, arrays.ALNUM)
+                hashed = arrays.hashes(data, found)
+                at = np.minimum(np.searchsorted(keys, hashed), len(keys) - 1)
+                hit = np.flatnonzero(keys[at] == hashed)
+                owner = np.searchsorted(found.bounds, hit, side="right") - 1
+                total += np.bincount(np.unique(owner * len(keys) + at[hit]) % len(keys), minlength=len(keys))
+        names = np.append(keys.view(np.int64), 0)
+        yield pa.RecordBatch.from_pydict({"h": names, "all": np.arange(len(names)) == len(keys), "n": np.append(total, n)})
+
+    rows = (
+        docs.select("text").mapInArrow(count, "h bigint, all boolean, n bigint").groupBy("h", "all").agg(F.sum("n").alias("n"))
+    ).collect()  # one row per word of the templates
+    return {r.h % (1 << 64): r.n for r in rows if not r["all"]}, sum(r.n for r in rows if r["all"])
+
+
 def _holds(words: np.ndarray, phrase: np.ndarray) -> bool:
     n = len(words) - len(phrase) + 1
     if n <= 0:
@@ -177,7 +215,8 @@ def scanned(docs: DataFrame, base: tuple[Template, ...] = PHRASES, more: tuple[T
 
     ``share`` is the share of a template's rare words that were found where they belong.
     """
-    index = docs.sparkSession.sparkContext.broadcast(Index(base + more, len(base)))
+    words = np.concatenate([word_hashes(t.text) for t in base + more])
+    index = docs.sparkSession.sparkContext.broadcast(Index(base + more, len(base), *frequencies(docs, words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = index.value
