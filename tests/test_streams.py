@@ -9,7 +9,7 @@ from touchline.plans import registry
 from touchline.session import scratch_path, scratch_root
 from touchline.sinks import messages as msg
 from touchline.sinks import tables as tab
-from touchline.sources.files import read_raw_archive
+from touchline.sources.files import read_raw_archive, read_variant_archive
 from touchline.sources.stream import StreamConfig, config_from_env, read_tweets, source_options
 from touchline.streaming import job
 from touchline.vocabulary import ARCHIVE_RECORDS_PER_FILE, TOPIC_AUDIT, TOPIC_BRONZE
@@ -264,6 +264,23 @@ def test_raw_archive_errors(spark):
     assert len(seen) == 1
 
 
+def test_variant_archive(spark):
+    """Posts of every JSON kind as VARIANT; fields are read without text, and a failing archive can be passed over."""
+    bodies = ['{"id":"1","n":{"k":[1,2]}}', '"text"', "[1]", "{bad", None]
+    posts = spark.createDataFrame([(b,) for b in bodies], "value string").withColumn("post", F.try_parse_json("value"))
+    path, moment = scratch_path(spark, "archive"), F.lit("2024-03-05 23:59:59").cast("timestamp")
+    assert tab.write_variant_archive(posts, path, moment) == 5
+    rows = read_variant_archive(spark, path).where("year = '2024' AND month = '03' AND day = '05'")
+    found = rows.selectExpr("try_variant_get(body, '$.id', 'string') AS id", "try_variant_get(body, '$.n.k[1]', 'int') AS k", "to_json(body) AS j", "text")
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [("1", 2, bodies[0], None), (None, None, '"text"', None), (None, None, "[1]", None), (None, None, None, "{bad"), (None, None, None, None)], key=repr
+    )
+    seen = []
+    assert tab.write_variant_archive(posts, "nosuchscheme://x/y", on_error=seen.append) == 0 and len(seen) == 1
+    with pytest.raises(Exception):
+        tab.write_variant_archive(posts, "nosuchscheme://x/y")
+
+
 def test_archive_stream_uses_paris_days_and_small_files(spark):
     source, path = scratch_path(spark, "in"), scratch_path(spark, "archive")
     spark.range(250).selectExpr(

@@ -29,7 +29,7 @@ from touchline.session import scratch_path, stored
 from touchline.sinks import messages as msg
 from touchline.sinks import tables as tab
 from touchline.sinks.keyed import KeyedTable
-from touchline.sources.files import read_app_logs, read_profiles, read_raw_archive
+from touchline.sources.files import read_app_logs, read_profiles, read_raw_archive, read_variant_archive
 from touchline.sources.logtail import follow_app_logs, local_path
 from touchline.sources.stream import StreamConfig, config_from_env, read_tweets, source_options
 from touchline.streaming import alerting, collection, job
@@ -959,7 +959,7 @@ def _collected(
     failures = pages.where("run_id = 'empty'").selectExpr("'failed' AS run_id", "'API: 500' AS error")
     summary = collection.run_collection(
         pages, _profiles(spark, sf_dir), target, archive, "query",
-        failures=failures, cap=cap, ingested_at=F.lit("2024-02-01").cast("timestamp"),
+        failures=failures, cap=cap, ingested_at=F.lit("2024-02-01").cast("timestamp"), variant_archive=cap is None,
     )
     return target, archive, summary
 
@@ -975,12 +975,17 @@ def collection_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def collection_run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for runs that reach every document, without a limit."""
     target, archive, _ = _collected(spark, sf_dir, inputs.api_pages_all(spark, sf_dir), cap=None)
-    return _places(spark, target, archive)
+    return _places(spark, target, archive, variant=True)
 
 
-def _places(spark: SparkSession, target: msg.MessageTarget, archive: str) -> DataFrame:
+def _places(spark: SparkSession, target: msg.MessageTarget, archive: str, variant: bool = False) -> DataFrame:
     user = ("user_username", "user_followers_count", "enriched")
-    kept = spark.read.text(archive).select(F.lit("archive").alias("place"), *_decoded("value", "id", *user))
+    if variant:
+        bodies = read_variant_archive(spark, archive)
+        fields = [text_of("body", c).alias(c) for c in ("id", *user)]
+    else:
+        bodies, fields = spark.read.text(archive), _decoded("value", "id", *user)
+    kept = bodies.select(F.lit("archive").alias("place"), *fields)
     sent = target.read(spark, TOPIC_BRONZE).select(
         F.lit("bronze").alias("place"),
         F.get_json_object("value", "$.tweet_id").alias("id"),

@@ -59,7 +59,8 @@ class MessageTarget:
             F.col("key").cast("binary"), F.col("value").cast("string"), F.col("headers")
         )
         place = slot(messages, batch_id, run, producer)
-        shaped.write.mode("overwrite").parquet(f"{self.topic_path(topic)}/{place}")
+        # A message holds its post twice, flat and as payload, which this codec sees.
+        shaped.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.topic_path(topic)}/{place}")
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         """The messages of a topic kept in a folder."""
@@ -93,14 +94,19 @@ def flattened(valid: DataFrame, body: str = "value", raw: str | None = None) ->
 
 
 def publish_bronze(
-    messages: DataFrame, target: MessageTarget, batch_id: int, run: str | None = None, producer: str = "collector"
+    messages: DataFrame,
+    target: MessageTarget,
+    batch_id: int,
+    run: str | None = None,
+    producer: str = "collector",
+    together: bool = False,
 ) -> None:
     """Flat messages to the bronze topic.
 
     In a folder, an author's posts are brought together by ``rebalance``, which
-    splits an author too large for one partition.
+    splits an author too large for one partition; not so where they lie ``together`` already.
     """
-    if not target.brokers:
+    if not target.brokers and not together:
         messages = messages.hint("rebalance", "key")
     target.write(messages, TOPIC_BRONZE, batch_id, producer, run)
 

@@ -135,6 +135,34 @@ def write_raw_archive(
         return 0
 
 
+def write_variant_archive(
+    posts: DataFrame,
+    path: str,
+    ingested_at: Column | None = None,
+    on_error: Callable[[Exception], None] | None = None,
+    body: str = "post",
+) -> int:
+    """Append posts as VARIANT in Parquet below ``year=/month=/day=``; returns the number of rows written.
+
+    Readers take single fields without parsing text. ``posts`` is a stored table whose column ``body`` is the parsed post; rows
+    that are not JSON have their text in ``value``. Files follow the tasks that write them: a collection has one
+    ``ingested_at``, so its posts go to one folder without a shuffle.
+    """
+    moment = ingested_at if ingested_at is not None else F.current_timestamp()
+    written = Observation()
+    parts = date_partitions(moment)
+    rows = posts.select(F.col(body).alias("body"), F.when(F.col(body).isNull(), F.col("value")).alias("text"), *(c.alias(n) for n, c in parts.items()))
+    try:
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+        rows.write.mode("append").option("compression", "zstd").partitionBy(*parts).parquet(path)
+        return written.get["rows"]
+    except Exception as error:
+        if on_error is None:
+            raise
+        on_error(error)
+        return 0
+
+
 def archive_stream(
     messages: DataFrame,
     path: str,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, VariantType
 
 from touchline.operators.profiles import normalize_profiles
 from touchline.schemas import PAGE_SCHEMA
@@ -18,6 +18,12 @@ def read_raw_archive(spark: SparkSession, path: str, schema: StructType) -> Data
     return spark.read.schema(full).json(path).select(*full.fieldNames())
 
 
+def read_variant_archive(spark: SparkSession, path: str) -> DataFrame:
+    """``body`` (VARIANT), ``text`` of what is not JSON, and the date parts, whose filters prune folders."""
+    full = StructType([StructField("body", VariantType(), True), StructField("text", StringType(), True), *_DATE_PARTITIONS])
+    return spark.read.schema(full).parquet(path)
+
+
 def read_app_logs(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Log files of a folder as a stream of lines in ``value``.
 

@@ -12,6 +12,7 @@ from touchline.operators.reports import run_summary
 from touchline.operators.search import read_response_pages
 from touchline.operators.validation import (
     audit_union,
+    readable_post,
     split_unreadable,
     split_valid,
     to_audit_event,
@@ -21,7 +22,7 @@ from touchline.operators.validation import (
 from touchline.schemas import PROFILE_LOOKUP_COLUMNS
 from touchline.session import stored
 from touchline.sinks.messages import MessageTarget, flattened, publish_audit, publish_bronze
-from touchline.sinks.tables import log_failure, write_raw_archive
+from touchline.sinks.tables import log_failure, write_raw_archive, write_variant_archive
 from touchline.vocabulary import MAX_RESULTS_PER_COLLECT, TOPIC_BRONZE
 
 
@@ -53,28 +54,37 @@ def run_collection(
     failures: DataFrame | None = None,
     cap: int | None = MAX_RESULTS_PER_COLLECT,
     ingested_at: Column | None = None,
+    variant_archive: bool = False,
 ) -> DataFrame:
     """Carry one batch of runs from stored pages to their topics; returns one summary row per run.
 
     Posts are archived before validation, and a failing archive stops nothing. Valid
     posts go to bronze, all others to audit. ``failures`` (run_id, error) names what went wrong
     while collecting; such a run has a summary with its errors, and a run without posts one of zeros.
+
+    A merged post is parsed and validated once and then stored as VARIANT; archive, topics and summary read that
+    table. The archive is NDJSON, or with ``variant_archive`` Parquet with the posts as VARIANT.
     """
-    collected = stored(merged_posts(read_response_pages(pages, cap), profiles), "collected")
-    write_raw_archive(collected.select("value"), archive, ingested_at, on_error=log_failure, body="value", computed=True)
-    parsed = with_post(collected)
-    readable, unreadable = split_unreadable(parsed, "post")
-    validated = validate_tweets(readable, "post")
-    valid, rejected = split_valid(validated)
-    messages, unflattened = flattened(valid, "post", raw="value")
-    publish_bronze(messages, target, batch_id, run)
+    merged = validate_tweets(with_post(merged_posts(read_response_pages(pages, cap), profiles)), "post")
+    # Text is only kept where it is not that of an object.
+    odd = F.when(~readable_post(F.col("post")), F.col("value"))
+    collected = stored(merged.withColumn("value", odd).select("run_id", "author_id", "enriched", "post", "errors", "value"), "collected")
+    if variant_archive:
+        write_variant_archive(collected, archive, ingested_at, on_error=log_failure)
+    else:
+        text = F.coalesce("value", F.to_json("post")).alias("value")
+        write_raw_archive(collected.select(text), archive, ingested_at, on_error=log_failure, body="value", computed=True)
+    readable, unreadable = split_unreadable(collected, "post")
+    valid, rejected = split_valid(readable)
+    messages, unflattened = flattened(valid, "post")
+    # The posts of an author lie together since they met their profile.
+    publish_bronze(messages, target, batch_id, run, together=True)
     audit = audit_union(
-        to_audit_event(rejected), to_audit_event(unflattened), to_dead_letter(unreadable, TOPIC_BRONZE)
+        to_audit_event(rejected, "post"), to_audit_event(unflattened, "post"), to_dead_letter(unreadable, TOPIC_BRONZE)
     )
     publish_audit(audit, target, batch_id, "collector", run)
     runs = pages.select("run_id", F.lit(None).cast("string").alias("error"))
     if failures is not None:
         runs = runs.unionByName(failures.select("run_id", "error"))
     named = runs.groupBy("run_id").agg(F.array_sort(F.collect_set("error")).alias("errors"))
-    checked = validate_tweets(parsed, "post")
-    return run_summary(flatten_tweets(checked, "post", raw="value"), runs=named)
+    return run_summary(flatten_tweets(collected, "post"), runs=named)
