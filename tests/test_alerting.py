@@ -82,7 +82,7 @@ def in_waves(rows, n, seed):
 
 def test_states_and_notifications_equal_the_batch_in_ten_batches(spark, stateful):
     rows = scrapes(3)
-    states = Feed(stateful, lambda s: alerting.stream_alert_states(s, RULES, max_gap_seconds=40, delay="10 minutes"))
+    states = Feed(stateful, lambda s: alerting.stream_alert_states(s, RULES, max_gap_seconds=40, delay="1 hour"))
     notes = Feed(stateful, lambda s: alerting.stream_group_alerts(
         alerting.stream_alert_states(s, RULES, max_gap_seconds=40, delay="10 minutes"), repeat_seconds=300))
     for wave in in_waves(rows, 2, 4):
