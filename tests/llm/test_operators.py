@@ -313,3 +313,16 @@ def test_many_matches_in_one_text(spark):
     row = secret_scan.scanned(spark.createDataFrame([(1, "token=abcdefgh " * n)], "doc_id long, text string")).first()
     assert len([s for s in row.spans if s.kind == "assign"]) == n
     assert time.time() - began < 120
+
+
+def test_vectors_of_extreme_lengths(spark):
+    """Components whose squares are beyond doubles, or below them, link like any others, also across pivots."""
+    rows = [
+        (1, [1e200, 1e200], 1), (2, [2e200, 2e200], 1), (3, [1e-200, 0.0], 1), (4, [2e-200, 0.0], 1), (5, [3.0, 3.0], 1),
+        (6, [5e-324, 0.0], 1), (7, [1.7e308, -1.7e308], 1), (8, [1e300, 1.0], 1),
+    ]
+    expected = {1: (2, 1), 2: (2, 1), 5: (2, 1), 3: (3, 3), 4: (3, 3), 6: (3, 3), 8: (3, 3), 7: (0, 7)}
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for block in (embedding_join.BLOCK, 2):
+        found = embedding_join.near_duplicates(frame, 0.93, block=block).collect()
+        assert {r.vec_id: (r.n_links, r.component_id) for r in found} == expected

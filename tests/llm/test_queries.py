@@ -105,6 +105,12 @@ def test_embeddings(spark, folder):
     same([tuple(r) for r in Q.op6_embeddings(spark, folder).collect()], brute.embeddings(rows, 0.93))
 
 
+def test_given_embeddings(spark):
+    """The query on the smallest given table."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    same([tuple(r) for r in Q.op6_embeddings(spark, SF_DIR).collect()], brute.embeddings(rows, 0.93))
+
+
 def test_pii(spark, folder):
     found = [tuple(r)[:6] for r in Q.op7_pii(spark, folder).collect()]
     same(found, [(i, *brute.spans(t, brute.PERSONAL)) for i, t in texts(spark, folder)])

@@ -103,6 +103,19 @@ def linked_pairs(x: np.ndarray, raw: np.ndarray, one: Node, two: Node, least: fl
         yield i, j
 
 
+def scaled(raw: np.ndarray) -> np.ndarray:
+    """Vectors whose squares would leave the range of doubles, times a power of two; all others as they are.
+
+    A cosine does not depend on length, and a power of two changes no digit.
+    """
+    largest = np.abs(raw).max(axis=1, initial=0)
+    odd = (largest > 1e100) | ((largest < 1e-100) & (largest > 0))
+    if odd.any():
+        raw = raw.copy()
+        raw[odd] = np.ldexp(raw[odd], -np.frexp(largest[odd])[1][:, None])
+    return raw
+
+
 def _compared(least: float) -> Callable:
     """Turns the classes of a pair of blocks into counts of links and forest edges."""
 
@@ -110,7 +123,7 @@ def _compared(least: float) -> Callable:
         keys = table.column("h").to_numpy()
         copies = table.column("copies").to_numpy()
         side = table.column("side").to_numpy()
-        raw = np.array(table.column("embedding").to_pylist(), dtype=np.float64)
+        raw = scaled(np.array(table.column("embedding").to_pylist(), dtype=np.float64))
         x = raw / np.sqrt(np.einsum("ij,ij->i", raw, raw))[:, None]
         links = np.zeros((len(keys), len(keys)), dtype=bool)
         sides = [np.flatnonzero(side == s) for s in (0, 1)]
@@ -143,7 +156,7 @@ def _cells(pivots: dict[tuple[int, int], tuple[list[int], np.ndarray]]) -> Calla
                 for part in np.array_split(rows, max(1, len(rows) // 4096)):
                     if not len(part):
                         continue
-                    x = np.array(vectors.take(pa.array(part)).to_pylist(), dtype=np.float64)
+                    x = scaled(np.array(vectors.take(pa.array(part)).to_pylist(), dtype=np.float64))
                     x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
                     far = _distance(x, points.T)
                     best = far.argmin(axis=1)
@@ -180,7 +193,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, block: int = BLOCK,
         names, points = pivots.setdefault((r["label"], r["size"]), ([], []))
         names.append(i)
         points.append(np.array(r["embedding"], dtype=np.float64))
-    centres = {k: (n, np.array(p) / np.linalg.norm(p, axis=1)[:, None]) for k, (n, p) in pivots.items()}
+    scaled_points = {k: (n, scaled(np.array(p))) for k, (n, p) in pivots.items()}
+    centres = {k: (n, p / np.linalg.norm(p, axis=1)[:, None]) for k, (n, p) in scaled_points.items()}
     celled = stored(
         classes.select("h", "label", "size", "copies", "embedding").mapInArrow(
             _cells(centres),
