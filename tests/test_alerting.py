@@ -148,6 +148,31 @@ def test_state_is_forgotten(stateful):
     assert state.count() == 0
 
 
+def test_long_series_lies_in_many_keys(spark, stateful):
+    """A series over four days is kept by stretches of a day, packed; breaches and deadlines across their ends are those of the batch."""
+    rule = replace(RULES[0], for_seconds=60)
+    feed = Feed(stateful, lambda s: alerting.stream_alert_states(s, [rule], max_gap_seconds=40, delay="10 days"))
+    rows = []
+    for day in range(19_676, 19_680):
+        midnight = day * 86_400
+        rows += [(midnight + 15 * i, "up", up(0), float(not -9 <= i < 9)) for i in range(-20, 20)]
+        # Silent over midnight, with a deadline ten seconds after it: until after the deadline, until it, beyond a gap.
+        for series, back in ((1, 20), (2, 10), (3, 31)):
+            rows += [(midnight + s, "up", up(series), 0.0) for s in (-50, -30, -10, back)]
+    feed.send(rows)
+    waiting = stateful.read.format("statestore").option("stateVarName", "waiting").load(feed.checkpoint)
+    per_key = waiting.groupBy("key").count().collect()
+    assert len(per_key) == 4 * 5 and all(r["count"] == 1 for r in per_key)
+    found = feed.finish()
+    samples = spark.createDataFrame([(float(t), m, lab, v) for t, m, lab, v in rows], "t double, metric string, labels map<string,string>, value double")
+    samples = samples.select(F.timestamp_seconds("t").alias("ts"), "metric", "labels", "value")
+    columns = ["alertname", "severity", "series", "ts", "value", "state"]
+    batch = alerts.alert_states(samples, [rule], max_gap_seconds=40).select(*columns).collect()
+    assert sorted(map(key, found.where("NOT by_timer").select(*columns).collect())) == sorted(map(key, batch))
+    timed = found.where("by_timer").selectExpr("regexp_extract(series, 'broker-(.)', 1)", "unix_seconds(ts) % 86400").collect()
+    assert sorted(map(tuple, timed)) == [("1", 10)] * 4 + [("3", 10)] * 4
+
+
 def test_no_enabled_rule(stateful):
     with pytest.raises(ValueError, match="no enabled rule"):
         alerting.stream_alert_states(stateful.readStream.format("rate").load(), [replace(RULES[0], enabled=False)])

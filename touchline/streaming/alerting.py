@@ -1,9 +1,11 @@
 """Alert states and notifications on a stream of samples, with event-time timers.
 
-The same definitions as ``operators.alerts`` in batch, kept in keyed state: one key per rule and series. Samples wait in
-state until the watermark has passed them, so they may arrive in any order within ``delay``; they are then evaluated in the
-order of their times, in one vectorised step per batch. What a series keeps afterwards is its last sample and the
-beginning of its breach, and after a silence of more than the longest allowed gap nothing at all.
+The same definitions as ``operators.alerts`` in batch, kept in keyed state: one key per rule, series and stretch of time (a
+day, or four times the longest duration and gap). As in batch, a stretch also gets the samples just before it that its states can
+depend on, and those just after it that may come before a deadline, so that a long series is spread over all
+tasks. Samples wait in state, packed as arrays, until the watermark has passed them, so they may arrive in any order within
+``delay``; they are then evaluated in the order of their times, in one vectorised step per key and batch. What a key keeps
+afterwards is its last sample and the beginning of its breach, and after its end, or a silence of more than the longest allowed gap, nothing at all.
 
 A breach that becomes old enough between two samples fires at that moment by a timer, without a further
 sample: such rows have ``by_timer`` and no value. All other rows are exactly those of the batch operators, whatever
@@ -41,6 +43,7 @@ NOTIFICATIONS = (
     "alertname string, severity string, event string, repeat bigint, notified_at timestamp, samples bigint, receiver string"
 )
 _MICROS = 1_000_000
+_DAY = 86_400
 _NEVER = np.iinfo(np.int64).max
 
 
@@ -65,46 +68,62 @@ def _wake(handle: StatefulProcessorHandle, micros: int) -> None:
 
 
 class SeriesStates(StatefulProcessor):
-    """States of one series under one rule; the key is (alertname, severity, series, for_seconds)."""
+    """States of one series under one rule in one stretch; the key is (alertname, severity, series, for_seconds, stretch)."""
 
-    def __init__(self, max_gap_seconds: int) -> None:
-        self._gap = max_gap_seconds * _MICROS
+    def __init__(self, max_gap_seconds: int, stretch_micros: int) -> None:
+        self._gap, self._stretch = max_gap_seconds * _MICROS, stretch_micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._waiting = handle.getListState("waiting", "t bigint, value double, breached boolean")
+        self._waiting = handle.getListState("waiting", "t binary, value binary, breached binary")
         self._last = handle.getValueState("last", "t bigint, breached boolean, since bigint, told boolean")
+        #: Keys that this batch has brought up to its watermark; their further timers find nothing to do.
+        self._done: set[tuple] = set()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        for frame in rows:
-            if len(frame):
-                columns = (frame["t"].tolist(), frame["value"].tolist(), frame["breached"].tolist())
-                self._waiting.appendList(list(zip(*columns, strict=True)))
-                _wake(self._handle, min(columns[0]))
-        return iter(())
+        parts = [(f["t"].to_numpy(np.int64), f["value"].to_numpy(float), f["breached"].to_numpy(bool)) for f in rows if len(f)]
+        if not parts:
+            return
+        t, value, breached = (np.concatenate(x) for x in zip(*parts, strict=True))
+        now = timerValues.getCurrentWatermarkInMs() * 1000  # samples up to here are complete
+        if t.min() > now:
+            self._wait(t, value, breached)
+        else:
+            yield from self._advance(key, now, [(t, value, breached)])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        now = timerValues.getCurrentWatermarkInMs() * 1000  # samples up to here are complete
-        waiting = sorted(self._waiting.get())
-        ready = [x for x in waiting if x[0] <= now]
-        if ready:
-            rest = waiting[len(ready) :]
-            self._waiting.clear()
-            if rest:
-                self._waiting.put(rest)
-                _wake(self._handle, rest[0][0])
-        last = self._last.get()
-        frame = self._evaluate(key, ready, last, now)
+        if key not in self._done:
+            yield from self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000, [])
+
+    def _wait(self, t: np.ndarray, value: np.ndarray, breached: np.ndarray) -> None:
+        self._waiting.appendList([(t.tobytes(), value.tobytes(), breached.tobytes())])
+        _wake(self._handle, t.min())
+
+    def _advance(self, key, now: int, parts: list[tuple[np.ndarray, ...]]) -> Iterator[pd.DataFrame]:
+        """Evaluate what the watermark has passed; ``parts`` are new samples."""
+        self._done.add(key)
+        stored = [tuple(np.frombuffer(x, kind) for x, kind in zip(row, (np.int64, float, bool), strict=True)) for row in self._waiting.get()]
+        if stored or parts:
+            t, value, breached = (np.concatenate(x) for x in zip(*stored, *parts, strict=True))
+            order = np.lexsort((breached, value, t))
+            n = int(np.searchsorted(t[order], now, side="right"))
+            ready, rest = ((t[x], value[x], breached[x]) for x in (order[:n], order[n:]))
+            if n and stored:
+                self._waiting.clear()
+            if len(rest[0]) and (n or parts):
+                self._wait(*rest)
+        else:
+            ready = (np.empty(0, np.int64), np.empty(0), np.empty(0, bool))
+        frame = self._evaluate(key, ready, self._last.get(), now)
         if len(frame):
             yield frame
 
-    def _evaluate(self, key, ready: list[tuple], last: tuple | None, now: int) -> pd.DataFrame:
-        name, severity, series, seconds = key
+    def _evaluate(self, key, ready: tuple[np.ndarray, ...], last: tuple | None, now: int) -> pd.DataFrame:
+        name, severity, series, seconds, stretch = key
         hold, carried = seconds * _MICROS, last is not None
-        rows = [(last[0], np.nan, last[1]), *ready] if carried else ready
-        t = np.array([x[0] for x in rows], dtype=np.int64)
-        value = np.array([x[1] for x in rows], dtype=float)
-        breached = np.array([x[2] for x in rows], dtype=bool)
+        t, value, breached = ready
+        if carried:
+            t, value, breached = np.insert(t, 0, last[0]), np.insert(value, 0, np.nan), np.insert(breached, 0, last[1])
         if not len(t):
             return pd.DataFrame()
         begins = breached.copy()
@@ -115,31 +134,34 @@ class SeriesStates(StatefulProcessor):
         since = np.maximum.accumulate(since)
         state = np.where(~breached, "inactive", np.where(t - since >= hold, "firing", "pending"))
         # Where a pending breach comes of age before the next sample, and is not older than a gap.
-        due, following = since + hold, np.append(t[1:], _NEVER)
+        due, following = since + hold, np.append(t[1:],_NEVER)
         fires = (state == "pending") & (due < following) & (due - t <= self._gap)
         told = fires & (due <= now)
         if carried and last[3]:
             told[0] = False
-        shown = np.arange(len(t)) >= carried
-        at = np.concatenate([t[shown], due[told]])
+        home = t // self._stretch == stretch  # the others only lead to these, or end them
+        shown, timed = home & (np.arange(len(t)) >= carried), told & home
+        at = np.concatenate([t[shown], due[timed]])
         out = pd.DataFrame(
             {
                 "alertname": name,
                 "severity": severity,
                 "series": series,
                 "ts": _timestamps(at),
-                "value": np.concatenate([value[shown], np.full(told.sum(), np.nan)]),
-                "state": np.concatenate([state[shown], np.full(told.sum(), "firing")]),
+                "value": np.concatenate([value[shown], np.full(timed.sum(), np.nan)]),
+                "state": np.concatenate([state[shown], np.full(timed.sum(), "firing")]),
                 "by_timer": np.arange(len(at)) >= shown.sum(),
             }
         )
-        self._keep(t[-1], breached[-1], since[-1], bool(told[-1] or carried and len(t) == 1 and last[3]), fires[-1], due[-1], now)
+        already = bool(told[-1] or carried and len(t) == 1 and last[3])
+        over = t[-1] // self._stretch > stretch
+        self._keep(t[-1], breached[-1], since[-1], already, fires[-1] and home[-1], due[-1], over, now)
         return out
 
-    def _keep(self, t, breached, since, told, fires, due, now) -> None:
-        """The last sample, until its silence is a break; then the series is forgotten."""
+    def _keep(self, t, breached, since, told, fires, due, over, now) -> None:
+        """The last sample, until its silence is a break or the stretch is over; then the key is forgotten."""
         ends = int(t) + self._gap + 1
-        if ends <= now:
+        if over or ends <= now:
             self._last.clear()
             return
         self._last.update((int(t), bool(breached), int(since), bool(told)))
@@ -250,11 +272,19 @@ def stream_alert_states(
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
+    stretch = max(_DAY, 4 * (max(r.for_seconds for r in rules) + max_gap_seconds)) * _MICROS
+    into = F.pmod("t", F.lit(stretch))
+    home = F.expr(f"(t - pmod(t, {stretch}L)) DIV {stretch}L")
+    # A state depends on no more than its rule's duration and a gap before it; a deadline on what comes within a gap.
+    leads = into + (F.col("for_seconds") + max_gap_seconds) * _MICROS >= stretch
+    ends = into < max_gap_seconds * _MICROS
+    stretches = F.array_compact(F.array(home, F.when(leads, home + 1), F.when(ends, home - 1)))
     return (
-        rows.withColumn("t", F.unix_micros("ts"))
-        .groupBy("alertname", "severity", "series", "for_seconds")
+        rows.select("alertname", "severity", "series", "for_seconds", "ts", F.unix_micros("ts").alias("t"), "value", F.coalesce("breached", F.lit(False)).alias("breached"))
+        .withColumn("stretch", F.explode(stretches))
+        .groupBy("alertname", "severity", "series", "for_seconds", "stretch")
         .transformWithStateInPandas(
-            SeriesStates(max_gap_seconds), STATES, "append", "eventTime", eventTimeColumnName="ts"
+            SeriesStates(max_gap_seconds, stretch), STATES, "append", "eventTime", eventTimeColumnName="ts"
         )
     )
 
