@@ -11,6 +11,8 @@ A breach that becomes old enough between two samples fires at that moment by a t
 sample: such rows have ``by_timer`` and no value. All other rows are exactly those of the batch operators, whatever
 the cuts between batches.
 
+Notifications take sums per time stamp, packed before the shuffle, so that a group's task handles few rows.
+
 The queries need the RocksDB state store; ``stateful_session`` gives a session with it. The number of
 its shuffle partitions is that of the state's, and is fixed by the first batch of a checkpoint.
 """
@@ -21,6 +23,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -44,6 +47,8 @@ NOTIFICATIONS = (
 )
 _MICROS = 1_000_000
 _DAY = 86_400
+_PACKED = "alertname string, severity string, t binary, fires binary"
+_PACKED_SCHEMA = pa.schema([("alertname", pa.string()), ("severity", pa.string()), ("t", pa.binary()), ("fires", pa.binary())])
 _NEVER = np.iinfo(np.int64).max
 
 
@@ -134,7 +139,7 @@ class SeriesStates(StatefulProcessor):
         since = np.maximum.accumulate(since)
         state = np.where(~breached, "inactive", np.where(t - since >= hold, "firing", "pending"))
         # Where a pending breach comes of age before the next sample, and is not older than a gap.
-        due, following = since + hold, np.append(t[1:],_NEVER)
+        due, following = since + hold, np.append(t[1:], _NEVER)
         fires = (state == "pending") & (due < following) & (due - t <= self._gap)
         told = fires & (due <= now)
         if carried and last[3]:
@@ -170,6 +175,19 @@ class SeriesStates(StatefulProcessor):
         _wake(self._handle, ends)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Times and their sums of ``fires``, one row per group and batch."""
+    for batch in batches:
+        out = {"alertname": [], "severity": [], "t": [], "fires": []}
+        for (name, severity), rows in batch.to_pandas().groupby(["alertname", "severity"], dropna=False, sort=False):
+            t, place = np.unique(rows["t"].to_numpy(np.int64), return_inverse=True)
+            fires = np.zeros(len(t), np.int64)
+            np.add.at(fires, place, rows["fires"].to_numpy(np.int64))
+            for column, x in zip(out, (name, severity, t.tobytes(), fires.tobytes()), strict=True):
+                out[column].append(None if x is not x else x)
+        yield pa.RecordBatch.from_pydict(out, schema=_PACKED_SCHEMA)
+
+
 class GroupNotifications(StatefulProcessor):
     """Firing episodes of one group, and the repeat intervals in them; the key is (alertname, severity)."""
 
@@ -178,34 +196,46 @@ class GroupNotifications(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._waiting = handle.getListState("waiting", "t bigint, samples bigint")
-        #: ``since`` of the open episode; ``repeat``, first time and samples of its open interval, if ``repeat`` is not negative.
-        self._episode = handle.getValueState("episode", "since bigint, repeat bigint, first bigint, samples bigint")
+        self._waiting = handle.getListState("waiting", "t binary, samples binary")
+        #: ``since`` of the open episode; ``repeat``, first time and samples of its open interval, if ``repeat`` is not negative;
+        #: the time that was walked to, up to which nothing more is taken.
+        self._episode = handle.getValueState("episode", "since bigint, repeat bigint, first bigint, samples bigint, walked bigint")
+        self._done: set[tuple] = set()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        for frame in rows:
-            if len(frame):
-                per_time = frame.groupby("t")["fires"].sum()
-                self._waiting.appendList([(int(t), int(n)) for t, n in per_time.items()])
-                _wake(self._handle, int(per_time.index.min()))
-        return iter(())
+        parts = [(np.frombuffer(t, np.int64), np.frombuffer(n, np.int64)) for f in rows for t, n in zip(f["t"], f["fires"], strict=True)]
+        if not parts:
+            return
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        if min(t.min() for t, _ in parts) > now:
+            self._wait(parts)
+        else:
+            yield from self._advance(key, now, parts)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(self._waiting.get())
-        ready = [x for x in waiting if x[0] <= now]
-        if ready:
-            rest = waiting[len(ready) :]
-            self._waiting.clear()
-            if rest:
-                self._waiting.put(rest)
-                _wake(self._handle, rest[0][0])
-        fires: dict[int, int] = {}
-        for t, n in ready:
-            fires[t] = fires.get(t, 0) + n
-        rows = self._walk(list(fires.items()), now)
-        if rows:
-            event, repeat, first, samples = zip(*rows, strict=True)
+        if key not in self._done:
+            yield from self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000, [])
+
+    def _wait(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self._waiting.appendList([(t.tobytes(), n.tobytes()) for t, n in parts])
+        _wake(self._handle, min(t.min() for t, _ in parts))
+
+    def _advance(self, key, now: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pd.DataFrame]:
+        self._done.add(key)
+        stored = [(np.frombuffer(t, np.int64), np.frombuffer(n, np.int64)) for t, n in self._waiting.get()]
+        t, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        if stored or parts:
+            times, counts = (np.concatenate(x) for x in zip(*stored, *parts, strict=True))
+            late = times > now
+            if stored:
+                self._waiting.clear()
+            if late.any():
+                self._wait([(times[late], counts[late])])
+            t, place = np.unique(times[~late], return_inverse=True)
+            n = np.zeros(len(t), np.int64)
+            np.add.at(n, place, counts[~late])
+        event, repeat, first, samples = self._walk(t, n, now)
+        if len(event):
             name, severity = key
             yield pd.DataFrame(
                 {
@@ -213,44 +243,44 @@ class GroupNotifications(StatefulProcessor):
                     "severity": severity,
                     "event": event,
                     "repeat": repeat,
-                    "notified_at": _timestamps(np.array(first)),
+                    "notified_at": _timestamps(first),
                     "samples": samples,
                     "receiver": RECEIVER_CRITICAL if severity == "critical" else RECEIVER_DEFAULT,
                 }
             )
 
-    def _walk(self, times: list[tuple[int, int]], now: int) -> list[tuple[str, int, int, int]]:
-        """Intervals that open and close, in order; the state after them is kept."""
-        rows: list[tuple[str, int, int, int]] = []
-        since, repeat, first, samples = self._episode.get() or (-1, -1, -1, 0)
-
-        def close() -> None:
-            if repeat >= 0:
-                rows.append(("closed", repeat, first, samples))
-
-        for t, n in times:
-            if not n:
-                close()
-                since = repeat = -1
-                continue
-            if since < 0:
-                since = t
-            current = (t - since) // self._repeat
-            if current != repeat:
-                close()
-                repeat, first, samples = current, t, 0
-                rows.append(("opened", repeat, t, 0))
-            samples += n
+    def _walk(self, t: np.ndarray, n: np.ndarray, now: int) -> tuple[np.ndarray, ...]:
+        """Event, repeat, first time and samples of the intervals that open and close; the state after them is kept."""
+        since, repeat, first, samples, walked = self._episode.get() or (-1, -1, -1, 0, -1)
+        t, n = t[t > walked], n[t > walked]
+        closed = np.empty((3, 0), np.int64)
+        opened = closed
+        if len(t):
+            fires = n > 0
+            begins = fires & ~np.append(since >= 0, fires[:-1])
+            at = np.maximum.accumulate(np.where(begins, np.arange(len(t)), -1))
+            of = np.where(at >= 0, t[at], since)[fires]  # the beginning of each firing time's episode
+            times, turn = t[fires], (t[fires] - of) // self._repeat
+            # The open interval goes first, with its first time and samples so far.
+            goes_on = repeat >= 0
+            of, turn = np.append([since] * goes_on, of).astype(np.int64), np.append([repeat] * goes_on, turn).astype(np.int64)
+            times, counts = np.append([first] * goes_on, times).astype(np.int64), np.append([samples] * goes_on, n[fires]).astype(np.int64)
+            if len(of):
+                new = np.append(True, (np.diff(of) != 0) | (np.diff(turn) != 0))
+                found = np.array([turn[new], times[new], np.add.reduceat(counts, np.flatnonzero(new))])
+                opened, closed = found[:, int(goes_on) :], found[:, : -1 if fires[-1] else None]
+            since = repeat = -1
+            if fires[-1]:
+                since, (repeat, first, samples) = int(of[-1]), found[:, -1].tolist()
         if repeat >= 0 and since + (repeat + 1) * self._repeat - 1 <= now:  # nothing can be added to it
-            close()
+            closed = np.append(closed, [[repeat], [first], [samples]], axis=1)
             repeat = -1
-        if since < 0:
-            self._episode.clear()
-        else:
-            self._episode.update((since, repeat, first, samples))
-            if repeat >= 0:
-                _wake(self._handle, since + (repeat + 1) * self._repeat - 1)
-        return rows
+        self._episode.update((since, repeat, first, samples, max(int(now), walked)))
+        if repeat >= 0:
+            _wake(self._handle, since + (repeat + 1) * self._repeat - 1)
+        opened = np.array([opened[0], opened[1], np.zeros_like(opened[0])])
+        event = np.repeat(np.array(["opened", "closed"], dtype=object), [opened.shape[1], closed.shape[1]])
+        return event, *np.append(opened, closed, axis=1)
 
 
 def stream_alert_states(
@@ -294,9 +324,11 @@ def stream_group_alerts(states: DataFrame, repeat_seconds: int = REPEAT_SECONDS)
 
     The closed ones are the rows of the batch operator. States that a timer made are no samples and are left out.
     """
+    fires = F.coalesce((F.col("state") == "firing").cast("long"), F.lit(0)).alias("fires")
     return (
-        states.where("NOT by_timer")
-        .select("alertname", "severity", "ts", F.unix_micros("ts").alias("t"), (F.col("state") == "firing").cast("long").alias("fires"))
+        states.where("NOT by_timer AND ts IS NOT NULL")
+        .select("alertname", "severity", F.unix_micros("ts").alias("t"), fires)
+        .mapInArrow(_packed, _PACKED)
         .groupBy("alertname", "severity")
         .transformWithStateInPandas(GroupNotifications(repeat_seconds), NOTIFICATIONS, "append", "eventTime")
     )
