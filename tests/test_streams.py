@@ -236,6 +236,19 @@ def test_dedup_over_batches(spark):
     assert len(query.recentProgress) >= 4 and not any(late)
 
 
+def test_dedup_query_runs_a_batch_per_wave(spark, tmp_path, monkeypatch):
+    """Not one per file, whose number grows with the table."""
+    rows = [(i, f"text {i}", "fr", "s", 10 + i) for i in range(48)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    documents.repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    paths = {}
+    monkeypatch.setattr(registry, "scratch_path", lambda s, name: paths.setdefault(name, scratch_path(s, name)))
+    found = registry.queries()["stream_dedup"](spark, str(tmp_path))
+    assert sorted(int(r.tweet_id) for r in found.collect()) == [i for i in range(48) if i % 41]
+    batches = spark.read.format("state-metadata").load(paths["checkpoint"]).agg(F.max("maxBatchId")).first()[0]
+    assert batches < 2 * 5
+
+
 # --- archive and messages -----------------------------------------------------------------
 
 

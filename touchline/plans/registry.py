@@ -1035,13 +1035,13 @@ def stream_app_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages that come again in a later batch, old, new and undated ones, come out once."""
-    source = _in_waves(spark, inputs.flat_messages(spark, sf_dir), _WAVES)
-    path = scratch_path(spark, "dedup")
-    enriched = P.enrich_stream(read_tweets(spark, StreamConfig(source_path=source, max_offsets_per_trigger=1)))
-    job.start(
-        job.stream_dedup(enriched), tab.StagingTableSink(path), scratch_path(spark, "checkpoint"), _NOW
-    ).awaitTermination()
+    """Messages that come again in a later batch, old, new and undated ones, come out once; a wave is a batch, however many files it has."""
+    source, path, checkpoint = (scratch_path(spark, x) for x in ("waves", "dedup", "checkpoint"))
+    messages = inputs.flat_messages(spark, sf_dir)
+    for n, wave in enumerate(_WAVES):
+        messages.where(wave).select("value").write.text(f"{source}/{n}")
+        enriched = P.enrich_stream(read_tweets(spark, StreamConfig(source_path=f"{source}/*")))
+        job.start(job.stream_dedup(enriched), tab.StagingTableSink(path), checkpoint, _NOW).awaitTermination()
     return _staging_view(tab.read_staging(spark, path))
 
 
