@@ -62,6 +62,19 @@ def test_only_folders_that_may_hold_a_key_are_read(spark):
     assert 1 <= old.folders_read <= 3 and old.files_read <= old.folders_read * 2 and old.written == 0
 
 
+def test_first_copies_are_found_on_narrow_rows(spark):
+    """Only rows that are written go through a shuffle by bucket; copies are told apart without their other columns."""
+    table = KeyedTable(scratch_path(spark, "keyed"), "id", order=["n"], buckets=4, run="r")
+    frame = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("a", None, "z"), (None, 1, "v"), (None, 1, "v")], "id string, n long, text string")
+    frame.write.parquet(source := scratch_path(spark, "wide"))
+    firsts = table._firsts(table._numbered(spark.read.parquet(source)))
+    assert "text:string" not in firsts._jdf.queryExecution().executedPlan().toString()
+    assert firsts.count() == 3
+    table(spark.read.parquet(source), 0)
+    table(spark.read.parquet(source).where("id IS NOT NULL"), 1)
+    assert sorted(r.text for r in table.read(spark).collect()) == ["v", "v", "z"]
+
+
 def test_compaction_keeps_rows_and_filters(spark, table):
     for n in range(3):
         table(batch(spark, [(f"k{n}", n), ("a", n), (None, n)]), n)

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.session import scratch_path, stored
@@ -109,8 +109,9 @@ class KeyedTable:
         slot = f"{run_of(batch_df, self._run)}-{batch_id}"
         home = self._generation(spark)
         kept = scratch_path(spark, "batch")
-        self._firsts(batch_df).write.parquet(kept)
         try:
+            self._numbered(batch_df).write.parquet(f"{kept}/rows")
+            self._firsts(spark.read.parquet(f"{kept}/rows")).write.parquet(f"{kept}/firsts")
             self.lookups.append(self._merge(spark, home, slot, kept, batch_df))
         finally:
             fs, folder = self._fs(spark, kept)
@@ -118,39 +119,42 @@ class KeyedTable:
         logger.info("batch %s of %s: %s", batch_id, self._path, self.lookups[-1])
 
     def _merge(self, spark: SparkSession, home: str, slot: str, kept: str, batch_df: DataFrame) -> Lookup:
-        """Write the rows of the stored batch whose keys are new."""
-        batch = spark.read.parquet(kept)
+        """Write the rows of the stored batch whose keys are new; which they are is found on keys and row numbers alone."""
+        batch, firsts = spark.read.parquet(f"{kept}/rows"), spark.read.parquet(f"{kept}/firsts")
         filters = self._filters(spark, home).where(F.col("slot") != slot)
         asked = stored(
-            batch.select("bucket", "h").where("h IS NOT NULL").groupBy("bucket")
+            firsts.select("bucket", "h").where("h IS NOT NULL").groupBy("bucket")
             .cogroup(filters.groupBy("bucket"))
             .applyInArrow(_asked, "slot string, bucket int, h long"),
             "asked",
         )
         # One row per folder, so no more than the table has folders.
         folders = asked.select("slot", "bucket").distinct().collect()
-        fresh, files = batch, 0
+        fresh, files = firsts, 0
         if folders:
             paths = [f"{home}/rows/slot={r.slot}/bucket={r.bucket}" for r in folders]
             there = spark.read.schema(batch_df.select(self._key).schema).parquet(*paths)
             files = len(there.inputFiles())
             suspects = there.withColumn("h", F.xxhash64(self._key)).join(asked.select("h").distinct(), "h", "left_semi")
-            fresh = batch.join(suspects.select(self._key).distinct(), self._key, "left_anti")
-        self._write(fresh.select(*batch_df.columns, "bucket"), home, slot)
+            fresh = firsts.join(suspects.select(self._key).distinct(), self._key, "left_anti")
+        rows = batch.join(fresh.select("_row").hint("shuffle_hash"), "_row", "left_semi")
+        self._write(rows.select(*batch_df.columns, "bucket"), home, slot)
         written = spark.read.schema(batch_df.schema).parquet(f"{home}/rows/slot={slot}").count()
-        return Lookup(filters.count(), len(folders), files, batch.count(), written)
-
-    def _firsts(self, rows: DataFrame) -> DataFrame:
-        """The first copy of each key with its hash and bucket; rows without key are spread over the buckets."""
-        by = [F.col(c) for c in self._order] or [F.lit(1)]
-        # A row without key is copy of nothing: it gets a number of its own.
-        alone = F.when(F.col(self._key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
-        numbered = rows.withColumn("_alone", alone)
-        window = Window.partitionBy(self._key, "_alone").orderBy(*by)
-        firsts = numbered.withColumn("_n", F.row_number().over(window)).where("_n = 1")
+        return Lookup(filters.count(), len(folders), files, firsts.count(), written)
+
+    def _numbered(self, rows: DataFrame) -> DataFrame:
+        """Rows with a number, their key's hash and its bucket; rows without key are spread over the buckets."""
         h = F.when(F.col(self._key).isNotNull(), F.xxhash64(self._key))
-        spread = F.pmod(F.coalesce(h, F.xxhash64("_alone")), F.lit(self._buckets))
-        return firsts.withColumn("h", h).withColumn("bucket", spread.cast("int")).drop("_n", "_alone")
+        spread = F.pmod(F.coalesce("h", F.xxhash64("_row")), F.lit(self._buckets))
+        numbered = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("h", h)
+        return numbered.withColumn("bucket", spread.cast("int"))
+
+    def _firsts(self, numbered: DataFrame) -> DataFrame:
+        """Number, key, hash and bucket of the first copy of each key, and of each row without key, which is copy of nothing."""
+        first = F.min(F.struct(*(F.col(c).alias(f"_{n}") for n, c in enumerate(self._order)), "_row", "h", "bucket"))
+        keyed = numbered.where(F.col(self._key).isNotNull()).groupBy(self._key).agg(first.alias("_first"))
+        alone = numbered.where(F.col(self._key).isNull()).select(self._key, "_row", "h", "bucket")
+        return keyed.select(self._key, "_first._row", "_first.h", "_first.bucket").unionByName(alone)
 
     def _write(self, rows: DataFrame, home: str, slot: str) -> None:
         """Rows first, then their filters: a folder without filter belongs to a batch that will be repeated."""
