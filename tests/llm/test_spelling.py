@@ -65,3 +65,12 @@ def test_long_chain_of_forms(spark):
 def test_no_words(spark):
     empty = spark.createDataFrame([], "word string, n long")
     assert spelling.grouped(empty).count() == 0
+
+
+def test_only_crowded_counters_are_broadcast(spark, tmp_path):
+    """Exploded keys of a small vocabulary are larger than Spark takes them for, and never go through the driver."""
+    spark.createDataFrame([("flowering", 9), ("flowring", 3)], "word string, n long").write.parquet(f"{tmp_path}/words")
+    plan = spelling.near_pairs(spark.read.parquet(f"{tmp_path}/words"))._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert sum("SortMergeJoin [k" in line and "Inner" in line for line in joins) == 4
+    assert all("bucket" in line for line in joins if "Broadcast" in line)

@@ -12,7 +12,8 @@ Common chunks (beginnings such as ``in``) would bring very many words together.
 counters; where the pairs of a counter exceed ``PAIRS``, its words meet by the chunk *and* what one edit leaves
 of the rest: the rest with one place blotted out (replacement), or without one place (insertion). Both ways
 find the same pairs, so chance meetings of keys in a counter change work and not results. At most ``BUCKETS`` numbers of
-crowded counters are broadcast.
+crowded counters are broadcast. All other joins are sort-merge joins by a hint: Spark sizes a table of exploded rows by the
+file it comes from, and would broadcast the keys of a vocabulary of a few MB, which are many times as large.
 
 A word's form is its most frequent near word, if that is at least ``RATIO`` times as frequent; roots follow forms to
 the last by pointer doubling: counts double at each step, so a few rounds of one join end it.
@@ -107,7 +108,7 @@ def _met(chunks: DataFrame, grams: DataFrame, longer: int) -> DataFrame:
     q = F.floor(F.col("size") / 2).cast("int")
     first = (F.col("side") == 0) | (F.substring("a", F.lit(1), q) != F.substring("b", F.lit(1), q))
     once = F.lit(True) if longer else F.col("a") < F.col("b")
-    return left.join(right, "k").where(once & first & (F.levenshtein("a", "b", 1) == 1)).select("a", "a_n", "b", "b_n")
+    return left.join(right.hint("merge"), "k").where(once & first & (F.levenshtein("a", "b", 1) == 1)).select("a", "a_n", "b", "b_n")
 
 
 def near_pairs(words: DataFrame, length: int = LENGTH, buckets: int = BUCKETS, pairs: int = PAIRS) -> DataFrame:
@@ -145,7 +146,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         ahead = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        step = stored(now.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"), "next"), "roots")
+        step = stored(now.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), "next"), "roots")
         now = step.select("word", "root")
         if step.where("next IS NOT NULL").isEmpty():
             return now
@@ -168,7 +169,7 @@ def grouped(words: DataFrame, length: int = LENGTH, ratio: int = RATIO, buckets:
     )
     enough = -F.col("best.less") >= ratio * F.col("n")
     known = stored(
-        words.join(best, "word", "left").select(
+        words.join(best.hint("merge"), "word", "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
@@ -178,4 +179,4 @@ def grouped(words: DataFrame, length: int = LENGTH, ratio: int = RATIO, buckets:
         "forms",
     )
     led = roots(known.where("form IS NOT NULL"))
-    return known.join(led, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return known.join(led.hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))
