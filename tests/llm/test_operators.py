@@ -326,3 +326,39 @@ def test_vectors_of_extreme_lengths(spark):
     for block in (embedding_join.BLOCK, 2):
         found = embedding_join.near_duplicates(frame, 0.93, block=block).collect()
         assert {r.vec_id: (r.n_links, r.component_id) for r in found} == expected
+
+
+def test_sketches_bound_the_difference_of_sets():
+    """Links of sets are never lost by their sketches, unlike sets are told apart, and sizes of sketches may differ."""
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 1 << 64, n, dtype=np.uint64)) for n in (5, 33, 60, 64, 300, 300, 20_000)]
+    sets += [np.unique(np.concatenate([x[: len(x) - len(x) // 12], draw.integers(0, 1 << 64, len(x) // 14, dtype=np.uint64)])) for x in sets]
+    table = pa.table(
+        {
+            "h": pa.array(range(len(sets)), pa.int64()),
+            "n": pa.array([len(x) for x in sets], pa.int64()),
+            "sketch": pa.array([ngram_join.sketch(x) for x in sets], pa.binary()),
+        }
+    )
+    found = {(r["a"], r["b"]) for r in ngram_join._alike(85, 100)(table).to_pylist()}
+    assert found == {(i + 7, i) for i in range(7)}
+
+
+def test_unlike_texts_of_a_group_are_not_compared_whole(spark, monkeypatch):
+    """Texts chained together by a frequent passage make one group of signatures, of which only near copies are read again."""
+    passage = "of the to and in is it as by"
+    rows = [(i, f"{passage} " + " ".join(f"w{i}x{j}" for j in range(12))) for i in range(40)]
+    rows += [(100 + i, rows[i][1] + " end") for i in range(3)] + [(200 + i, rows[20][1]) for i in range(30)]
+    made, keep = {}, ngram_join.stored
+
+    def noted(df, name):
+        made[name] = keep(df, name)
+        return made[name]
+
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs, k=1, num=85, den=100).collect()}
+    assert found == {i: i for i in range(40)} | {100 + i: i for i in range(3)} | {200 + i: 20 for i in range(30)}
+    assert made["members"].count() == 6
+    signed = made["signatures"].where("size(tokens) > 0")
+    assert signed.where("doc_id >= 200").count() == 0  # copies of a text are not signed again

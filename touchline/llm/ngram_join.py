@@ -18,12 +18,18 @@ Frequencies are counted over all sets, for all tokens with a hash below a cut, a
 as many again as a prefix needs; so which tokens are counted is the same for all sets. Such a token is frequent if two different sets have it
 (or its bit in a bounded bit map is set by one that is), and very frequent from ``OFTEN`` sets on. Which tokens are
 called frequent decides the work and never the result. Sets whose signatures meet form
-candidate groups. All pairs of a group are verified against whole sets, in blocks of
+groups; chance meetings chain unlike sets together there, the more so the larger the corpus. So the
+pairs of a group are first compared by sketches, parities of the numbers of tokens that end in the same bits: two sets differ
+by at least as many tokens as their sketches differ by bits. What may link by sizes and sketches
+forms candidate groups, and all their pairs are verified against whole sets. Both run in blocks of
 bounded size and of neighbouring set sizes. A block hands on a spanning forest of its
 links instead of all pairs, so a group of many copies costs rows in proportion to its
 members.
 
-Equal texts and equal sets are one set from the start. Sets are sets of 64-bit hashes.
+Tokens and signatures travel packed, by ranges: a few bytes each, one row a range and task. Meetings are handed on as stars, first
+within a task and then within a range.
+
+Of equal texts one row is counted and signed; equal sets are one set. Sets are sets of 64-bit hashes.
 
 Nulls and edges: a null or empty text has no shingles and links with nothing; a row
 without ``doc_id`` is returned with a null component and takes no part; repeated rows are
@@ -42,11 +48,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm import arrays
-from touchline.llm.shared import bit_map, bit_maps, components, in_map, stored, text_key
+from touchline.llm.shared import bit_map, components, in_map, stored, text_key
 
-#: Bits of the maps of frequent tokens, shared signatures and candidate texts: 8 MB each. More
+#: Bits of the maps of frequent tokens, first copies and candidate rows: 8 MB each. More
 #: bits call fewer rare tokens frequent in a large corpus; they decide the work only.
 MAP_BITS = 26
+#: Ranges that tokens are dealt into, as bits; bytes of a token that are kept there (fewer make chance meetings, which are
+#: work only); tokens that a task holds before it deals them out.
+RANGE_BITS = 8
+KEPT_BYTES = 5
+HELD = 1 << 21
+#: Bits of the longest sketch of a set.
+SKETCH_BITS = 1 << 15
 #: Shingles and sets in one block of a candidate group.
 BLOCK_SHINGLES = 1 << 20
 BLOCK_SETS = 1024
@@ -154,60 +167,211 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def _per_text(k: int, pick: Callable[[np.ndarray], np.ndarray], wanted=None) -> Callable:
-    """Turns (.., text_key, text) rows into (.., text_key, h, n, tokens)."""
+def _dealt(tokens: np.ndarray, labels: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+    """For each label, the packed tokens (low ``KEPT_BYTES`` bytes) and further columns of its rows."""
+    order = np.argsort(labels, kind="stable")
+    labels = labels[order]
+    tokens = tokens[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES]
+    columns = [x[order] for x in columns]
+    starts = np.flatnonzero(np.diff(labels, prepend=-1))
+    for low, high in pairwise([*starts.tolist(), len(labels)]):
+        yield int(labels[low]), [np.ascontiguousarray(tokens[low:high]).tobytes(), *(x[low:high].tobytes() for x in columns)]
+
+
+def _tokens(parts: pa.ChunkedArray) -> np.ndarray:
+    packed = np.frombuffer(b"".join(parts.to_pylist()), dtype=np.uint8).reshape(-1, KEPT_BYTES)
+    out = np.zeros((len(packed), 8), dtype=np.uint8)
+    out[:, :KEPT_BYTES] = packed
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def _keys(parts: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(parts.to_pylist()), dtype=np.int64)
+
+
+def _marked(batch: pa.RecordBatch, marks) -> np.ndarray:
+    """Of which rows the bit of ``row_key`` is set."""
+    keys = batch.column("row_key").to_numpy(zero_copy_only=False).astype(np.int64)
+    return in_map(marks.value, keys.view(np.uint64))
+
+
+def _ranges(bits: int) -> int:
+    """Bits of a map's address that name the range; ranges are slices of the map."""
+    return min(RANGE_BITS, bits - 6)
+
+
+def _counted(k: int, cut: np.uint64, first, bits: int) -> Callable:
+    """Turns (row_key, text) rows into (range, tokens): tokens below the cut of first copies, at most ``OFTEN`` times each."""
+    shift, mask = np.uint64(bits - _ranges(bits)), np.uint64((1 << _ranges(bits)) - 1)
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        tokens = np.sort(np.concatenate(held))
+        keep = np.ones(len(tokens), dtype=bool)
+        keep[OFTEN:] = tokens[OFTEN:] != tokens[:-OFTEN]
+        tokens = tokens[keep]
+        rows = list(_dealt(tokens, ((tokens >> shift) & mask).astype(np.int64)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r for r, _ in rows], pa.int32()), pa.array([x for _, (x,) in rows], pa.binary())],
+            names=["range", "tokens"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            if wanted is not None:
-                keys = batch.column("text_key").to_numpy(zero_copy_only=False).astype(np.int64)
-                batch = batch.filter(pa.array(in_map(wanted.value, keys.view(np.uint64))))
-            last = batch.num_columns - 1
-            for chunk in arrays.chunks(batch.column(last)):
+            batch = batch.filter(pa.array(_marked(batch, first)))
+            for chunk in arrays.chunks(batch.column("text")):
+                for x in shingle_sets(chunk, k):
+                    held.append(x[: np.searchsorted(x, cut)].copy())
+                    size += len(held[-1])
+                if size >= HELD:
+                    yield packed(held)
+                    held, size = [], 0
+        if size:
+            yield packed(held)
+
+    return run
+
+
+def _frequent(bits: int) -> Callable:
+    """Turns the tokens of a range into its slices of the maps of frequent and of very frequent ones."""
+    size = 1 << (bits - _ranges(bits))
+
+    def run(table: pa.Table) -> pa.Table:
+        tokens, counts = np.unique(_tokens(table["tokens"]), return_counts=True)
+        at = (tokens & np.uint64(size - 1)).astype(np.int64)
+        maps = []
+        for least in (2, OFTEN):
+            flags = np.zeros(size, dtype=bool)
+            flags[at[counts >= least]] = True
+            maps.append(np.packbits(flags, bitorder="little").tobytes())
+        return pa.table(
+            {"range": table["range"].slice(0, 1), "every": pa.array(maps[:1], pa.binary()), "also": pa.array(maps[1:], pa.binary())}
+        )
+
+    return run
+
+
+def _frequency_maps(texts: DataFrame, k: int, rule: Threshold, first, bits: int) -> list[np.ndarray]:
+    """Maps of frequent and of very frequent tokens; each range's slice is made by one task, and the slices reach the driver."""
+    rows = (
+        texts.where("doc_id IS NOT NULL")
+        .select("row_key", "text")
+        .mapInArrow(_counted(k, rule.cut, first, bits), "range int, tokens binary")
+        .groupBy("range")
+        .applyInArrow(_frequent(bits), "range int, every binary, also binary")
+        .toArrow()
+    )
+    out = [np.zeros((1 << _ranges(bits), 1 << (bits - _ranges(bits) - 6)), dtype=np.uint64) for _ in range(2)]
+    for r, *slices in zip(*(rows[c].to_pylist() for c in ("range", "every", "also")), strict=True):
+        for words, x in zip(out, slices, strict=True):
+            words[r] = np.frombuffer(x, dtype="<u8")
+    return [x.ravel() for x in out]
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the numbers of tokens by their last bits: two to four bits a token, ``SKETCH_BITS`` at most."""
+    bits = min(SKETCH_BITS, max(64, 1 << (2 * len(tokens) - 1).bit_length()))
+    at = (tokens & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def _signed(k: int, rule: Threshold, maps, first) -> Callable:
+    """Turns (doc_id, text_key, row_key, text) rows into (doc_id, text_key, h, n, tokens, sketch); only first copies have signatures."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            taken = _marked(batch, first) & batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            for chunk in arrays.chunks(batch.column("text")):
                 sets = list(shingle_sets(chunk, k))
                 part = batch.slice(chunk.first, chunk.n)
+                signs = [
+                    signatures(x, *(in_map(m, x) for m in maps.value), rule) if own else x[:0]
+                    for x, own in zip(sets, taken[chunk.first : chunk.first + chunk.n].tolist(), strict=True)
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns[:-1],
+                        part.column("doc_id"),
+                        part.column("text_key"),
                         pa.array([set_key(x) for x in sets], pa.int64()),
                         pa.array([len(x) for x in sets], pa.int64()),
-                        _lists([pick(x) for x in sets]),
+                        _lists(signs),
+                        pa.array([sketch(x) if len(t) else None for x, t in zip(sets, signs, strict=True)], pa.binary()),
                     ],
-                    names=[*part.schema.names[:-1], "h", "n", "tokens"],
+                    names=["doc_id", "text_key", "h", "n", "tokens", "sketch"],
                 )
 
     return run
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Tokens (as ``h``) that at least two different sets have in their list, and the number of lists."""
-    return (
-        rows.select("h", F.explode("tokens").alias("token"))
-        .groupBy("token")
-        .agg(F.min("h").alias("low"), F.max("h").alias("high"), F.count("*").alias("n"))
-        .where("low <> high")
-        .select(F.col("token").alias("h"), "n")
-    )
-
-
-def _only(known) -> Callable:
-    """Keeps of each list the tokens whose bit is set."""
+def _whole(k: int, wanted) -> Callable:
+    """Turns (row_key, text) rows into (h, tokens) of the wanted ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("tokens")
-            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            owner = pc.list_parent_indices(lists).to_numpy()
-            keep = in_map(known.value, values.view(np.uint64))
-            rows = pa.array(owner[keep])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("h").take(rows), batch.column("n").take(rows), pa.array(values[keep])],
-                names=["h", "n", "token"],
-            )
+            batch = batch.filter(pa.array(_marked(batch, wanted)))
+            for chunk in arrays.chunks(batch.column("text")):
+                sets = list(shingle_sets(chunk, k))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([set_key(x) for x in sets], pa.int64()), _lists(sets)], names=["h", "tokens"]
+                )
 
     return run
 
 
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different pairs of different keys."""
+    a, b = a[a != b], b[a != b]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+def _stars(tokens: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each token with the smallest of its owners, and the links (owner, smallest) of its other owners."""
+    order = np.argsort(tokens, kind="stable")
+    tokens, owners = tokens[order], owners[order]
+    starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
+    least = np.minimum.reduceat(owners, starts) if len(tokens) else owners
+    every = np.repeat(least, np.diff(np.append(starts, len(tokens))))
+    return tokens[starts], least, *_distinct(owners, every)
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Turns (h, tokens) rows into (range, tokens, owners, a, b): stars within a task's rows as links, and one owner a token."""
+    names = ["range", "tokens", "owners", "a", "b"]
+    shift, last = np.uint64(8 * KEPT_BYTES - RANGE_BITS), np.uint64((1 << 8 * KEPT_BYTES) - 1)
+
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        tokens, owners, a, b = _stars(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        rows: dict[int, list[bytes]] = {r: [*x, b"", b""] for r, x in _dealt(tokens, (tokens >> shift).astype(np.int64), owners)}
+        for r, (_, x, y) in _dealt(a.view(np.uint64), a & ((1 << RANGE_BITS) - 1), a, b):
+            rows.setdefault(r, [b"", b"", b"", b""])[2:] = [x, y]
+        columns = [pa.array([x[i] for x in rows.values()], pa.binary()) for i in range(4)]
+        return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), *columns], names=names)
+
+    held, size = [], 0
+    for batch in batches:
+        lists = batch.column("tokens")
+        tokens = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) & last
+        owners = batch.column("h").to_numpy(zero_copy_only=False).astype(np.int64)
+        held.append((tokens, owners[pc.list_parent_indices(lists).to_numpy()]))
+        size += len(tokens)
+        if size >= HELD:
+            yield packed(held)
+            held, size = [], 0
+    if size:
+        yield packed(held)
+
+
+def _met(table: pa.Table) -> pa.Table:
+    """Links (a, b) of the sets that meet in a range of signatures, as stars."""
+    _, _, a, b = _stars(_tokens(table["tokens"]), _keys(table["owners"]))
+    a, b = _distinct(np.concatenate([a, _keys(table["a"])]), np.concatenate([b, _keys(table["b"])]))
+    return pa.table({"a": a, "b": b})
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections of a block's sets."""
     m = len(sets)
@@ -246,6 +410,35 @@ def forest(links: np.ndarray) -> np.ndarray:
         root = now
 
 
+def _alike(num: int, den: int) -> Callable:
+    """Turns sets of a unit (h, n, sketch) into a spanning forest of the pairs that may link by their sizes and sketches."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys = table.column("h").to_numpy()
+        sizes = table.column("n").to_numpy().astype(np.int64)
+        sketches = table.column("sketch").to_pylist()
+        widths = np.array([len(x) for x in sketches])
+        links = np.zeros((len(keys), len(keys)), dtype=bool)
+        for width in np.unique(widths).tolist():
+            here, wide = np.flatnonzero(widths == width), np.flatnonzero(widths == 2 * width)
+            bits = np.frombuffer(b"".join(sketches[i] for i in here), dtype=np.uint8).reshape(-1, width)
+            # Parities by one bit less are those of the halves, added; sizes that link differ by less than a factor of two.
+            halves = np.frombuffer(b"".join(sketches[i] for i in wide), dtype=np.uint8).reshape(-1, 2, width)
+            both = np.concatenate([here, wide])
+            signs = 1 - 2 * np.unpackbits(np.concatenate([bits, halves[:, 0] ^ halves[:, 1]]), axis=1).astype(np.float32)
+            apart = (8 * width - signs[: len(here)] @ signs.T) / 2
+            x, y = sizes[here][:, None], sizes[both][None, :]
+            near = ((num + den) * apart <= (den - num) * (x + y)) & (den * np.minimum(x, y) >= num * np.maximum(x, y))
+            links[np.ix_(here, both)] = near
+            links[np.ix_(both, here)] = near.T
+        np.fill_diagonal(links, False)
+        root = forest(links)
+        joined = root != np.arange(len(root))
+        return pa.table({"a": keys[joined], "b": keys[root[joined]]})
+
+    return run
+
+
 def _verified(num: int, den: int) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -316,40 +509,51 @@ def _grouped(docs: DataFrame, k: int, num: int, den: int, map_bits: int = MAP_BI
     """(doc_id, text_key, n, root) for every row of ``docs``; rows that links reach share ``root``, null where there is no set."""
     spark, rule = docs.sparkSession, Threshold(num, den)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", text_key().alias("text_key"), "text")
-    lists = "h bigint, n bigint, tokens array<bigint>"
+    row_key = F.xxhash64("doc_id", "text_key").alias("row_key")
+    texts = docs.select("doc_id", text_key().alias("text_key"), "text").select("doc_id", "text_key", row_key, "text")
 
-    below = texts.where("doc_id IS NOT NULL").select("text_key", "text").mapInArrow(
-        _per_text(k, lambda x: x[: np.searchsorted(x, rule.cut)]), f"text_key bigint, {lists}"
-    )
-    counted = _shared(below).withColumn("also", F.col("n") >= OFTEN)
-    maps = spark.sparkContext.broadcast(bit_maps(counted, map_bits))
+    # One row of each text is counted and signed; a chance bit adds work for a copy.
+    copies = texts.where("doc_id IS NOT NULL").groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
+    first = spark.sparkContext.broadcast(bit_map(copies.select(row_key.alias("h")), map_bits))
+    maps = spark.sparkContext.broadcast(_frequency_maps(texts, k, rule, first, map_bits))
     rows = stored(
         texts.mapInArrow(
-            _per_text(k, lambda x: signatures(x, *(in_map(m, x) for m in maps.value), rule)),
-            f"doc_id {id_type}, text_key bigint, {lists}",
+            _signed(k, rule, maps, first),
+            f"doc_id {id_type}, text_key bigint, h bigint, n bigint, tokens array<bigint>, sketch binary",
         ),
         "signatures",
     )
-    signed = rows.where("doc_id IS NOT NULL AND n > 0").select("h", "n", "tokens")
-    meeting = spark.sparkContext.broadcast(bit_map(_shared(signed), map_bits))
-    buckets = stored(
-        signed.mapInArrow(_only(meeting), "h bigint, n bigint, token bigint").distinct(), "buckets"
+    signed = rows.where("size(tokens) > 0")
+    meeting = (
+        signed.select("h", "tokens")
+        .mapInArrow(_meetings, "range int, tokens binary, owners binary, a binary, b binary")
+        .groupBy("range")
+        .applyInArrow(_met, "a bigint, b bigint")
+    )
+    met = stored(
+        signed.select("h", "n", "sketch")
+        .dropDuplicates(["h"])
+        .join(components(meeting), F.col("h") == F.col("node"))
+        .select("h", "n", "sketch", "root"),
+        "met",
+    )
+    alike = (
+        met.select("h", "n", "sketch")
+        .join(_blocks(met.drop("sketch"), rule).select("unit", "h"), "h")
+        .groupBy("unit")
+        .applyInArrow(_alike(num, den), "a bigint, b bigint")
     )
-    star = buckets.groupBy("token").agg(F.min("h").alias("b"))
-    groups = components(buckets.join(star, "token").select(F.col("h").alias("a"), "b").distinct())
     members = stored(
-        buckets.select("h", "n").distinct().join(groups, F.col("h") == F.col("node")).select("h", "n", "root"),
-        "members",
+        met.select("h", "n").join(components(alike), F.col("h") == F.col("node")).select("h", "n", "root"), "members"
     )
 
-    # Whole sets of the members only: their texts are found again by a map of the keys.
-    reps = rows.join(members.select("h"), "h").groupBy("h").agg(F.min("text_key").alias("text_key"))
-    wanted = spark.sparkContext.broadcast(bit_map(reps.select(F.col("text_key").alias("h")), map_bits))
+    # Whole sets of the members only: one row of each is found again by a map of the rows.
+    reps = signed.groupBy("h").agg(F.min(F.struct("text_key", "doc_id")).alias("rep"))
+    reps = reps.join(members.select("h"), "h").select("rep.*").select(row_key.alias("h"))
+    wanted = spark.sparkContext.broadcast(bit_map(reps, map_bits))
     sets = (
-        texts.select("text_key", "text")
-        .mapInArrow(_per_text(k, lambda x: x, wanted), f"text_key bigint, {lists}")
-        .select("h", "tokens")
+        texts.select("row_key", "text")
+        .mapInArrow(_whole(k, wanted), "h bigint, tokens array<bigint>")
         .dropDuplicates(["h"])
     )
     links = (
